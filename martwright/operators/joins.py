@@ -1,0 +1,27 @@
+"""Join helpers: lookups against dimensions whose size is checked before a
+broadcast is requested (J1 and the dimension joins of the quality checks)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+#: Largest dimension (rows) we are willing to ship to every executor.  An
+#: (int, string, string) dimension row is well under 100 bytes, so this keeps
+#: a broadcast below ~200 MB; beyond it the join stays a shuffle join (and AQE
+#: may still convert it at run time from real shuffle sizes).
+MAX_BROADCAST_ROWS = 2_000_000
+
+
+def bounded(small: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Return ``small`` with a broadcast hint only if it has at most
+    ``max_rows`` rows.  The count is one scalar job (metadata-only for a
+    stored Parquet dimension); nothing but the number reaches the driver."""
+    n = small.count()
+    return F.broadcast(small) if n <= max_rows else small
+
+
+def lookup(big: DataFrame, small: DataFrame, on, how: str = "left",
+           max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """``big`` join ``small`` where ``small`` is a dimension keyed on ``on``."""
+    return big.join(bounded(small, max_rows), on, how)
