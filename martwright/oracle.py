@@ -96,3 +96,80 @@ D_ITEM = """d_item as (
         from user_orders_log where item_id is not null) n
   left join item_categories c on n.item_id = c.item_id
   where n.rn = 1)"""
+
+
+def sales_cte(name: str, src: str) -> str:
+    """C1 over any staging-shaped CTE ``src`` as CTE ``name``."""
+    return F_DAILY_SALES_FROM.replace("f_daily_sales as (", f"{name} as (", 1).format(src=src)
+
+
+def retention_ctes(sales: str, prefix: str = "") -> tuple[str, ...]:
+    """The reference's retention semantics, phrased as a two-level aggregate,
+    over the sales CTE ``sales``; defines ``<prefix>periods``,
+    ``<prefix>first_buys``, ``<prefix>base``, ``<prefix>inner_groups`` and
+    ``<prefix>retention``.  Needs a ``d_item`` CTE."""
+    p = prefix
+    return (
+        f"""{p}periods as (
+  select *, cast(year(date_time) as varchar) || cast(week(date_time) as varchar) as period_id
+  from {sales})""",
+        f"""{p}first_buys as (
+  select customer_id, date_time as first_buy, period_id as cohort
+  from (select customer_id, date_time, period_id,
+               row_number() over (partition by customer_id order by date_time) as rn
+        from {p}periods where status <> 'refunded') t
+  where rn = 1)""",
+        f"""{p}base as (
+  select distinct s.period_id, s.date_time, s.customer_id, i.category_name, s.item_id,
+         s.payment_amount, s.status, f.cohort,
+         case when f.cohort = s.period_id then 'new' else 'returning' end as customer_type
+  from {p}periods s left join d_item i on s.item_id = i.item_id
+       left join {p}first_buys f on s.customer_id = f.customer_id)""",
+        f"""{p}inner_groups as (
+  select period_id, customer_type, status, category_name, cohort,
+         count(distinct customer_id) as n_customers, sum(payment_amount) as amount,
+         count(*) as n_tx
+  from {p}base group by period_id, customer_type, status, category_name, cohort)""",
+        f"""{p}retention as (
+  select 'weekly' as period_name, period_id, category_name, cohort,
+    cast(sum(case when status = 'shipped' and customer_type = 'new' then n_customers else 0 end) as integer) as new_customers_count,
+    cast(sum(case when status = 'shipped' and customer_type = 'returning' then n_customers else 0 end) as integer) as returning_customers_count,
+    cast(sum(case when status = 'refunded' then n_customers else 0 end) as integer) as refunded_customers_count,
+    cast(sum(case when status = 'shipped' and customer_type = 'new' then amount else 0 end) as decimal(14,2)) as new_customers_revenue,
+    cast(sum(case when status = 'shipped' and customer_type = 'returning' then amount else 0 end) as decimal(14,2)) as returning_customers_revenue,
+    cast(sum(case when status = 'refunded' then amount else 0 end) as decimal(14,2)) as refunded_customers_sum,
+    cast(sum(case when status = 'refunded' then n_tx else 0 end) as integer) as customers_refunded
+  from {p}inner_groups group by period_id, category_name, cohort)""",
+    )
+
+
+def latest_cte(name: str, src: str, key: str, attrs: list[str], key_type: str) -> str:
+    """Latest attributes per key by (date_time, id), window form."""
+    a = ", ".join(attrs)
+    return f"""{name} as (
+  select cast({key} as {key_type}) as {key}, {a}
+  from (select {key}, {a}, row_number() over (partition by {key}
+                 order by date_time desc nulls last, id desc nulls last) as rn
+        from {src}) t
+  where rn = 1)"""
+
+
+D_CALENDAR = """d_calendar as (
+  select d as date_time, cast(day(d) as smallint) as day_num,
+         cast(month(d) as smallint) as month_num, monthname(d) as month_name,
+         cast(year(d) as smallint) as year_num
+  from (select cast(date_time as date) as d from user_orders_log
+        union
+        select cast(date_time as date) from user_activity_log) days
+  where d is not null)"""
+
+F_ACTIVITY = """f_activity as (
+  select cast(action_id as integer) as activity_id, cast(date_time as date) as date_time,
+         cast(sum(quantity) as integer) as click_number
+  from user_activity_log
+  where action_id is not null and date_time is not null
+  group by 1, 2)"""
+
+ORDER_COLS = ("city_id, city_name, customer_id, date_time, first_name, id, item_id, "
+              "item_name, last_name, quantity, payment_amount")
+ORDER_COLS_NO_ID = ORDER_COLS.replace(" id,", "")

@@ -1,8 +1,9 @@
-"""Registered queries: name -> (spark callable, DuckDB oracle text or None).
+"""Registered queries: name -> Spark callable, plus its DuckDB oracle text.
 
 Names and the operator IDs they cover follow SURVEY §5.4.  Each callable
-takes ``(spark, sf_dir)``, reads the given tables of that scale factor and
-returns a DataFrame; write jobs write below the session's shared checkpoint
+takes ``(spark, sf_dir)``, reads the given tables of that scale factor (the
+staging-shaped inputs of ``sources.fixtures``) and returns a DataFrame over
+all of their rows.  Write jobs write below the session's shared checkpoint
 folder and return what they read back.
 """
 
@@ -11,12 +12,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import oracle as O
-from .operators import dims
+from .functions import landing_file_name, period_id, to_day
+from .operators import dims, quality, staging
+from .plans import jobs
 from .plans import retention as R
 from .plans import sales as C1
+from .schemas import DEDUP_KEYS, USER_ORDERS_LOG
+from .session import scratch_path
 from .sources import fixtures as fx
+from .sources.landing import (cleanse_increment, cleanse_initial, landing_path,
+                              read_landing, write_landing)
+from .sources.store import Warehouse
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -31,17 +40,404 @@ def register(name: str, sql: str | None):
     return deco
 
 
+def _ctes(*extra: str) -> tuple[str, ...]:
+    return O.ORDERS_CTES + extra
+
+
 # --- shared inputs ------------------------------------------------------------
 
+def _orders(spark, sf):
+    return fx.user_orders_log(spark, sf)
+
+
 def _sales(spark, sf):
-    return C1.daily_sales(fx.user_orders_log(spark, sf))
+    return C1.daily_sales(_orders(spark, sf))
 
 
 def _d_item(spark, sf):
-    return dims.d_item(fx.user_orders_log(spark, sf), fx.item_categories(spark, sf))
+    return dims.d_item(_orders(spark, sf), fx.item_categories(spark, sf))
+
+
+ORDER_COLUMNS = [f.name for f in USER_ORDERS_LOG.fields]
+NO_ID = [c for c in ORDER_COLUMNS if c != "id"]
+
+#: Business dates used by the registered scenarios (parameters, not caps:
+#: every scenario still reads all rows of its tables).
+DELETE_DAY = "1996-03-15"
+ACTIVITY_DELETE_DAY = "2024-01-15"
+REPLACE_FROM = "2000-01-01"
+
+
+# === S1-S4, P2-P5, P12: landing files ==========================================
+
+@register("landing_csv_roundtrip", O.with_ctes(
+    *_ctes(), body=f"select {O.ORDER_COLS_NO_ID}, status from user_orders_log"))
+def q_landing_csv_roundtrip(spark, sf):
+    """Write the orders extract in landing form, read it
+    back by column name, drop the index and the id."""
+    root = scratch_path(spark, "landing")
+    path = landing_path(root, "user_orders_log", "2022-07-09", increment=True)
+    write_landing(_orders(spark, sf), path)
+    return cleanse_increment(read_landing(spark, path, "user_orders_log"), "user_orders_log")
+
+
+@register("cleanse_initial_orders", O.with_ctes(
+    *_ctes(), body=f"select distinct {O.ORDER_COLS_NO_ID}, 'shipped' as status from user_orders_log"))
+def q_cleanse_initial_orders(spark, sf):
+    """An initial extract with ``date_id`` and no id/status; exact
+    duplicates dropped, then every row 'shipped'."""
+    root = scratch_path(spark, "landing")
+    path = landing_path(root, "user_orders_log", "2022-07-09")
+    src = _orders(spark, sf).drop("id", "status").withColumnRenamed("date_time", "date_id")
+    write_landing(src, path)
+    return cleanse_initial(read_landing(spark, path, "user_orders_log"), "user_orders_log")
+
+
+@register("cleanse_increment_orders", O.with_ctes(
+    *_ctes(), body=f"select {O.ORDER_COLS_NO_ID}, 'shipped' as status from user_orders_log"))
+def q_cleanse_increment_orders(spark, sf):
+    """An increment with id and ``date_id`` but no status: id
+    dropped, status added; duplicates are kept."""
+    root = scratch_path(spark, "landing")
+    path = landing_path(root, "user_orders_log", "2022-07-09", increment=True)
+    src = _orders(spark, sf).drop("status").withColumnRenamed("date_time", "date_id")
+    write_landing(src, path)
+    return cleanse_increment(read_landing(spark, path, "user_orders_log"), "user_orders_log")
+
+
+@register("landing_date_name", O.with_ctes(*_ctes(), body="""
+select distinct cast(date_time as date) as business_dt,
+  strftime(cast(date_time as date), '%Y%m%d') || '_user_orders_log.csv' as file_name,
+  strftime(cast(date_time as date), '%Y%m%d') || '_user_orders_log_inc.csv' as increment_file_name
+from user_orders_log"""))
+def q_landing_date_name(spark, sf):
+    """Landing file names of every business day in the orders."""
+    d = _orders(spark, sf).select(to_day("date_time").alias("business_dt")).distinct()
+    return d.select(
+        "business_dt",
+        landing_file_name(F.col("business_dt"), "user_orders_log").alias("file_name"),
+        landing_file_name(F.col("business_dt"), "user_orders_log", True).alias("increment_file_name"),
+    )
+
+
+# === S5 S6 M6-M11: staging table maintenance ====================================
+
+@register("append_by_name", O.with_ctes(*_ctes(), body="select * from user_orders_log"))
+def q_append_by_name(spark, sf):
+    """Append rows whose columns come in another order (and
+    with an extra column) into the declared table, by name; read back."""
+    wh = Warehouse(spark, scratch_path(spark, "wh"))
+    wh.init_tables(["user_orders_log"])
+    src = fx.user_orders_log(spark, sf, with_category=True)
+    src = src.select(*reversed(src.columns))
+    wh.append("user_orders_log", staging.align(src, USER_ORDERS_LOG))
+    return wh.read("user_orders_log")
+
+
+@register("increment_gate_noop", O.with_ctes(*_ctes(), body="select * from user_orders_log"))
+def q_increment_gate_noop(spark, sf):
+    """No increment landed for the day -> the job does nothing and the
+    staging table is unchanged."""
+    wh = Warehouse(spark, scratch_path(spark, "wh"))
+    wh.init_tables(["user_orders_log"])
+    wh.overwrite("user_orders_log", _orders(spark, sf))
+    result = jobs.daily_increment(spark, scratch_path(spark, "landing"), wh, "2022-07-09")
+    assert result.status == "no-op"
+    return wh.read("user_orders_log")
+
+
+@register("backfill_status", O.with_ctes(
+    *_ctes(), body=f"select {O.ORDER_COLS}, 'shipped' as status from user_orders_log"))
+def q_backfill_status(spark, sf):
+    """Every status set to 'shipped'."""
+    return staging.backfill_status(_orders(spark, sf))
+
+
+@register("add_status_column", O.with_ctes(
+    *_ctes(), body=f"select {O.ORDER_COLS}, cast(null as varchar) as status from user_orders_log"))
+def q_add_status_column(spark, sf):
+    """M7: a table stored before ``status`` existed, read with the evolved
+    schema: the new column is NULL for the old rows."""
+    path = scratch_path(spark, "pre-status")
+    _orders(spark, sf).drop("status").write.parquet(path)
+    old = spark.read.parquet(path)
+    evolved = spark.read.schema(USER_ORDERS_LOG).parquet(path)
+    assert "status" not in old.columns
+    return staging.add_status_column(evolved).select(*ORDER_COLUMNS)
+
+
+@register("assign_row_ids", O.with_ctes(*_ctes(), body="""
+select count(*) as n_rows, count(*) as n_distinct_ids, true as all_above_base
+from user_orders_log"""))
+def q_assign_row_ids(spark, sf):
+    """M9: ids assigned to an id-less extract are unique and above the
+    table's high-water mark."""
+    base = 1_000
+    rows = staging.assign_ids(_orders(spark, sf).drop("id"), base)
+    return rows.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_distinct("id").alias("n_distinct_ids"),
+        (F.min("id") > base).alias("all_above_base"),
+    )
+
+
+@register("delete_business_day", O.with_ctes(*_ctes(), body=f"""
+select * from user_orders_log
+where not coalesce(date_time = make_date(
+  cast(left('{DELETE_DAY}', 4) as integer), cast(substring('{DELETE_DAY}', 6, 2) as integer),
+  cast(right('{DELETE_DAY}', 2) as integer))::timestamp, false)"""))
+def q_delete_business_day(spark, sf):
+    """Remove the business day's (midnight) rows."""
+    return staging.delete_business_day(_orders(spark, sf), DELETE_DAY)
+
+
+@register("delete_whole_day", f"""
+with events_staged as (
+  select case event_type when 'view' then 1 when 'click' then 2 when 'signup' then 3
+                         when 'purchase' then 4 else 5 end::bigint as action_id,
+         user_id as customer_id, ts as date_time, event_id as id,
+         cast(floor(value) as bigint) as quantity
+  from events)
+select * from events_staged
+where not coalesce(cast(date_time as date) = date '{ACTIVITY_DELETE_DAY}', false)""")
+def q_delete_whole_day(spark, sf):
+    """M1 (whole-day option): activity rows keep their event time; every row
+    of the day is removed, not just midnight ones."""
+    e = fx.table(spark, sf, "events").select("event_id", "ts")
+    act = fx.user_activity_log(spark, sf).join(e, F.col("id") == F.col("event_id")).select(
+        "action_id", "customer_id", F.col("ts").alias("date_time"), "id", "quantity")
+    return staging.delete_business_day(act, ACTIVITY_DELETE_DAY, whole_day=True)
+
+
+# === W1 M5 P8 T1: de-duplication =================================================
+
+def _dedup_oracle(src: str, keys: list[str], *ctes: str) -> str:
+    k = ", ".join(keys)
+    return O.with_ctes(*ctes, body=f"""
+select * exclude (rn) from (
+  select *, row_number() over (partition by {k} order by id) as rn from {src}) t
+where rn = 1""")
+
+
+@register("dedup_customer_research", _dedup_oracle(
+    "research_with_copies", DEDUP_KEYS["customer_research"],
+    O.FX_ORDERS, O.CUSTOMER_RESEARCH, O.RESEARCH_WITH_COPIES))
+def q_dedup_customer_research(spark, sf):
+    """Research rows, lowest id per full payload."""
+    return staging.dedupe_entity(fx.research_with_copies(spark, sf), "customer_research")
+
+
+@register("dedup_activity", _dedup_oracle(
+    "activity_with_copies", DEDUP_KEYS["user_activity_log"],
+    O.USER_ACTIVITY_LOG, O.ACTIVITY_WITH_COPIES))
+def q_dedup_activity(spark, sf):
+    """Activity rows, lowest id per payload."""
+    return staging.dedupe_entity(fx.activity_with_copies(spark, sf), "user_activity_log")
+
+
+@register("dedup_orders", _dedup_oracle(
+    "user_orders_log", DEDUP_KEYS["user_orders_log"], *O.ORDERS_CTES))
+def q_dedup_orders(spark, sf):
+    """Orders, lowest id per key without status -- the later
+    refunded copy of a sale is dropped."""
+    return staging.dedupe_entity(_orders(spark, sf), "user_orders_log")
+
+
+# === Q1-Q5: quality =============================================================
+
+def _rows_check_oracle(table: str, label: str, check: str, *ctes: str) -> str:
+    return O.with_ctes(*ctes, body=f"""
+select '{label}' as table_name, '{check}' as dq_check_name,
+  cast(case when count(*) between 5 and 1000000 then 0 else 1 end as decimal(8,2)) as dq_check_result
+from {table}""")
+
+
+@register("rows_check_orders", _rows_check_oracle(
+    "user_orders_log", "user_orders_log", "check_rows_orders_log", *O.ORDERS_CTES))
+def q_rows_check_orders(spark, sf):
+    """Orders row-count verdict (0 pass, 1 fail)."""
+    return quality.rows_check(_orders(spark, sf), "user_orders_log").drop("datetime")
+
+
+@register("rows_check_activity", _rows_check_oracle(
+    "user_activity_log", "user_activity_log", "check_rows_activity_log", O.USER_ACTIVITY_LOG))
+def q_rows_check_activity(spark, sf):
+    """Activity row-count verdict."""
+    return quality.rows_check(fx.user_activity_log(spark, sf), "user_activity_log").drop("datetime")
+
+
+@register("verdict_log", O.with_ctes(*_ctes(O.USER_ACTIVITY_LOG), body="""
+select 'user_orders_log' as table_name, 'check_rows_orders_log' as dq_check_name,
+  cast(case when (select count(*) from user_orders_log) between 5 and 1000000 then 0 else 1 end
+       as decimal(8,2)) as dq_check_result, true as has_timestamp
+union all
+select 'user_activity_log', 'check_rows_activity_log',
+  cast(case when (select count(*) from user_activity_log) between 5 and 1000000 then 0 else 1 end
+       as decimal(8,2)), true"""))
+def q_verdict_log(spark, sf):
+    """Both checks run in order and are appended to the
+    check log with the current time."""
+    wh = Warehouse(spark, scratch_path(spark, "wh"))
+    wh.init_tables(["dq_checks_results"])
+    jobs.run_checks(spark, wh, {"user_orders_log": _orders(spark, sf),
+                                "user_activity_log": fx.user_activity_log(spark, sf)})
+    log = wh.read("dq_checks_results")
+    return log.select("table_name", "dq_check_name", "dq_check_result",
+                      F.col("datetime").isNotNull().alias("has_timestamp"))
+
+
+def _mart_inputs(spark, sf):
+    orders = _orders(spark, sf)
+    activity = fx.user_activity_log(spark, sf)
+    return {
+        "orders": orders,
+        "activity": activity,
+        "d_calendar": dims.d_calendar(orders, activity),
+        "d_city": dims.d_city(orders),
+        "d_customer": dims.d_customer(orders),
+        "d_item": dims.d_item(orders, fx.item_categories(spark, sf)),
+        "f_activity": dims.f_activity(activity),
+        "f_daily_sales": C1.daily_sales(orders),
+    }
+
+
+_MART_CTES = _ctes(
+    O.USER_ACTIVITY_LOG, O.ITEM_CATEGORIES, O.D_ITEM, O.D_CALENDAR, O.F_ACTIVITY,
+    O.sales_cte("f_daily_sales", "user_orders_log"),
+    O.latest_cte("d_city", "user_orders_log", "city_id", ["city_name"], "integer"),
+    O.latest_cte("d_customer", "user_orders_log", "customer_id",
+                 ["first_name", "last_name", "city_id"], "integer"),
+)
+
 
+@register("fk_orphans", O.with_ctes(*_MART_CTES, body="""
+select 'f_activity.date_time' as fk_name, count(*) as n_orphans from f_activity f
+  where f.date_time is not null and not exists (select 1 from d_calendar c where c.date_time = f.date_time)
+union all
+select 'f_daily_sales.date_time', count(*) from f_daily_sales f
+  where f.date_time is not null and not exists (select 1 from d_calendar c where c.date_time = f.date_time)
+union all
+select 'f_daily_sales.item_id', count(*) from f_daily_sales f
+  where f.item_id is not null and not exists (select 1 from d_item i where i.item_id = f.item_id)
+union all
+select 'f_daily_sales.customer_id', count(*) from f_daily_sales f
+  where f.customer_id is not null and not exists (select 1 from d_customer c where c.customer_id = f.customer_id)
+"""))
+def q_fk_orphans(spark, sf):
+    """Orphan fact rows per declared foreign key."""
+    m = _mart_inputs(spark, sf)
+    parts = [
+        quality.fk_orphans(m["f_activity"], m["d_calendar"], "date_time", "date_time", "f_activity.date_time"),
+        quality.fk_orphans(m["f_daily_sales"], m["d_calendar"], "date_time", "date_time", "f_daily_sales.date_time"),
+        quality.fk_orphans(m["f_daily_sales"], m["d_item"], "item_id", "item_id", "f_daily_sales.item_id"),
+        quality.fk_orphans(m["f_daily_sales"], m["d_customer"], "customer_id", "customer_id", "f_daily_sales.customer_id"),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
-# --- C1 / C2 ------------------------------------------------------------------
+
+_PK_SPECS = [
+    ("f_daily_sales", ["date_time", "item_id", "customer_id"]),
+    ("f_activity", ["activity_id", "date_time"]),
+    ("d_calendar", ["date_time"]),
+    ("d_city", ["city_id"]),
+    ("d_customer", ["customer_id"]),
+    ("d_item", ["item_id"]),
+    ("user_orders_log", ["id"]),
+]
+
+
+def _pk_oracle() -> str:
+    parts = []
+    for t, keys in _PK_SPECS:
+        k = ", ".join(keys)
+        parts.append(f"""select '{t}' as table_name, '{",".join(keys)}' as key_columns,
+  count(*) as n_keys, cast(coalesce(sum(n), 0) as bigint) as n_rows
+from (select {k}, count(*) as n from {t} group by {k} having count(*) > 1) d""")
+    return O.with_ctes(*_MART_CTES, body="\nunion all\n".join(parts))
+
+
+@register("pk_violations", _pk_oracle())
+def q_pk_violations(spark, sf):
+    """Q5: primary-key / unique violations.  The sales PK omits status, so a
+    sale and its refund on one day collide (reported, rows kept)."""
+    m = _mart_inputs(spark, sf)
+    frames = {**m, "user_orders_log": m["orders"]}
+    out = None
+    for t, keys in _PK_SPECS:
+        part = quality.pk_violations(frames[t], keys, t)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+_COLUMN_SPECS = [
+    ("d_calendar", ["date_time"], {"month_name": 8}),
+    ("d_city", [], {"city_name": 50}),
+    ("d_customer", ["customer_id"], {"first_name": 15, "last_name": 15}),
+    ("d_item", ["item_id"], {"item_name": 50, "category_name": 50}),
+    ("f_daily_sales", ["date_time", "item_id", "customer_id"], {}),
+    ("f_activity", ["activity_id", "date_time"], {}),
+]
+
+
+def _column_checks_oracle() -> str:
+    parts = []
+    for t, nn, ml in _COLUMN_SPECS:
+        for c in nn:
+            parts.append(f"select '{t}' as table_name, '{c}' as column_name, 'not_null' as check_name, "
+                         f"count(*) filter (where {c} is null) as n_violations from {t}")
+        for c, n in ml.items():
+            parts.append(f"select '{t}', '{c}', 'max_length_{n}', "
+                         f"count(*) filter (where length({c}) > {n}) from {t}")
+    return O.with_ctes(*_MART_CTES, body="\nunion all\n".join(parts))
+
+
+@register("null_and_length_checks", _column_checks_oracle())
+def q_null_and_length_checks(spark, sf):
+    """Q5: NOT NULL and VARCHAR(n) limits of the declared mart schema."""
+    m = _mart_inputs(spark, sf)
+    out = None
+    for t, nn, ml in _COLUMN_SPECS:
+        part = quality.column_checks(m[t], t, nn, ml)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+# === D1-D5: dimensions and activity ==============================================
+
+@register("dim_calendar", O.with_ctes(*_MART_CTES, body="select * from d_calendar"))
+def q_dim_calendar(spark, sf):
+    """Calendar of all order and activity days."""
+    return _mart_inputs(spark, sf)["d_calendar"]
+
+
+@register("dim_city", O.with_ctes(*_MART_CTES, body="select * from d_city"))
+def q_dim_city(spark, sf):
+    """One row per city, latest name."""
+    return _mart_inputs(spark, sf)["d_city"]
+
+
+@register("dim_customer", O.with_ctes(*_MART_CTES, body="select * from d_customer"))
+def q_dim_customer(spark, sf):
+    """D3: one row per customer, latest attributes."""
+    return _mart_inputs(spark, sf)["d_customer"]
+
+
+@register("dim_item", O.with_ctes(*_MART_CTES, body="select * from d_item"))
+def q_dim_item(spark, sf):
+    """One row per item with its category."""
+    return _mart_inputs(spark, sf)["d_item"]
+
+
+@register("fact_activity", O.with_ctes(*_MART_CTES, body="select * from f_activity"))
+def q_fact_activity(spark, sf):
+    """Clicks per action and day."""
+    return _mart_inputs(spark, sf)["f_activity"]
+
+
+# === C1, M3 =======================================================================
 
 @register("daily_sales", O.with_ctes(*O.SALES_CTES, body="select * from f_daily_sales"))
 def q_daily_sales(spark, sf):
@@ -49,48 +445,186 @@ def q_daily_sales(spark, sf):
     return _sales(spark, sf)
 
 
-_RETENTION_ORACLE = O.with_ctes(
-    *O.SALES_CTES,
-    O.ITEM_CATEGORIES,
-    O.D_ITEM,
-    """periods as (
-  select *, cast(year(date_time) as varchar) || cast(week(date_time) as varchar) as period_id
-  from f_daily_sales)""",
-    """first_buys as (
-  select customer_id, period_id as cohort
-  from (select customer_id, period_id,
-               row_number() over (partition by customer_id order by date_time) as rn
-        from periods where status <> 'refunded') t
-  where rn = 1)""",
-    """base as (
-  select distinct p.period_id, p.date_time, p.customer_id, i.category_name, p.item_id,
-         p.payment_amount, p.status, f.cohort,
-         case when f.cohort = p.period_id then 'new' else 'returning' end as customer_type
-  from periods p left join d_item i on p.item_id = i.item_id
-       left join first_buys f on p.customer_id = f.customer_id)""",
-    """inner_groups as (
-  select period_id, customer_type, status, category_name, cohort,
-         count(distinct customer_id) as n_customers, sum(payment_amount) as amount,
-         count(*) as n_tx
-  from base group by period_id, customer_type, status, category_name, cohort)""",
-    body="""select 'weekly' as period_name, period_id, category_name, cohort,
-  cast(sum(case when status = 'shipped' and customer_type = 'new' then n_customers else 0 end) as integer) as new_customers_count,
-  cast(sum(case when status = 'shipped' and customer_type = 'returning' then n_customers else 0 end) as integer) as returning_customers_count,
-  cast(sum(case when status = 'refunded' then n_customers else 0 end) as integer) as refunded_customers_count,
-  cast(sum(case when status = 'shipped' and customer_type = 'new' then amount else 0 end) as decimal(14,2)) as new_customers_revenue,
-  cast(sum(case when status = 'shipped' and customer_type = 'returning' then amount else 0 end) as decimal(14,2)) as returning_customers_revenue,
-  cast(sum(case when status = 'refunded' then amount else 0 end) as decimal(14,2)) as refunded_customers_sum,
-  cast(sum(case when status = 'refunded' then n_tx else 0 end) as integer) as customers_refunded
-from inner_groups group by period_id, category_name, cohort""",
+_REPLACE_CTES = (
+    O.FX_ORDERS, O.USER_ORDERS_LOG,
+    O.sales_cte("target", "fx_orders"),
+    O.sales_cte("updates", f"(select * from user_orders_log where date_time >= date '{REPLACE_FROM}')"),
 )
 
 
-@register("weekly_retention", _RETENTION_ORACLE)
+@register("daily_sales_replace", O.with_ctes(*_REPLACE_CTES, body="""
+select * from target where date_time not in (select distinct date_time from updates)
+union all
+select * from updates"""))
+def q_daily_sales_replace(spark, sf):
+    """The stored fact, partitioned by day, has the days of
+    an update replaced (dynamic partition overwrite); other days kept."""
+    wh = Warehouse(spark, scratch_path(spark, "wh"))
+    wh.overwrite("f_daily_sales", C1.daily_sales(fx.fx_orders(spark, sf)))
+    upd = _orders(spark, sf).where(F.col("date_time") >= F.lit(REPLACE_FROM).cast("timestamp_ntz"))
+    wh.replace_partitions("f_daily_sales", C1.daily_sales(upd))
+    return wh.read("f_daily_sales")
+
+
+# === F1-F3, W2, J1/J2, A1-A10, C2, M4 ===========================================
+
+@register("period_id", O.with_ctes(*_ctes(), body="""
+select distinct cast(date_time as date) as business_dt,
+  cast(year(date_time) as varchar) || cast(week(date_time) as varchar) as period_id,
+  cast(isoyear(date_time) as varchar) || cast(week(date_time) as varchar) as iso_period_id
+from user_orders_log"""))
+def q_period_id(spark, sf):
+    """Year || ISO week, reference form and ISO-year form."""
+    d = _orders(spark, sf).select(to_day("date_time").alias("business_dt")).distinct()
+    return d.select("business_dt", period_id("business_dt").alias("period_id"),
+                    period_id("business_dt", iso_year=True).alias("iso_period_id"))
+
+
+_RET_CTES = O.SALES_CTES + (O.ITEM_CATEGORIES, O.D_ITEM) + O.retention_ctes("f_daily_sales")
+
+
+@register("customer_cohort", O.with_ctes(*_RET_CTES, body="select * from first_buys"))
+def q_customer_cohort(spark, sf):
+    """Each customer's first non-refunded sale day and its period."""
+    return R.customer_cohort(_sales(spark, sf))
+
+
+@register("sales_enriched", O.with_ctes(*_RET_CTES, body="select * from base"))
+def q_sales_enriched(spark, sf):
+    """The DISTINCT retention base with category (left join
+    on items), cohort (left join on customers) and customer type."""
+    sales = _sales(spark, sf)
+    base = R.sales_enriched(sales, _d_item(spark, sf))
+    cohorts = R.customer_cohort(sales).select("customer_id", "cohort")
+    out = base.join(cohorts, "customer_id", "left")
+    new = F.coalesce(F.col("cohort") == F.col("period_id"), F.lit(False))
+    return out.withColumn("customer_type", F.when(new, "new").otherwise("returning"))
+
+
+@register("retention_groups", O.with_ctes(*_RET_CTES, body="""
+select period_id, customer_type, status, category_name, cohort, n_customers,
+       cast(amount as decimal(14,2)) as payment_amount, n_tx as n_transactions
+from inner_groups"""))
+def q_retention_groups(spark, sf):
+    """The inner aggregate per (period, type, status, category,
+    cohort)."""
+    return R.retention_groups(_sales(spark, sf), _d_item(spark, sf))
+
+
+@register("weekly_retention", O.with_ctes(*_RET_CTES, body="select * from retention"))
 def q_weekly_retention(spark, sf):
     """A2 A5 A8 F11 F12 (flagship)."""
     return R.weekly_retention(_sales(spark, sf), _d_item(spark, sf))
 
 
+_RET_REPLACE_CTES = (
+    _REPLACE_CTES + (O.ITEM_CATEGORIES, O.D_ITEM)
+    + O.retention_ctes("target", "t_") + O.retention_ctes("updates", "u_")
+)
+
+
+@register("weekly_retention_replace", O.with_ctes(*_RET_REPLACE_CTES, body="""
+select * from t_retention where period_id not in (select period_id from u_retention)
+union all
+select * from u_retention"""))
+def q_weekly_retention_replace(spark, sf):
+    """M4: the stored retention, partitioned by period, has the periods of a
+    new computation replaced; periods absent from it are kept."""
+    wh = Warehouse(spark, scratch_path(spark, "wh"))
+    d_item = _d_item(spark, sf)
+    wh.overwrite("f_customer_retention",
+                 R.weekly_retention(C1.daily_sales(fx.fx_orders(spark, sf)), d_item))
+    upd = _orders(spark, sf).where(F.col("date_time") >= F.lit(REPLACE_FROM).cast("timestamp_ntz"))
+    wh.replace_partitions("f_customer_retention", R.weekly_retention(C1.daily_sales(upd), d_item))
+    return wh.read("f_customer_retention")
+
+
+# === C3-C5: jobs ==================================================================
+
+INITIAL_DS = "2000-11-30"
+INCREMENT_DS = "2000-12-15"
+INCREMENT_FROM = "2000-12-01"
+INITIAL_UNTIL = "2001-01-01"
+ACTIVITY_UNTIL = "2024-01-20"
+ACTIVITY_FROM = "2024-01-15"
+
+
+def _ts(s: str):
+    return F.lit(s).cast("timestamp_ntz")
+
+
+@register("increment_end_to_end", O.with_ctes(
+    *_ctes(O.ITEM_CATEGORIES,
+           f"""final_orders as (
+  select {O.ORDER_COLS},
+    case when date_time >= timestamp '{INITIAL_UNTIL}' or date_time = timestamp '{INCREMENT_DS}'
+         then status else 'shipped' end as status
+  from fx_orders)""",
+           O.D_ITEM.replace("from user_orders_log", "from final_orders"),
+           O.sales_cte("f_daily_sales", "final_orders")) + O.retention_ctes("f_daily_sales"),
+    body="select * from retention"))
+def q_increment_end_to_end(spark, sf):
+    """C4 (after a C3 setup): an initial load up to the end of 2000 (every
+    row 'shipped', refunded copies de-duplicated away), then one increment
+    with all rows from 2000-12-01 on (statuses kept).  The business day is
+    deleted and reloaded, overlapping days keep the earlier rows, later days
+    are new; facts are refreshed for the touched days and retention in full."""
+    land = scratch_path(spark, "landing")
+    wh = Warehouse(spark, scratch_path(spark, "wh"))
+    orders = _orders(spark, sf)
+    activity = fx.user_activity_log(spark, sf)
+    research = fx.customer_research(spark, sf)
+    write_landing(orders.where(F.col("date_time") < _ts(INITIAL_UNTIL)),
+                  landing_path(land, "user_orders_log", INITIAL_DS))
+    write_landing(activity.where(F.col("date_time") < _ts(ACTIVITY_UNTIL)),
+                  landing_path(land, "user_activity_log", INITIAL_DS))
+    write_landing(research.where(F.col("date_time") < _ts(INITIAL_UNTIL)),
+                  landing_path(land, "customer_research", INITIAL_DS))
+    cats = fx.item_categories(spark, sf)
+    jobs.initial_load(spark, land, wh, INITIAL_DS, categories=cats)
+
+    inc = fx.fx_orders(spark, sf).where(F.col("date_time") >= _ts(INCREMENT_FROM)).drop("id")
+    write_landing(inc.drop("category_name"),
+                  landing_path(land, "user_orders_log", INCREMENT_DS, increment=True))
+    write_landing(activity.where(F.col("date_time") >= _ts(ACTIVITY_FROM)).drop("id"),
+                  landing_path(land, "user_activity_log", INCREMENT_DS, increment=True))
+    write_landing(research.where(F.col("date_time") >= _ts(INCREMENT_FROM)),
+                  landing_path(land, "customer_research", INCREMENT_DS, increment=True))
+    res = jobs.daily_increment(spark, land, wh, INCREMENT_DS, categories=cats)
+    assert res.status == "loaded"
+    return wh.read("f_customer_retention")
+
+
+BACKFILL_DAYS = ["2001-07-01", "2001-07-02", "2001-07-03"]
+
+
+@register("backfill_three_days", O.with_ctes(
+    *_ctes(f"""final_orders as (
+  select {O.ORDER_COLS},
+    case when date_time >= timestamp '{BACKFILL_DAYS[0]}' then status else 'shipped' end as status
+  from fx_orders)""", O.sales_cte("f_daily_sales", "final_orders")),
+    body="select * from f_daily_sales"))
+def q_backfill_three_days(spark, sf):
+    """C5 (after a C3 setup): three daily increments in order -- the first
+    two days, then everything from the third day on -- leave the fact equal
+    to a one-shot computation over the final staging."""
+    land = scratch_path(spark, "landing")
+    wh = Warehouse(spark, scratch_path(spark, "wh"))
+    fxo = fx.fx_orders(spark, sf).drop("category_name")
+    day = F.to_date("date_time")
+    write_landing(fxo.where(day < F.lit(BACKFILL_DAYS[0]).cast("date")),
+                  landing_path(land, "user_orders_log", "2001-06-30"))
+    write_landing(fx.user_activity_log(spark, sf), landing_path(land, "user_activity_log", "2001-06-30"))
+    jobs.initial_load(spark, land, wh, "2001-06-30", categories=fx.item_categories(spark, sf))
+    for i, ds in enumerate(BACKFILL_DAYS):
+        sel = day >= F.lit(ds).cast("date") if i == len(BACKFILL_DAYS) - 1 else day == F.lit(ds).cast("date")
+        write_landing(fxo.where(sel).drop("id"),
+                      landing_path(land, "user_orders_log", ds, increment=True))
+    results = jobs.backfill(spark, land, wh, BACKFILL_DAYS, categories=fx.item_categories(spark, sf))
+    assert [r.status for r in results] == ["loaded"] * 3
+    return wh.read("f_daily_sales")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
