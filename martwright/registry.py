@@ -457,12 +457,13 @@ select * from target where date_time not in (select distinct date_time from upda
 union all
 select * from updates"""))
 def q_daily_sales_replace(spark, sf):
-    """The stored fact, partitioned by day, has the days of
-    an update replaced (dynamic partition overwrite); other days kept."""
+    """The stored fact has the days of an update replaced
+    (touched partitions merged by an anti join on the day and swapped in by
+    dynamic partition overwrite); other days kept."""
     wh = Warehouse(spark, scratch_path(spark, "wh"))
     wh.overwrite("f_daily_sales", C1.daily_sales(fx.fx_orders(spark, sf)))
     upd = _orders(spark, sf).where(F.col("date_time") >= F.lit(REPLACE_FROM).cast("timestamp_ntz"))
-    wh.replace_partitions("f_daily_sales", C1.daily_sales(upd))
+    wh.replace_by_key("f_daily_sales", C1.daily_sales(upd), "date_time")
     return wh.read("f_daily_sales")
 
 
@@ -528,14 +529,15 @@ select * from t_retention where period_id not in (select period_id from u_retent
 union all
 select * from u_retention"""))
 def q_weekly_retention_replace(spark, sf):
-    """M4: the stored retention, partitioned by period, has the periods of a
-    new computation replaced; periods absent from it are kept."""
+    """M4: the stored retention has the periods of a new computation
+    replaced; periods absent from it are kept."""
     wh = Warehouse(spark, scratch_path(spark, "wh"))
     d_item = _d_item(spark, sf)
     wh.overwrite("f_customer_retention",
                  R.weekly_retention(C1.daily_sales(fx.fx_orders(spark, sf)), d_item))
     upd = _orders(spark, sf).where(F.col("date_time") >= F.lit(REPLACE_FROM).cast("timestamp_ntz"))
-    wh.replace_partitions("f_customer_retention", R.weekly_retention(C1.daily_sales(upd), d_item))
+    wh.replace_by_key("f_customer_retention", R.weekly_retention(C1.daily_sales(upd), d_item),
+                      "period_id")
     return wh.read("f_customer_retention")
 
 

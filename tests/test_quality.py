@@ -1,0 +1,48 @@
+from pyspark.sql import functions as F
+
+from martwright.operators import quality
+
+
+def test_rows_check_bounds_inclusive(spark):
+    for n, want in [(4, 1), (5, 0), (6, 0)]:
+        v = quality.rows_check(spark.range(n), "user_orders_log").first()
+        assert v["dq_check_result"] == want
+        assert v["table_name"] == "user_orders_log" and v["datetime"] is not None
+    v = quality.rows_check(spark.range(5), "user_orders_log", lo=1, hi=4).first()
+    assert v["dq_check_result"] == 1
+
+
+def test_reference_labels(spark):
+    a = quality.rows_check(spark.range(5), "user_orders_log", reference_labels=True).first()
+    b = quality.rows_check(spark.range(5), "user_activity_log", reference_labels=True).first()
+    assert (a["table_name"], a["dq_check_name"]) == ("user_order_log", "check_rows_order_log")
+    assert (b["table_name"], b["dq_check_name"]) == ("user_activity_log", "check_rows_order_log")
+
+
+def test_failed_gate(spark):
+    ok = quality.rows_check(spark.range(10), "user_orders_log")
+    bad = quality.rows_check(spark.range(1), "user_activity_log")
+    assert not quality.failed(ok)
+    assert quality.failed(ok.unionByName(bad))
+
+
+def test_fk_orphans(spark):
+    fact = spark.createDataFrame([(1,), (2,), (None,), (3,)], "k int")
+    dim = spark.createDataFrame([(1,), (1,), (3,)], "id int")
+    r = quality.fk_orphans(fact, dim, "k", "id", "fact.k").first()
+    assert (r["fk_name"], r["n_orphans"]) == ("fact.k", 1)
+
+
+def test_pk_violations(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b"), (2, "a"), (2, "a"), (2, "a")], "x int, y string")
+    r = quality.pk_violations(df, ["x", "y"], "t").first()
+    assert (r["n_keys"], r["n_rows"]) == (2, 5)
+    r = quality.pk_violations(df.dropDuplicates(), ["x", "y"], "t").first()
+    assert (r["n_keys"], r["n_rows"]) == (0, 0)
+
+
+def test_column_checks(spark):
+    df = spark.createDataFrame([("September", None), ("May", 1)], "m string, k int")
+    got = {(r["column_name"], r["check_name"]): r["n_violations"]
+           for r in quality.column_checks(df, "t", ["k"], {"m": 8}).collect()}
+    assert got == {("k", "not_null"): 1, ("m", "max_length_8"): 1}

@@ -1,0 +1,99 @@
+from decimal import Decimal as D
+
+from pyspark.sql import functions as F
+
+from martwright.operators import staging
+from martwright.operators.replace import replace_by_key
+from martwright.schemas import DEDUP_KEYS, USER_ORDERS_LOG
+from martwright.sources import fixtures as fx
+from helpers import orders_df, rows_of, ts
+from conftest import SMOKE
+
+
+def test_dedupe_keeps_lowest_id_in_both_arrival_orders(spark):
+    # the refund arrives after the sale: the sale (lower id) survives
+    late_refund = orders_df(spark, [dict(id=1), dict(id=2, status="refunded")])
+    assert [r["status"] for r in staging.dedupe_entity(late_refund, "user_orders_log").collect()] == ["shipped"]
+    # the refund arrives first: the refund survives
+    early_refund = orders_df(spark, [dict(id=2), dict(id=1, status="refunded")])
+    got = staging.dedupe_entity(early_refund, "user_orders_log").collect()
+    assert [(r["id"], r["status"]) for r in got] == [(1, "refunded")]
+
+
+def test_dedupe_null_keys_group_together(spark):
+    o = orders_df(spark, [dict(id=5, city_name=None), dict(id=3, city_name=None), dict(id=4)])
+    got = sorted(r["id"] for r in staging.dedupe_entity(o, "user_orders_log").collect())
+    assert got == [3, 4]
+
+
+def test_grouped_dedupe_equals_window_on_fixture(spark):
+    for entity, df in [("user_orders_log", fx.user_orders_log(spark, SMOKE)),
+                       ("user_activity_log", fx.activity_with_copies(spark, SMOKE)),
+                       ("customer_research", fx.research_with_copies(spark, SMOKE))]:
+        a = staging.dedupe_entity(df, entity)
+        b = staging.dedupe_window(df, DEDUP_KEYS[entity])
+        assert rows_of(a) == rows_of(b), entity
+        assert a.count() < df.count()
+
+
+def test_dedupe_flags_removed_rows(spark):
+    o = orders_df(spark, [dict(id=1), dict(id=2), dict(id=3, item_id=7)])
+    got = {r["item_id"]: r["_n_removed"] for r in staging.dedupe_entity(o, "user_orders_log", True).collect()}
+    assert got == {1: 1, 7: 0}
+
+
+def test_day_delete_midnight_only_and_whole_day(spark):
+    o = orders_df(spark, [dict(id=1, date_time=ts("2022-07-09 00:00:00")),
+                          dict(id=2, date_time=ts("2022-07-09 09:15:00")),
+                          dict(id=3, date_time=ts("2022-07-10 00:00:00")),
+                          dict(id=4, date_time=None)])
+    ref = sorted(r["id"] for r in staging.delete_business_day(o, "2022-07-09").collect())
+    whole = sorted(r["id"] for r in staging.delete_business_day(o, "2022-07-09", whole_day=True).collect())
+    assert ref == [2, 3, 4]
+    assert whole == [3, 4]
+
+
+def test_align_casts_by_name_and_fills_missing(spark):
+    df = spark.createDataFrame([("7", 2.0, "x")], "customer_id string, quantity double, extra string")
+    out = staging.align(df, USER_ORDERS_LOG)
+    assert out.columns == USER_ORDERS_LOG.fieldNames()
+    r = out.first()
+    assert r["customer_id"] == 7 and r["quantity"] == 2 and r["status"] is None
+
+
+def test_append_by_name(spark):
+    a = orders_df(spark, [dict(id=1)])
+    b = spark.createDataFrame([(2, "refunded")], "id long, status string")
+    got = staging.append(a, b).collect()
+    assert [(r["id"], r["status"], r["city_id"]) for r in got] == [(1, "shipped", 1), (2, "refunded", None)]
+
+
+def test_assign_ids_unique_and_above_base(spark):
+    df = spark.range(0, 1000, numPartitions=7).withColumnRenamed("id", "x")
+    out = staging.assign_ids(df, 500)
+    agg = out.agg(F.min("id"), F.count_distinct("id"), F.count("*")).first()
+    assert agg[0] > 500 and agg[1] == agg[2] == 1000
+    # ids follow input order
+    ids = [r["id"] for r in out.orderBy("x").collect()]
+    assert ids == sorted(ids)
+
+
+def test_status_backfill_and_schema_evolution(spark):
+    o = orders_df(spark, [dict(id=1, status="refunded")])
+    assert staging.backfill_status(o).first()["status"] == "shipped"
+    no_status = o.drop("status")
+    assert staging.add_status_column(no_status).first()["status"] is None
+    assert staging.add_status_column(o).first()["status"] == "refunded"
+
+
+def test_exact_duplicates(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b")], "x int, y string")
+    assert df.transform(staging.drop_exact_duplicates).count() == 2
+
+
+def test_replace_by_key_keeps_null_keys(spark):
+    target = spark.createDataFrame([(1, "old"), (2, "old"), (None, "old")], "k int, v string")
+    upd = spark.createDataFrame([(2, "new"), (3, "new")], "k int, v string")
+    got = rows_of(replace_by_key(target, upd, "k"))
+    assert got == rows_of(spark.createDataFrame(
+        [(1, "old"), (None, "old"), (2, "new"), (3, "new")], "k int, v string"))
