@@ -39,25 +39,59 @@ def delete_business_day(df: DataFrame, ds: str | _dt.date, whole_day: bool = Fal
     return df.where(~on_business_day(F.col("date_time"), ds, whole_day))
 
 
+#: Largest value domain of a text payload column that de-dup encodes as a
+#: small integer code (see :func:`dedupe`).
+MAX_DICTIONARY = 1_000
+
+def _dictionary(df: DataFrame, col: str, max_size: int) -> list | None:
+    """The distinct non-NULL values of ``col`` if there are at most
+    ``max_size`` of them (one bounded collect), else None."""
+    vals = [r[0] for r in df.select(col).distinct().limit(max_size + 2).collect()
+            if r[0] is not None]
+    return sorted(vals) if len(vals) <= max_size else None
+
+
 def dedupe(df: DataFrame, keys: list[str], order_col: str = "id",
-           flag_removed: bool = False) -> DataFrame:
+           flag_removed: bool = False, max_dictionary: int = MAX_DICTIONARY) -> DataFrame:
     """Keep the row with the lowest ``order_col`` per key.
 
-    One hash aggregate: ``min(id)`` and ``min_by(<other columns>, id)`` per
-    key, so map-side partial aggregation shrinks duplicate-heavy (hot) keys
-    before the shuffle.  NULL key values form one group, as in PARTITION BY.
-    With ``flag_removed`` an extra ``_n_removed`` column counts the dropped
-    rows of each group (used to find the days a de-dup touched).
+    One hash aggregate per key: ``min(id)`` plus, for each payload column
+    outside the key, its value on the lowest-id row (``min_by``).  Map-side
+    partial aggregation shrinks duplicate-heavy (hot) keys before the
+    shuffle.  NULL key values form one group, as in PARTITION BY.
+
+    Spark's hash aggregate needs fixed-width buffers; a text payload (the
+    orders' ``status``) would push the whole aggregate into a sort-based
+    one.  So a text column whose value domain is small (checked, at most
+    ``max_dictionary`` values) is carried as its integer position in that
+    sorted domain and decoded after the aggregate; a larger domain falls
+    back to ``min_by`` on the text itself.  ``flag_removed`` adds
+    ``_n_removed``, the number of rows dropped per surviving row.
     """
     rest = [c for c in df.columns if c not in keys and c != order_col]
+    types = dict(df.dtypes)
+    order = F.col(order_col)
     aggs = [F.min(order_col).alias(order_col)]
-    if rest:
-        aggs.append(F.min_by(F.struct(*rest), F.col(order_col)).alias("_rest"))
+    decode = {}
+    for c in rest:
+        dtype = df.schema[c].dataType
+        domain = None
+        if isinstance(dtype, T.StringType) and max_dictionary:
+            domain = _dictionary(df, c, max_dictionary)
+        if domain is not None:
+            values = F.array(*[F.lit(v) for v in domain]) if domain else F.array().cast("array<string>")
+            code = F.coalesce(F.array_position(values, F.col(c)).cast("int"), F.lit(0))
+            aggs.append(F.min_by(code, order).alias(c))
+            decode[c] = F.when(F.col(c) > 0, F.element_at(values, F.col(c))).alias(c)
+        else:
+            aggs.append(F.min_by(F.col(c), order).alias(c))
     if flag_removed:
         aggs.append((F.count(F.lit(1)) - 1).alias("_n_removed"))
     g = df.groupBy(*keys).agg(*aggs)
-    cols = [F.col(f"_rest.{c}").alias(c) if c in rest else F.col(c) for c in df.columns]
-    return g.select(*cols, *(["_n_removed"] if flag_removed else []))
+    cols = [decode.get(c, F.col(c)) for c in df.columns]
+    out = g.select(*cols, *(["_n_removed"] if flag_removed else []))
+    assert all(types[c] == t for c, t in out.dtypes if c in types)
+    return out
 
 
 def dedupe_window(df: DataFrame, keys: list[str], order_col: str = "id") -> DataFrame:
