@@ -105,6 +105,20 @@ F_CUSTOMER_RETENTION = _schema(
     ("customers_refunded", I),
 )
 
+#: Persisted intermediates of incremental retention (not in the reference):
+#: the per-(customer, period, category, status) groups and the cohorts.
+RETENTION_GROUPS = _schema(
+    ("customer_id", I),
+    ("period_id", S),
+    ("category_name", S),
+    ("status", S),
+    ("amount", T.DecimalType(20, 2)),
+    ("n_tx", L),
+    ("first_day", D),
+)
+
+CUSTOMER_COHORTS = _schema(("customer_id", I), ("first_buy", D), ("cohort", S))
+
 #: staging entity name -> declared schema (S2 fan-out)
 STAGING = {
     "customer_research": CUSTOMER_RESEARCH,
