@@ -14,6 +14,13 @@ rules are ours, derived from the declared targets:
 
 All are one grouped aggregate (partial aggregation before the shuffle,
 so a hot key costs one row per map task, not one row per event).
+
+D2-D4 are "latest by (date_time, id)", and the latest of per-partition
+latests is the overall latest.  So the job layer keeps, per staging
+partition, each key's latest row (:func:`latest_per_partition`); an
+increment re-summarises only the partitions it touched, and the dimension
+is the same :func:`_latest` reduction applied to the summaries instead of
+to all of staging.
 """
 
 from __future__ import annotations
@@ -25,6 +32,24 @@ from ..functions import calendar_attributes, to_day
 
 
 
+#: dimension -> (natural key, attributes) of the latest-row dimensions.
+LATEST_DIMS = {
+    "d_city": ("city_id", ["city_name"]),
+    "d_customer": ("customer_id", ["first_name", "last_name", "city_id"]),
+    "d_item": ("item_id", ["item_name"]),
+}
+
+
+def latest_per_partition(orders: DataFrame, dim: str, part: str = "dt") -> DataFrame:
+    """Per (staging partition, key): the key's latest row there, keeping its
+    ``date_time`` and ``id`` so summaries reduce exactly like raw rows."""
+    key, attrs = LATEST_DIMS[dim]
+    cols = attrs + ["date_time", "id"]
+    w = orders.groupBy(part, key).agg(
+        F.max_by(F.struct(*cols), F.struct("date_time", "id")).alias("w"))
+    return w.select(key, *[F.col(f"w.{c}").alias(c) for c in cols])
+
+
 def _latest(df: DataFrame, key: str, attrs: list[str]) -> DataFrame:
     picked = df.groupBy(key).agg(F.max_by(F.struct(*attrs), F.struct("date_time", "id")).alias("a"))
     return picked.select(key, *[F.col(f"a.{c}").alias(c) for c in attrs])

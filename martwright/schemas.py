@@ -119,6 +119,13 @@ RETENTION_GROUPS = _schema(
 
 CUSTOMER_COHORTS = _schema(("customer_id", I), ("first_buy", D), ("cohort", S))
 
+#: Per-staging-partition latest rows feeding D2-D4 (key, attributes, and the
+#: winning row's date_time and id).
+D_CITY_PARTS = _schema(("city_id", I), ("city_name", S), ("date_time", TS), ("id", L))
+D_CUSTOMER_PARTS = _schema(("customer_id", L), ("first_name", S), ("last_name", S),
+                           ("city_id", I), ("date_time", TS), ("id", L))
+D_ITEM_PARTS = _schema(("item_id", I), ("item_name", S), ("date_time", TS), ("id", L))
+
 #: staging entity name -> declared schema (S2 fan-out)
 STAGING = {
     "customer_research": CUSTOMER_RESEARCH,
