@@ -51,6 +51,22 @@ def _dictionary(df: DataFrame, col: str, max_size: int) -> list | None:
     return sorted(vals) if len(vals) <= max_size else None
 
 
+#: M1 in SQL form (P13): table and business date are bound parameters, never
+#: spliced into the text.
+DELETE_DAY_SQL = """
+SELECT * FROM IDENTIFIER(:table)
+WHERE NOT coalesce(date_time = CAST(make_date(CAST(left(:ds, 4) AS INT),
+                                              CAST(substring(:ds, 6, 2) AS INT),
+                                              CAST(right(:ds, 2) AS INT)) AS TIMESTAMP_NTZ), false)
+"""
+
+
+def delete_business_day_sql(spark, table: str, ds: str | _dt.date) -> DataFrame:
+    """M1/M2/P13 through ``spark.sql`` with named parameters over a table or
+    temporary view; same rows as :func:`delete_business_day`."""
+    return spark.sql(DELETE_DAY_SQL, args={"table": table, "ds": str(ds)})
+
+
 def dedupe(df: DataFrame, keys: list[str], order_col: str = "id",
            flag_removed: bool = False, max_dictionary: int = MAX_DICTIONARY) -> DataFrame:
     """Keep the row with the lowest ``order_col`` per key.

@@ -26,6 +26,7 @@ from .sources import fixtures as fx
 from .sources.landing import (cleanse_increment, cleanse_initial, landing_path,
                               read_landing, write_landing)
 from .sources.store import Warehouse
+from .streaming import increments
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -600,16 +601,9 @@ def q_increment_end_to_end(spark, sf):
 BACKFILL_DAYS = ["2001-07-01", "2001-07-02", "2001-07-03"]
 
 
-@register("backfill_three_days", O.with_ctes(
-    *_ctes(f"""final_orders as (
-  select {O.ORDER_COLS},
-    case when date_time >= timestamp '{BACKFILL_DAYS[0]}' then status else 'shipped' end as status
-  from fx_orders)""", O.sales_cte("f_daily_sales", "final_orders")),
-    body="select * from f_daily_sales"))
-def q_backfill_three_days(spark, sf):
-    """C5 (after a C3 setup): three daily increments in order -- the first
-    two days, then everything from the third day on -- leave the fact equal
-    to a one-shot computation over the final staging."""
+def _land_backfill(spark, sf):
+    """C3 from an initial extract up to 2001-06-30, then three increment
+    extracts (the first two days, then everything from the third day on)."""
     land = scratch_path(spark, "landing")
     wh = Warehouse(spark, scratch_path(spark, "wh"))
     fxo = fx.fx_orders(spark, sf).drop("category_name")
@@ -622,6 +616,36 @@ def q_backfill_three_days(spark, sf):
         sel = day >= F.lit(ds).cast("date") if i == len(BACKFILL_DAYS) - 1 else day == F.lit(ds).cast("date")
         write_landing(fxo.where(sel).drop("id"),
                       landing_path(land, "user_orders_log", ds, increment=True))
+    return land, wh
+
+
+_BACKFILL_ORACLE = O.with_ctes(
+    *_ctes(f"""final_orders as (
+  select {O.ORDER_COLS},
+    case when date_time >= timestamp '{BACKFILL_DAYS[0]}' then status else 'shipped' end as status
+  from fx_orders)""", O.sales_cte("f_daily_sales", "final_orders")),
+    body="select * from f_daily_sales")
+
+
+@register("stream_increments", _BACKFILL_ORACLE)
+def q_stream_increments(spark, sf):
+    """S8 + C5 through Structured Streaming: a file stream over the landing
+    folder (Trigger.AvailableNow) runs the increment for each landed day."""
+    land, wh = _land_backfill(spark, sf)
+    seen = []
+    q = increments.start(spark, land, wh, scratch_path(spark, "stream-ckpt"),
+                         fx.item_categories(spark, sf), on_result=lambda r: seen.append(r.ds))
+    q.awaitTermination()
+    assert seen == BACKFILL_DAYS, seen
+    return wh.read("f_daily_sales")
+
+
+@register("backfill_three_days", _BACKFILL_ORACLE)
+def q_backfill_three_days(spark, sf):
+    """C5 (after a C3 setup): three daily increments in order -- the first
+    two days, then everything from the third day on -- leave the fact equal
+    to a one-shot computation over the final staging."""
+    land, wh = _land_backfill(spark, sf)
     results = jobs.backfill(spark, land, wh, BACKFILL_DAYS, categories=fx.item_categories(spark, sf))
     assert [r.status for r in results] == ["loaded"] * 3
     return wh.read("f_daily_sales")

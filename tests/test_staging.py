@@ -97,3 +97,13 @@ def test_replace_by_key_keeps_null_keys(spark):
     got = rows_of(replace_by_key(target, upd, "k"))
     assert got == rows_of(spark.createDataFrame(
         [(1, "old"), (None, "old"), (2, "new"), (3, "new")], "k int, v string"))
+
+
+def test_day_delete_sql_form_matches(spark):
+    o = orders_df(spark, [dict(id=1, date_time=ts("2022-07-09 00:00:00")),
+                          dict(id=2, date_time=ts("2022-07-09 09:15:00")),
+                          dict(id=3, date_time=None)])
+    o.createOrReplaceTempView("orders_for_delete")
+    got = staging.delete_business_day_sql(spark, "orders_for_delete", "2022-07-09")
+    assert rows_of(got) == rows_of(staging.delete_business_day(o, "2022-07-09"))
+    assert sorted(r["id"] for r in got.collect()) == [2, 3]
