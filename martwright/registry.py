@@ -47,6 +47,14 @@ def _ctes(*extra: str) -> tuple[str, ...]:
 
 # --- shared inputs ------------------------------------------------------------
 
+def _warehouse(spark):
+    """A fresh warehouse below the shared scratch folder.  Month grain: the
+    test history spans 2,400 days of a few dozen rows each, too little per
+    day to deserve its own files (day grain is the default for real daily
+    volumes; both give identical tables)."""
+    return Warehouse(spark, scratch_path(spark, "wh"), grain="month")
+
+
 def _orders(spark, sf):
     return fx.user_orders_log(spark, sf)
 
@@ -127,7 +135,7 @@ def q_landing_date_name(spark, sf):
 def q_append_by_name(spark, sf):
     """Append rows whose columns come in another order (and
     with an extra column) into the declared table, by name; read back."""
-    wh = Warehouse(spark, scratch_path(spark, "wh"))
+    wh = _warehouse(spark)
     wh.init_tables(["user_orders_log"])
     src = fx.user_orders_log(spark, sf, with_category=True)
     src = src.select(*reversed(src.columns))
@@ -139,7 +147,7 @@ def q_append_by_name(spark, sf):
 def q_increment_gate_noop(spark, sf):
     """No increment landed for the day -> the job does nothing and the
     staging table is unchanged."""
-    wh = Warehouse(spark, scratch_path(spark, "wh"))
+    wh = _warehouse(spark)
     wh.init_tables(["user_orders_log"])
     wh.overwrite("user_orders_log", _orders(spark, sf))
     result = jobs.daily_increment(spark, scratch_path(spark, "landing"), wh, "2022-07-09")
@@ -278,7 +286,7 @@ select 'user_activity_log', 'check_rows_activity_log',
 def q_verdict_log(spark, sf):
     """Both checks run in order and are appended to the
     check log with the current time."""
-    wh = Warehouse(spark, scratch_path(spark, "wh"))
+    wh = _warehouse(spark)
     wh.init_tables(["dq_checks_results"])
     jobs.run_checks(spark, wh, {"user_orders_log": _orders(spark, sf),
                                 "user_activity_log": fx.user_activity_log(spark, sf)})
@@ -461,7 +469,7 @@ def q_daily_sales_replace(spark, sf):
     """The stored fact has the days of an update replaced
     (touched partitions merged by an anti join on the day and swapped in by
     dynamic partition overwrite); other days kept."""
-    wh = Warehouse(spark, scratch_path(spark, "wh"))
+    wh = _warehouse(spark)
     wh.overwrite("f_daily_sales", C1.daily_sales(fx.fx_orders(spark, sf)))
     upd = _orders(spark, sf).where(F.col("date_time") >= F.lit(REPLACE_FROM).cast("timestamp_ntz"))
     wh.replace_by_key("f_daily_sales", C1.daily_sales(upd), "date_time")
@@ -532,7 +540,7 @@ select * from u_retention"""))
 def q_weekly_retention_replace(spark, sf):
     """M4: the stored retention has the periods of a new computation
     replaced; periods absent from it are kept."""
-    wh = Warehouse(spark, scratch_path(spark, "wh"))
+    wh = _warehouse(spark)
     d_item = _d_item(spark, sf)
     wh.overwrite("f_customer_retention",
                  R.weekly_retention(C1.daily_sales(fx.fx_orders(spark, sf)), d_item))
@@ -573,7 +581,7 @@ def q_increment_end_to_end(spark, sf):
     deleted and reloaded, overlapping days keep the earlier rows, later days
     are new; facts are refreshed for the touched days and retention in full."""
     land = scratch_path(spark, "landing")
-    wh = Warehouse(spark, scratch_path(spark, "wh"))
+    wh = _warehouse(spark)
     orders = _orders(spark, sf)
     activity = fx.user_activity_log(spark, sf)
     research = fx.customer_research(spark, sf)
@@ -605,7 +613,7 @@ def _land_backfill(spark, sf):
     """C3 from an initial extract up to 2001-06-30, then three increment
     extracts (the first two days, then everything from the third day on)."""
     land = scratch_path(spark, "landing")
-    wh = Warehouse(spark, scratch_path(spark, "wh"))
+    wh = _warehouse(spark)
     fxo = fx.fx_orders(spark, sf).drop("category_name")
     day = F.to_date("date_time")
     write_landing(fxo.where(day < F.lit(BACKFILL_DAYS[0]).cast("date")),

@@ -63,7 +63,7 @@ def main():
     from martwright.sources.store import Warehouse
 
     spark = build_session("local[4]", shuffle_partitions=8)
-    wh = Warehouse(spark, scratch_path(spark, "plans-wh"))
+    wh = Warehouse(spark, scratch_path(spark, "plans-wh"), grain="month")
     wh.init_tables(["dq_checks_results"])
     cats = fx.item_categories(spark, a.sf)
     wh.overwrite("user_orders_log", fx.user_orders_log(spark, a.sf))
