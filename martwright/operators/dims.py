@@ -50,6 +50,13 @@ def latest_per_partition(orders: DataFrame, dim: str, part: str = "dt") -> DataF
     return w.select(key, *[F.col(f"w.{c}").alias(c) for c in cols])
 
 
+def days_per_partition(df: DataFrame) -> DataFrame:
+    """D1 source summary: the distinct days of a staging table (the job layer
+    keeps one per partition, re-summarising only touched partitions)."""
+    return df.select(to_day("date_time").alias("date_time")).where(
+        F.col("date_time").isNotNull()).distinct()
+
+
 def _latest(df: DataFrame, key: str, attrs: list[str]) -> DataFrame:
     picked = df.groupBy(key).agg(F.max_by(F.struct(*attrs), F.struct("date_time", "id")).alias("a"))
     return picked.select(key, *[F.col(f"a.{c}").alias(c) for c in attrs])

@@ -126,6 +126,9 @@ D_CUSTOMER_PARTS = _schema(("customer_id", L), ("first_name", S), ("last_name",
                            ("city_id", I), ("date_time", TS), ("id", L))
 D_ITEM_PARTS = _schema(("item_id", I), ("item_name", S), ("date_time", TS), ("id", L))
 
+#: Per-staging-partition distinct days feeding D1.
+CALENDAR_DAYS = _schema(("date_time", D))
+
 #: staging entity name -> declared schema (S2 fan-out)
 STAGING = {
     "customer_research": CUSTOMER_RESEARCH,
