@@ -1,0 +1,58 @@
+"""Hot keys: one customer (or one duplicate group) holding a third of all
+rows must give the same results as the reference formulations."""
+
+import datetime as dt
+from decimal import Decimal as D
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from martwright.operators import staging
+from martwright.plans import retention as R
+from martwright.schemas import DEDUP_KEYS
+from helpers import items_df, orders_df, rows_of, sales_df
+from test_retention import two_level
+
+
+def test_hot_customer_retention(spark):
+    rows = []
+    start = dt.date(2022, 1, 1)
+    for i in range(600):
+        hot = i % 3 == 0
+        rows.append(dict(
+            customer_id=1 if hot else 2 + i % 50,
+            date_time=start + dt.timedelta(days=i % 60),
+            item_id=1 + i % 4,
+            payment_amount=D(f"{1 + i % 7}.25"),
+            status="refunded" if i % 11 == 0 else "shipped",
+        ))
+    sales = sales_df(spark, rows).repartition(8)
+    items = items_df(spark, [(1, "a", "x"), (2, "b", "y"), (3, "c", None)])
+    assert rows_of(R.weekly_retention(sales, items)) == two_level(spark, sales, items)
+
+
+def test_hot_duplicate_group_dedupe(spark):
+    rows = [dict(id=i, status="refunded" if i % 2 else "shipped") for i in range(300, 0, -1)]
+    rows += [dict(id=1000 + i, item_id=2 + i) for i in range(600)]
+    o = orders_df(spark, rows).repartition(8)
+    got = staging.dedupe_entity(o, "user_orders_log")
+    assert rows_of(got) == rows_of(staging.dedupe_window(o, DEDUP_KEYS["user_orders_log"]))
+    assert got.count() == 601
+    assert {r["id"]: r["status"] for r in got.where("item_id = 1").collect()} == {1: "refunded"}
+
+
+_row = st.fixed_dictionaries(dict(
+    id=st.integers(1, 10_000),
+    city_name=st.sampled_from(["a", "b", None]),
+    item_id=st.sampled_from([1, 2]),
+    quantity=st.sampled_from([1, 2, None]),
+    status=st.sampled_from(["shipped", "refunded", None, "lost"]),
+))
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(_row, min_size=1, max_size=40, unique_by=lambda r: r["id"]))
+def test_grouped_dedupe_equals_window_property(spark, rows):
+    o = orders_df(spark, rows)
+    keys = DEDUP_KEYS["user_orders_log"]
+    assert rows_of(staging.dedupe_entity(o, "user_orders_log")) == rows_of(staging.dedupe_window(o, keys))
