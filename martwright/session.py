@@ -98,3 +98,27 @@ def local_path(path: str) -> str:
         while path.startswith("//"):
             path = path[1:]
     return os.path.abspath(path)
+
+
+def expire_scratch(spark: SparkSession, older_than_seconds: float) -> list[str]:
+    """Delete scratch folders (staged rewrites, lineage cuts) older than the
+    given age from the shared checkpoint folder; returns what was removed.
+    Jobs never read a scratch folder after they finish, so anything older
+    than the longest job is garbage.  Uses the Hadoop FileSystem API, so it
+    works on any shared store the cluster names."""
+    import time
+
+    sc = spark.sparkContext
+    root = checkpoint_root(spark).rstrip("/") + "/scratch"
+    jvm = sc._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    cutoff_ms = (time.time() - older_than_seconds) * 1000
+    removed = []
+    for st in fs.listStatus(path):
+        if st.getModificationTime() < cutoff_ms:
+            fs.delete(st.getPath(), True)
+            removed.append(st.getPath().toString())
+    return removed
