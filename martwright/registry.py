@@ -552,6 +552,26 @@ def q_weekly_retention_replace(spark, sf):
 
 # === C3-C5: jobs ==================================================================
 
+@register("initial_load", O.with_ctes(*_ctes(), body=f"""
+select {O.ORDER_COLS}, 'shipped' as status from (
+  select *, row_number() over (partition by city_id, city_name, customer_id, date_time, first_name,
+                                            item_id, item_name, last_name, quantity, payment_amount
+                               order by id) as rn
+  from user_orders_log) t
+where rn = 1"""))
+def q_initial_load(spark, sf):
+    """C3 (M11 P3 P12 S1 S5 M5 and the first mart build): the whole orders
+    extract, refunded copies included, lands as the initial file; every row
+    becomes 'shipped' and the later copies are de-duplicated away."""
+    land = scratch_path(spark, "landing")
+    wh = _warehouse(spark)
+    write_landing(_orders(spark, sf), landing_path(land, "user_orders_log", "2022-07-09"))
+    write_landing(fx.user_activity_log(spark, sf), landing_path(land, "user_activity_log", "2022-07-09"))
+    res = jobs.initial_load(spark, land, wh, "2022-07-09", categories=fx.item_categories(spark, sf))
+    assert res.status == "loaded"
+    return wh.read("user_orders_log")
+
+
 INITIAL_DS = "2000-11-30"
 INCREMENT_DS = "2000-12-15"
 INCREMENT_FROM = "2000-12-01"
