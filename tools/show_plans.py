@@ -72,7 +72,6 @@ def main():
 
     days = [dt.date(2001, 7, 15), dt.date(2001, 7, 16)]
     periods = sorted({R.period_of(d) for d in days})
-    orders = wh.read("user_orders_log", with_partition=True)
     print("# Physical plans of the headline steps\n")
     print(f"Generated by `tools/show_plans.py` over sf `{a.sf}` (local mode, 8 shuffle "
           "partitions, AQE on: the plans below are the initial ones; AQE may still "
@@ -87,21 +86,22 @@ def main():
          R.weekly_retention(wh.read("f_daily_sales"), wh.read("d_item"))),
         ("M5 orders de-dup", "One hash aggregate (fixed-width buffers thanks to the status code).",
          staging.dedupe_entity(wh.read("user_orders_log"), "user_orders_log")),
-        ("C4 staging read of the touched days", "Partition pruning to the touched months only.",
-         staging.delete_business_day(orders.where(wh.partition_filter(days))
-                                     .drop("dt"), days[0])),
-        ("C4 fact rows of the touched days", "Pruned partitions and columns, then C1.",
-         C1.daily_sales(orders.where(wh.days_filter(days)))),
+        ("C4 staging read of the touched days",
+         "Only the touched partitions' directories are read (paths, not discovery + pruning).",
+         staging.delete_business_day(wh.read("user_orders_log", days=days), days[0])),
+        ("C4 fact rows of the touched days", "Touched partitions, pruned columns, then C1.",
+         C1.daily_sales(wh.read("user_orders_log", with_partition=True, days=days)
+                        .where(wh.days_filter(days)))),
         ("C4 retention groups of the touched weeks",
          "Only the fact days of the touched periods are re-grouped.",
          R.customer_period_groups(R.sales_enriched(
-             wh.read("f_daily_sales", with_partition=True)
+             wh.read("f_daily_sales", with_partition=True, days=R.days_of_periods(periods))
              .where(wh.days_filter(R.days_of_periods(periods))).drop("dt"),
              wh.read("d_item")))),
         ("C4 retention of the affected periods",
-         "Stored groups (period partitions pruned) joined to the cohorts, then the final aggregate.",
+         "Stored groups of the affected periods joined to the cohorts, then the final aggregate.",
          R.final_aggregate(R.attach_cohorts(
-             wh.read("retention_groups").where(F.col("period_id").isin(periods)),
+             wh.read("retention_groups", values=periods),
              wh.read("customer_cohorts")))),
         ("D3 customer dimension from partition summaries",
          "Reduces the per-partition latest rows, not staging.",
