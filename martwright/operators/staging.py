@@ -117,8 +117,15 @@ def dedupe_window(df: DataFrame, keys: list[str], order_col: str = "id") -> Data
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
-def dedupe_entity(df: DataFrame, entity: str, flag_removed: bool = False) -> DataFrame:
-    return dedupe(df, DEDUP_KEYS[entity], flag_removed=flag_removed)
+def dedupe_entity(df: DataFrame, entity: str, flag_removed: bool = False,
+                  include_status: bool = False) -> DataFrame:
+    """M5 with the reference's keys.  The orders key leaves ``status`` out,
+    so a later refund whose other columns equal its sale is dropped;
+    ``include_status=True`` makes status part of the key and keeps both."""
+    keys = list(DEDUP_KEYS[entity])
+    if include_status and "status" in df.columns:
+        keys.append("status")
+    return dedupe(df, keys, flag_removed=flag_removed)
 
 
 def backfill_status(df: DataFrame, value: str = "shipped") -> DataFrame:

@@ -107,3 +107,10 @@ def test_day_delete_sql_form_matches(spark):
     got = staging.delete_business_day_sql(spark, "orders_for_delete", "2022-07-09")
     assert rows_of(got) == rows_of(staging.delete_business_day(o, "2022-07-09"))
     assert sorted(r["id"] for r in got.collect()) == [2, 3]
+
+
+def test_dedupe_include_status_keeps_sale_and_refund(spark):
+    o = orders_df(spark, [dict(id=1), dict(id=2, status="refunded"), dict(id=3)])
+    assert staging.dedupe_entity(o, "user_orders_log").count() == 1
+    got = staging.dedupe_entity(o, "user_orders_log", include_status=True).collect()
+    assert sorted((r["id"], r["status"]) for r in got) == [(1, "shipped"), (2, "refunded")]
