@@ -627,6 +627,7 @@ def q_increment_end_to_end(spark, sf):
 
 
 BACKFILL_DAYS = ["2001-07-01", "2001-07-02", "2001-07-03"]
+STREAM_TIMEOUT_SECONDS = 1800
 
 
 def _land_backfill(spark, sf):
@@ -663,7 +664,9 @@ def q_stream_increments(spark, sf):
     seen = []
     q = increments.start(spark, land, wh, scratch_path(spark, "stream-ckpt"),
                          fx.item_categories(spark, sf), on_result=lambda r: seen.append(r.ds))
-    q.awaitTermination()
+    if not q.awaitTermination(STREAM_TIMEOUT_SECONDS):   # AvailableNow stops by itself
+        q.stop()
+        raise TimeoutError("landing stream did not finish")
     assert seen == BACKFILL_DAYS, seen
     return wh.read("f_daily_sales")
 
