@@ -68,9 +68,9 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 
-    Read from the session; only when it is unset (tests, local bench) a
-    private folder is created and registered, so that ``DataFrame.checkpoint``
-    and our staged writes have somewhere to go.
+    Read from the session; only when it is unset in local mode (tests, the
+    local bench) a private folder is created and registered.  On a cluster an
+    unset folder is an error: a driver-local path is invisible to executors.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -80,6 +80,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not configured:
+        if not (sc.master or "").startswith("local"):
+            # a driver-local folder is invisible to executors on a cluster
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder for this cluster")
         configured = tempfile.mkdtemp(prefix="martwright-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
