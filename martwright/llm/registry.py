@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_dedup, quality_rules
+from . import line_dedup, minhash_dedup, packing, quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_dedup": line_dedup.op2_line_dedup,
+    "op7_best_fit_packing": packing.op7_best_fit_packing,
+    "op9_minhash_dedup": minhash_dedup.op9_minhash_dedup,
     "op10_quality_rules": quality_rules.op10_quality_rules,
 }
 
