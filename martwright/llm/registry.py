@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_dedup, minhash_dedup, packing, quality_rules
+from . import bpe, line_dedup, minhash_dedup, packing, quality_rules, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_dedup": line_dedup.op2_line_dedup,
+    "op4_bpe": bpe.op4_bpe,
+    "op6_substring_dedup": substring_dedup.op6_substring_dedup,
     "op7_best_fit_packing": packing.op7_best_fit_packing,
     "op9_minhash_dedup": minhash_dedup.op9_minhash_dedup,
     "op10_quality_rules": quality_rules.op10_quality_rules,
