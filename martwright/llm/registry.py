@@ -6,18 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, line_dedup, minhash_dedup, packing, quality_rules, substring_dedup
+from . import (bpe, html_extract, license_scan, line_dedup, minhash_dedup, packing, quality_knn, quality_rules,
+               substring_dedup, topk_search)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_extract": html_extract.op1_html_extract,
     "op2_line_dedup": line_dedup.op2_line_dedup,
+    "op3_quality_classifier": quality_knn.op3_quality_classifier,
     "op4_bpe": bpe.op4_bpe,
+    "op5_license_scan": license_scan.op5_license_scan,
     "op6_substring_dedup": substring_dedup.op6_substring_dedup,
     "op7_best_fit_packing": packing.op7_best_fit_packing,
+    "op8_exact_topk": topk_search.op8_exact_topk,
     "op9_minhash_dedup": minhash_dedup.op9_minhash_dedup,
     "op10_quality_rules": quality_rules.op10_quality_rules,
 }
 
 ORACLE: dict[str, str] = {
     "op2_line_dedup": line_dedup.oracle(),
+    "op8_exact_topk": topk_search.oracle(),
     "op10_quality_rules": quality_rules.oracle(),
 }
