@@ -9,7 +9,7 @@ reach the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -22,6 +22,13 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def with_text(columns: list[str], text: Column, changed: Column) -> list[Column]:
+    """The columns with the new text; ``n_chars`` follows where it changed."""
+    return [text.alias(c) if c == "text" else
+            F.when(changed, F.length(text).cast("long")).otherwise(F.col(c)).alias(c) if c == "n_chars" else F.col(c)
+            for c in columns]
+
+
 def _state(links: DataFrame) -> tuple:
     return tuple(links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first())
 

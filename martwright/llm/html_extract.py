@@ -301,7 +301,7 @@ def extract_pages(pages: DataFrame, limit: int = LABELLED_PAGES) -> DataFrame:
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in chunks(batch, "html"):
+            for part in chunks(batch, 2):
                 texts = [extract(x, weights.value) for x in part.column(2).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).cast(pa.int64()), part.column(1), pa.array(texts, pa.string()),

@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .components import with_text
+
 MIN_SITES = 10
 #: Estimates within this share of the threshold are counted exactly.
 NEAR = 0.25
@@ -60,19 +62,18 @@ def spread_lines(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
 def dedup_lines(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     """docs with ``text`` rid of repeats of cross-site lines, plus
     ``n_lines`` and ``n_removed_lines``."""
-    clash = [c for c in docs.columns if c in ("n_lines", "n_removed_lines")]
+    names = [c for c in docs.columns if c.lower() not in ("n_lines", "n_removed_lines")]
     hits = (_keyed(docs).join(spread_lines(docs, min_sites), ["k1", "k2"])
             .where(~((F.col("doc_id").eqNullSafe(F.col("first.doc_id"))) & (F.col("pos") == F.col("first.pos"))))
-            .groupBy("doc_id", "th").agg(F.collect_set("pos").alias("_gone")))
-    hits = hits.select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "_gone")
-    d = docs.withColumn("_h", F.xxhash64("text"))
-    d = d.join(hits, d["doc_id"].eqNullSafe(F.col("_id")) & (d["_h"] == F.col("_th")), "left")
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(
-        F.filter(_lines(), lambda x, i: ~F.array_contains("_gone", i)), "\n"))
+            .groupBy("doc_id", "th").agg(F.collect_set("pos").alias("gone")))
+    d = docs.select(F.struct(*names).alias("row"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("h"), "text")
+    d = d.join(hits, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("h") == F.col("th")), "left")
+    text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(
+        F.filter(_lines(), lambda x, i: ~F.array_contains("gone", i)), "\n"))
     return d.select(
-        *(text.alias(c) if c == "text" else F.col(c) for c in docs.columns if c not in clash),
+        *(text.alias(c) if c == "text" else F.col("row")[c].alias(c) for c in names),
         F.coalesce(F.size(_lines()), F.lit(0)).cast("long").alias("n_lines"),
-        F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed_lines"))
+        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed_lines"))
 
 
 def op2_line_dedup(spark, sf_dir: str) -> DataFrame:
@@ -84,7 +85,7 @@ def op2_line_dedup(spark, sf_dir: str) -> DataFrame:
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the documents without repeated cross-site lines."""
-    return dedup_lines(docs).select(*docs.columns)
+    return dedup_lines(docs).select(*with_text(docs.columns, F.col("text"), F.col("n_removed_lines") > 0))
 
 
 def oracle() -> str:

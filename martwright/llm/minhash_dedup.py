@@ -174,7 +174,7 @@ def verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFra
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in chunks(batch, "ta"):
+            for part in chunks(batch, 2):
                 rows = part.num_rows
                 sides = []
                 for c in (2, 3):

@@ -20,8 +20,8 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -100,12 +100,12 @@ def best_two_fit(lengths: np.ndarray, capacity: int) -> list[list[int]]:
     return bins
 
 
-def pack_group(pieces: pd.DataFrame, capacity: int = CAPACITY) -> pd.DataFrame:
+def pack_group(pieces: pa.Table, capacity: int = CAPACITY) -> pa.Table:
     """pieces of one group with sequence number (from 0) and offset."""
-    p = pieces.sort_values(["length", "doc_id", "piece", "start"], kind="stable").reset_index(drop=True)
-    lengths = p["length"].to_numpy(np.int64)
+    p = pieces.sort_by([(c, "ascending") for c in ("length", "doc_id", "piece", "start", "ids_crc32")])
+    lengths = p.column("length").to_numpy()
     following = np.searchsorted(lengths, np.arange(capacity + 1)).tolist()
-    sequence, offset = np.zeros(len(p), np.int64), np.zeros(len(p), np.int64)
+    sequence, offset = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
     for k, own in enumerate(best_two_fit(lengths, capacity)):
         at = 0
         for x in own:
@@ -113,7 +113,7 @@ def pack_group(pieces: pd.DataFrame, capacity: int = CAPACITY) -> pd.DataFrame:
             following[x] += 1
             sequence[row], offset[row] = k, at
             at += x
-    return p.assign(sequence_id=sequence, offset=offset)
+    return p.append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset))
 
 
 def pack(docs: DataFrame, vocabulary_path: str | None = None, capacity: int = CAPACITY,
@@ -126,13 +126,14 @@ def pack(docs: DataFrame, vocabulary_path: str | None = None, capacity: int = CA
     total = pieces.agg(F.sum("length")).first()[0] or 0
     groups = max(1, total // (capacity * group_bins))
 
-    def pack_one(key, rows: pd.DataFrame) -> pd.DataFrame:
-        out = pack_group(rows, capacity)
-        out["sequence_id"] += int(key[0]) << 32
-        return out.drop(columns="grp")
+    def pack_one(key: tuple, rows: pa.Table) -> pa.Table:
+        out = pack_group(rows.drop_columns(["grp"]), capacity)
+        first = pa.scalar(key[0].as_py() << 32, pa.int64())
+        return out.set_column(out.schema.get_field_index("sequence_id"), "sequence_id",
+                              pc.add(out.column("sequence_id"), first))
 
     group = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups))
-    return pieces.withColumn("grp", group).groupBy("grp").applyInPandas(pack_one, PACKED)
+    return pieces.withColumn("grp", group).groupBy("grp").applyInArrow(pack_one, PACKED)
 
 
 def op7_best_fit_packing(spark, sf_dir: str) -> DataFrame:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .words import Words, chunks, combine, mix, split_words
+from .words import Words, chunks, combine, fresh, mix, split_words
 
 MAX_LABELLED = 2000
 NEIGHBOURS = 25
@@ -171,13 +171,13 @@ def scored(docs: DataFrame, labels: DataFrame, keep: list[str] | None = None, ta
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in chunks(batch, "_text"):
+            for part in chunks(batch, len(keep)):
                 score = model.value.score(term_counts(split_words(part.column(len(keep)))))
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:len(keep)], pa.array(score), pa.array((score >= THRESHOLD).astype(np.int32))],
                     [*keep, "score", "predicted"])
 
-    rows = docs.select(*keep, F.col("text").alias("_text"))
+    rows = docs.select(*keep, F.col("text").alias(fresh("_text", keep)))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
     return rows.mapInArrow(compute, schema + ", score double, predicted int")
 

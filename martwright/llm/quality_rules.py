@@ -54,13 +54,14 @@ def _sum(values: Column) -> Column:
     return F.aggregate(values, F.lit(0).cast("long"), lambda acc, x: acc + x)
 
 
-def rule_counts(docs: DataFrame, text: str = "text") -> DataFrame:
-    """docs plus the counts: n_words, word_chars, n_symbols, n_dup_lines,
-    n_repeat_words, n_lines, n_stop_words."""
-    t = F.coalesce(F.col(text), F.lit(""))
-    d = docs.withColumn("_t", t)
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_stop_words", "n_repeat_words")
+
+
+def rule_counts(docs: DataFrame) -> DataFrame:
+    """``row`` (a struct of docs' columns) and the COUNTS."""
+    d = docs.select(F.struct(*docs.columns).alias("row"), F.coalesce("text", F.lit("")).alias("_t"))
     d = d.select(
-        *docs.columns,
+        "row",
         F.filter(F.split("_t", SPACE + "+"), lambda w: w != "").alias("_w"),
         F.filter(F.split("_t", "\n"), lambda x: F.length(F.translate(x, " \t\x0b\f\r", "")) > 0).alias("_l"),
         F.length(F.translate("_t", " \t\n\x0b\f\r", "")).cast("long").alias("word_chars"),
@@ -68,7 +69,7 @@ def rule_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     )
     n = F.size("_w")
     d = d.select(
-        *docs.columns, "word_chars", "n_symbols",
+        "row", "word_chars", "n_symbols",
         n.cast("long").alias("n_words"),
         F.size("_l").cast("long").alias("n_lines"),
         (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long").alias("n_dup_lines"),
@@ -88,12 +89,13 @@ def rule_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     covered = _sum(F.transform("_p", lambda x, i: F.least(
         F.lit(3), F.coalesce(F.get("_p", i + 1) - x, F.lit(3))).cast("long")))
     d = d.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0).cast("long")))
-    return d.drop("_h", "_s", "_p")
+    return d.select("row", *COUNTS)
 
 
-def apply_rules(docs: DataFrame, rules: dict | None = None, text: str = "text") -> DataFrame:
-    """docs plus counts, ratios, ``base_failed`` and ``kept``."""
-    d = rule_counts(docs, text)
+def apply_rules(docs: DataFrame, rules: dict | None = None) -> DataFrame:
+    """docs plus counts, ratios, ``base_failed`` and ``kept`` (these names
+    replace docs' own)."""
+    d = rule_counts(docs)
     words = F.greatest(F.col("n_words"), F.lit(1))
     ratios = {
         "mean_word_length": F.col("word_chars") / words,
@@ -103,8 +105,9 @@ def apply_rules(docs: DataFrame, rules: dict | None = None, text: str = "text")
     }
     base = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     verdict = compile_rules(ratios, RULES if rules is None else rules)
-    return d.select(*d.columns, *(c.alias(k) for k, c in ratios.items()),
-                    base.alias("base_failed"), (~base & verdict).alias("kept"))
+    made = {**{c: F.col(c) for c in COUNTS}, **ratios, "base_failed": base, "kept": ~base & verdict}
+    return d.select(*(F.col("row")[c].alias(c) for c in docs.columns if c.lower() not in made),
+                    *(c.alias(k) for k, c in made.items()))
 
 
 def op10_quality_rules(spark, sf_dir: str) -> DataFrame:

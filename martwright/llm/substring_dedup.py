@@ -39,8 +39,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .components import stored
-from .words import Words, _odd_constants, chunks, combine, mix, split_words
+from .components import stored, with_text
+from .words import Words, _odd_constants, chunks, combine, fresh, mix, split_words
 
 WIDTH = 20
 ROUNDS = 2
@@ -212,15 +212,16 @@ def repeated_windows(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 def dedup_substrings(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """docs plus n_words, n_removed and kept_text (kept words joined by one
     space)."""
-    names = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept_text")]
-    gone = repeated_windows(docs, width).groupBy(F.col("doc_id").alias("_id")).agg(
-        F.collect_list(F.struct("lo", "n")).alias("_gone"))
-    both = docs.select(*names).join(gone, F.col("doc_id") == F.col("_id"), "left").drop("_id")
+    names = [c for c in docs.columns if c.lower() not in ("n_words", "n_removed", "kept_text")]
+    key, listed = fresh("_id", names), fresh("_gone", names)
+    gone = repeated_windows(docs, width).groupBy(F.col("doc_id").alias(key)).agg(
+        F.collect_list(F.struct("lo", "n")).alias(listed))
+    both = docs.select(*names).join(gone, F.col("doc_id") == F.col(key), "left").drop(key)
     text_at = names.index("text")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in chunks(batch):
+            for part in chunks(batch, text_at):
                 w = split_words(part.column(text_at))
                 row, g = _lists(part.column(len(names)))
                 lo = w.first[row] + g["lo"]
@@ -267,4 +268,4 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the documents without repeated 20-word passages; texts
     that lose nothing stay byte for byte."""
     text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
-    return dedup_substrings(docs).withColumn("text", text).select(*docs.columns)
+    return dedup_substrings(docs).select(*with_text(docs.columns, text, F.col("n_removed") > 0))

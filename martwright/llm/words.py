@@ -132,12 +132,20 @@ def split_words(texts: pa.Array, lower: bool = False) -> Words:
     return Words(data, at, start, end, np.searchsorted(start, at), key)
 
 
-def chunks(batch: pa.RecordBatch, column: str = "text", limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch whose texts take about ``limit`` bytes together (at
-    least one row each)."""
+def fresh(name: str, columns: list[str]) -> str:
+    """``name``, or a longer one that no column has."""
+    taken = {c.lower() for c in columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
+def chunks(batch: pa.RecordBatch, column: int = 1, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch whose texts (the column at this place) take about
+    ``limit`` bytes together (at least one row each)."""
     if batch.num_rows == 0:
         return
-    texts = batch.column(batch.schema.get_field_index(column)).cast(pa.large_string())
+    texts = batch.column(column).cast(pa.large_string())
     ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
     row = 0
     while row < batch.num_rows:
