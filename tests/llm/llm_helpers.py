@@ -1,0 +1,45 @@
+"""Inputs and brute-force forms shared by the tests of martwright.llm."""
+
+import re
+
+import duckdb
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+LOWER = {ord(c): ord(c) + 32 for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
+SMALL = "/root/testdata/sf0.001"
+
+#: Column names that operators use themselves.
+CLASHING = ("n_words", "kept", "score", "th", "gone", "row", "name", "lo", "sig", "_id", "_text", "n_lines", "node", "first")
+
+
+def words(text, lower=False):
+    text = text or ""
+    return WORD.findall(text.translate(LOWER) if lower else text)
+
+
+def documents(spark, rows, extra=()):
+    """rows: (doc_id, text[, source]); extra: further string columns."""
+    data = [(r[0], r[1], "en", r[2] if len(r) > 2 else f"src{i % 3}", len(r[1] or ""), *["x"] * len(extra))
+            for i, r in enumerate(rows)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long" + "".join(f", {c} string" for c in extra)
+    return spark.createDataFrame(data, schema)
+
+
+def table(name, directory=SMALL, columns="*"):
+    con = duckdb.connect()
+    return con.execute(f"select {columns} from '{directory}/{name}.parquet'").fetchall()
+
+
+def connected(nodes, links):
+    """node -> smallest node of its component."""
+    up = {n: n for n in nodes}
+
+    def find(n):
+        while up[n] != n:
+            n = up[n]
+        return n
+
+    for a, b in links:
+        a, b = find(a), find(b)
+        up[max(a, b)] = min(a, b)
+    return {n: find(n) for n in nodes}

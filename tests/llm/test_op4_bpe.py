@@ -1,0 +1,65 @@
+import hashlib
+
+import numpy as np
+from llm_helpers import CLASHING, documents, table
+
+from martwright.llm import bpe
+from martwright.llm.tokens import Encoder, load, vocabulary_json
+from martwright.llm.words import split_words
+
+ODD = ["", None, "á é x  y's 'S it's <|endoftext|>x <|startoftext|> \x1c\x1f a\x00b",
+       "İstanbul ΣΑΣ σας ΟΔΟΣ. 你好 🙂👍🏽 ﬁ ½ ٣٤ \t\r\n\x0b\x0c  end", "́ x", "don't we'll 'll 've''re", "\xa0 \x85"]
+
+
+def check(rows, got):
+    tokenizer = load(vocabulary_json())
+    for i, text in rows:
+        ids = tokenizer.encode(text or "", add_special_tokens=False).ids
+        n, a, b = got[i]
+        assert n == len(ids), text
+        assert a == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        assert b == hashlib.sha256(tokenizer.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+
+
+def test_equals_the_library(spark):
+    got = {r[0]: tuple(r)[1:] for r in bpe.op4_bpe(spark, "/root/testdata/sf0.001").collect()}
+    rows = table("documents", columns="doc_id, text")
+    assert len(got) == len(rows)
+    check(rows, got)
+
+
+def test_odd_texts_ids_and_decoded(spark):
+    df = documents(spark, [*enumerate(ODD), (50, "a b"), (50, "a b"), (None, "c"), (60, "ab " * 300_000)], CLASHING)
+    rows = bpe.encode_decode(df.repartition(3)).collect()
+    assert len(rows) == len(ODD) + 4
+    tokenizer = load(vocabulary_json())
+    for r in rows:
+        ids = np.frombuffer(r.ids, "<u4").tolist()
+        assert len(ids) == r.n_tokens and r.decoded == tokenizer.decode(ids, skip_special_tokens=False)
+        if r.doc_id is not None and r.doc_id < len(ODD):
+            assert ids == tokenizer.encode(ODD[r.doc_id] or "", add_special_tokens=False).ids
+    assert bpe.encode_decode(df.limit(0)).collect() == []
+
+
+def test_small_blocks(spark, monkeypatch):
+    monkeypatch.setattr(bpe, "BLOCK_BYTES", 20_000)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    parts = [[]]
+    rows = table("documents", columns="doc_id, text")
+    import pyarrow as pa
+    batch = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows])], ["doc_id", "text"])
+    parts = list(bpe._blocks(iter([batch])))
+    numbers = [bpe._slots(p)[0] for p in parts]
+    assert len(set(numbers)) == len(parts) >= 1 and docs.count() == len(rows)
+
+
+def test_the_worker_table_is_bounded():
+    import pyarrow as pa
+    encoder = Encoder(vocabulary_json(), max_known=50)
+    tokenizer = load(vocabulary_json())
+    for at in range(0, 400, 40):
+        texts = [" ".join(f"w{k} x" for k in range(at, at + 40)), "w1 w1"]
+        ids, begin = encoder.encode(split_words(pa.array(texts)))
+        assert len(encoder.slot) <= 50
+        for i, t in enumerate(texts):
+            assert ids[begin[i]:begin[i + 1]].tolist() == tokenizer.encode(t, add_special_tokens=False).ids
