@@ -44,6 +44,9 @@ BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure "
     "footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre section summary table "
     "tbody td tfoot th thead title tr ul".split())
+INLINE = frozenset(
+    "a abbr b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub "
+    "sup time tt u var".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style".split())
 SKIPPED = frozenset(
@@ -146,15 +149,16 @@ def read_page(page: str, classes: bool = True) -> list[Block | str]:
         if name in BLOCKS:
             block = None
         if closing:
-            if names[name]:
-                while True:
-                    top = stack.pop()
-                    names[top[0]] -= 1
-                    link -= top[0] == "a"
-                    if top[0] in BLOCKS or top[1]:
-                        block = None
-                    if top[0] == name:
-                        break
+            if not names[name]:
+                continue
+            while True:
+                top = stack.pop()
+                names[top[0]] -= 1
+                link -= top[0] == "a"
+                if top[0] in BLOCKS or top[1]:
+                    block = None
+                if top[0] == name:
+                    break
         elif name not in VOID:
             attributes = m[3] if m[2] else m[6]
             if name in RAW:
@@ -194,7 +198,7 @@ class Weights:
         return self.words.get((where, tag, link), self.words.get((where, "", link), 1.0 if where != 0 else 0.0))
 
     def tag(self, name: str) -> float:
-        return self.tags.get(name, -0.5)
+        return self.tags.get(name, -0.1 if name.lstrip("/") in INLINE else -0.5)
 
 
 WORD_RANGE = (0.05, 4.0)
@@ -290,11 +294,6 @@ def labelled_weights(pages: DataFrame, limit: int = LABELLED_PAGES) -> Weights:
         "kind", F.col("name").alias("name"), "link", "i", "o").collect()})
 
 
-INLINE = frozenset(
-    "a abbr b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub "
-    "sup time tt u var".split())
-
-
 def extract_pages(pages: DataFrame, limit: int = LABELLED_PAGES) -> DataFrame:
     """(page_id, url, text, n_chars) of every page."""
     weights = pages.sparkSession.sparkContext.broadcast(labelled_weights(pages, limit))

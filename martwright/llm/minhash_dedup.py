@@ -7,8 +7,8 @@ r"""MinHash near-dedup with HyperMinHash registers.
    their smallest doc_id, so exact copies cost no candidate at all.
 2. Four neighbouring registers make a 64-bit band key.  At similarity 0.8 two
    sets share a given band with probability 0.41 and none of the 32 with
-   5e-8.  A bucket (band, key) links its nodes to its smallest node only,
-   never all pairs.
+   5e-8.  A bucket (band, key) links its nodes to one hub only, the node
+   with the largest buckets, never all pairs.
 3. Candidates whose collision-corrected estimate could still be 0.8 (4.5
    standard deviations) are verified on the full sets; components of the
    verified links follow.
@@ -27,7 +27,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -193,6 +192,26 @@ def verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFra
     return both.select("a", "b", "ta", "tb").mapInArrow(keep, "a long, b long").distinct()
 
 
+def cross_pairs(group: np.ndarray, part: np.ndarray, i: np.ndarray, j: np.ndarray,
+                comp: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row pairs (r < c) of one group that lie in parts (i, j) and in two
+    components, some ten thousand at a time.  Rows are ordered by group."""
+    end = np.searchsorted(group, group, side="right")
+    partners = end - np.arange(len(group)) - 1
+    total = np.concatenate([[0], np.cumsum(partners)])
+    row = 0
+    while row < len(group):
+        stop = max(row + 1, int(np.searchsorted(total, total[row] + 1_000_000, side="right")) - 1)
+        n = partners[row:stop]
+        r = np.repeat(np.arange(row, stop), n)
+        c = r + 1 + np.arange(len(r)) - np.repeat(total[row:stop] - total[row], n)
+        ok = (comp[r] != comp[c]) & (np.minimum(part[r], part[c]) == i[r]) & (np.maximum(part[r], part[c]) == j[r])
+        r, c = r[ok], c[ok]
+        for at in range(0, len(r), 50_000):
+            yield r[at:at + 50_000], c[at:at + 50_000]
+        row = stop
+
+
 def open_pairs(members: DataFrame, comps: DataFrame, sets: DataFrame, tested: DataFrame, percent: int) -> DataFrame:
     """Untested pairs of nodes that share a bucket but no component: for each
     node and other component of the bucket, the best estimate."""
@@ -207,25 +226,39 @@ def open_pairs(members: DataFrame, comps: DataFrame, sets: DataFrame, tested: Da
     m = m.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     m = m.select("band", "key", "node", "comp", "part", F.least("part", "o").alias("i"), F.greatest("part", "o").alias("j"))
     m = m.join(sets.select("node", "n", "sig"), "node")
+    block = ["band", "key", "i", "j"]
+    m = m.repartition(*block).sortWithinPartitions(*block)
+
+    def pairs_of(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        c = {f: rows.column(f).to_numpy() for f in (*block, "node", "comp", "part", "n")}
+        sig = signatures(rows.column("sig").to_pylist())
+        new = np.ones(rows.num_rows, bool)
+        new[1:] = np.logical_or.reduce([c[f][1:] != c[f][:-1] for f in block])
+        for x, y in cross_pairs(np.cumsum(new), c["part"], c["i"], c["j"], c["comp"]):
+            estimate, ok = may_match(sig[x], sig[y], c["n"][x], c["n"][y], percent)
+            x, y, estimate = x[ok], y[ok], estimate[ok]
+            both = lambda f: (np.concatenate([c[f][x], c[f][y]]), np.concatenate([c[f][y], c[f][x]]))
+            (node, other), (_, to) = both("node"), both("comp")
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.maximum(node, other)), pa.array(np.minimum(node, other)), pa.array(node), pa.array(to),
+                 pa.array(np.tile(estimate, 2))], ["a", "b", "node", "to", "est"])
 
-    def best(rows: pd.DataFrame) -> pd.DataFrame:
-        i, j = rows["i"].iloc[0], rows["j"].iloc[0]
-        x, y = rows[rows["part"] == i], rows[rows["part"] == j]
-        out = []
-        sx, sy = signatures(x["sig"].tolist()), signatures(y["sig"].tolist())
-        cy, ny, idy = y["comp"].to_numpy(), y["n"].to_numpy(), y["node"].to_numpy()
-        for r, (node, comp, n) in enumerate(zip(x["node"], x["comp"], x["n"])):
-            other = np.flatnonzero(cy != comp)
-            if len(other):
-                est, ok = may_match(sx[r], sy[other], np.full(len(other), n), ny[other], percent)
-                out += [(node, idy[k], cy[k], e) for k, e in zip(other[ok], est[ok])]
-        p = pd.DataFrame(out, columns=["a", "b", "to", "est"])
-        return pd.DataFrame({"a": np.maximum(p["a"], p["b"]), "b": np.minimum(p["a"], p["b"]), "node": p["a"],
-                             "to": p["to"], "est": p["est"]}).astype(
-            {"a": "int64", "b": "int64", "node": "int64", "to": "int64", "est": "float64"})
-
-    pairs = (m.groupBy("band", "key", "i", "j").applyInPandas(best, "a long, b long, node long, to long, est double")
-             .join(tested, ["a", "b"], "left_anti"))
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # rows of a block that may go on in the next batch
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([batch])
+            rows = rows if held is None else pa.concat_tables([held, rows]).combine_chunks()
+            last = np.logical_and.reduce([(x := rows.column(f).to_numpy()) == x[-1] for f in block])
+            cut = int(np.argmax(last))
+            held = rows.slice(cut)
+            if cut:
+                yield from pairs_of(rows.slice(0, cut))
+        if held is not None:
+            yield from pairs_of(held)
+
+    pairs = m.mapInArrow(search, "a long, b long, node long, to long, est double").join(tested, ["a", "b"], "left_anti")
     return pairs.groupBy("node", "to").agg(F.max(F.struct("est", "a", "b")).alias("x")).select("x.a", "x.b").distinct()
 
 
@@ -237,14 +270,19 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = SIMILARITY_PERCE
         F.min("doc_id").alias("node"), F.first("sig").alias("sig")).withColumnRenamed("n_shingles", "n"), "sets")
 
     bands = band_rows(sets)
-    hubs = (bands.groupBy("band", "key").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("size"))
-            .where("size > 1").drop("size"))
-    members = stored(bands.join(hubs, ["band", "key"]), "buckets")
-
-    pairs = members.where("node > hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
+    shared = bands.groupBy("band", "key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    members = stored(bands.join(shared, ["band", "key"]), "buckets")
+    # the text that a group's copies were made from shares most registers
+    # with them: the node with the largest buckets is the hub of its buckets
+    weight = members.groupBy("node").agg(F.sum("size").alias("weight"))
+    hubs = members.join(weight, "node").groupBy("band", "key").agg(
+        F.max_by("node", F.struct(F.col("weight"), -F.col("node"))).alias("hub"))
+    members = members.drop("size")
+
+    pairs = members.join(hubs, ["band", "key"]).where("node <> hub").select(
+        F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b")).distinct()
     tested = stored(estimated(pairs, sets, percent), "pairs")
     links = stored(verified(tested, docs, n, percent), "verified")
-    members = members.drop("hub")
     while True:
         comps = components(links)
         more = stored(open_pairs(members, comps, sets, tested, percent), "pairs")

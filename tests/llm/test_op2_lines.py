@@ -47,8 +47,8 @@ def test_edges(spark):
 
 
 def test_stage_keeps_columns(spark):
-    df = documents(spark, [(i, "shared line\nown", f"s{i}") for i in range(12)])
+    df = documents(spark, [(i, f"shared line\nown {i:02}", f"s{i}") for i in range(12)])
     out = L.stage(spark, df, "")
     assert out.columns == df.columns
     assert {r.doc_id: (r.text, r.n_chars) for r in out.collect()} == {
-        i: ("own", 3) if i else ("shared line\nown", 15) for i in range(12)}
+        i: (f"own {i:02}", 6) if i else ("shared line\nown 00", 18) for i in range(12)}
