@@ -11,14 +11,16 @@ earlier (smaller doc_id, or same document, earlier start).
    those of the outer three words agree.  Runs of ``width`` or more equal
    words, which no pair divides, are named as (word, run).
 2. Every window has symbols that start in its interior; the one with the
-   smallest name of its ten-word surroundings becomes the window's anchor.
-   Neighbouring windows share anchors, about one per six words.  A row
-   (name, span, doc_id, first window, windows) is sent per anchor; ``span``
-   names all words under these windows.
+   smallest name of its seven-word surroundings becomes the window's anchor.
+   Neighbouring windows share anchors, about one per eight words.  A row
+   (name, span, doc_id, at) is sent per anchor; ``span`` names all words under
+   its windows, ``at`` holds the first window, how many, and whether the
+   document has the same name and span before.
 3. Names that occur once are unrepeated and drop out after a map-side merge.
-   If all anchors of a name have one span, all their windows are equal, and
-   all but the earliest go.  Otherwise (the ends of a repeat) the windows
-   themselves are named from the texts and compared one by one.
+   Anchors of one name and span stand for equal windows: all go but those of
+   the smallest doc_id.  Only where a name has several spans (the ends of a
+   repeat) the windows of each span's first anchor are named from the text
+   and compared one by one.
 
 Rows compared agree in two independent 64-bit names.  A word sequence in many
 documents costs each document one row per anchor and merges before the
@@ -48,7 +50,8 @@ _CLASS_SEED = _odd_constants(ROUNDS, 31_337)
 _RUN, _LAST = np.uint64(0x5851F42D4C957F2D), np.uint64(0xFFFFFFFFFFFFFFFF)
 _STEP = np.uint64(0xDA942042E4DD58B5)
 
-ANCHORS = "name long, span long, doc_id long, lo int, n int"
+#: ``at`` is first window * 256 + windows * 2 + (1 if not the document's first).
+ANCHORS = "name long, span long, doc_id long, at long"
 
 
 class Sequences:
@@ -99,12 +102,13 @@ def run_windows(key: np.ndarray, text_of: np.ndarray, width: int) -> tuple[np.nd
 
 def anchors(words: Words, width: int = WIDTH) -> dict[str, np.ndarray]:
     """The anchors of a chunk: text, name, span, lo (first window, counted
-    from the text's first word) and n (windows)."""
+    from the text's first word), n (windows) and again (whether the text has
+    the same name and span before)."""
     key, text_of = words.key, words.text_of
-    core = width // 2
+    core = width // 3 + 1
     reach = width - core  # anchors of window i lie in i .. i + reach
     m = len(key) - width + 1
-    empty = {k: np.zeros(0, np.uint64 if k in ("name", "span") else np.int64) for k in ("text", "name", "span", "lo", "n")}
+    empty = {k: np.zeros(0, np.uint64 if k in ("name", "span") else np.int64) for k in ("text", "name", "span", "lo", "n", "again")}
     if m <= 0:
         return empty
     seq = Sequences(key)
@@ -131,13 +135,17 @@ def anchors(words: Words, width: int = WIDTH) -> dict[str, np.ndarray]:
         runs = np.flatnonzero(run_head)
         lo = np.concatenate([lo, runs])
         text = text_of[lo]
-        return {"text": text, "name": np.concatenate([core_name[place], mix(key[runs] ^ _RUN)]),
-                "span": np.concatenate([span, mix(key[runs])]), "lo": lo - words.first[text],
-                "n": np.concatenate([n, np.ones(len(runs), np.int64)])}
+        name = np.concatenate([core_name[place], mix(key[runs] ^ _RUN)])
+        span = np.concatenate([span, mix(key[runs])])
+        first = np.unique(combine(combine(name, span), text.astype(np.uint64)), return_index=True)[1]
+    again = np.ones(len(lo), bool)
+    again[first] = False
+    return {"text": text, "name": name, "span": span, "lo": lo - words.first[text],
+            "n": np.concatenate([n, np.ones(len(runs), np.int64)]), "again": again}
 
 
 def anchor_rows(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """(name, span, doc_id, lo, n) of every anchor."""
+    """(name, span, doc_id, at) of every anchor."""
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -146,8 +154,7 @@ def anchor_rows(docs: DataFrame, width: int = WIDTH) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(a["name"].view(np.int64)), pa.array(a["span"].view(np.int64)),
                      part.column(0).cast(pa.int64()).take(pa.array(a["text"])),
-                     pa.array(a["lo"].astype(np.int32)), pa.array(a["n"].astype(np.int32))],
-                    ["name", "span", "doc_id", "lo", "n"])
+                     pa.array(a["lo"] * 256 + a["n"] * 2 + a["again"])], ["name", "span", "doc_id", "at"])
 
     return docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(compute, ANCHORS)
 
@@ -165,58 +172,68 @@ def _places(first: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - (ends - n), n)
 
 
-def window_rows(docs: DataFrame, open_anchors: DataFrame, width: int = WIDTH) -> DataFrame:
+def _listed(docs: DataFrame, rows: DataFrame, field: list[str]) -> DataFrame:
+    """docs and, last, the list of their rows (null: none).  Always the same
+    columns in the same join, so that Spark deals the texts out once."""
+    key, listed = fresh("_id", docs.columns), fresh("_list", docs.columns)
+    lists = rows.groupBy(F.col("doc_id").alias(key)).agg(F.collect_list(F.struct(*field)).alias(listed))
+    return docs.join(lists, F.col("doc_id") == F.col(key), "left").drop(key)
+
+
+def window_rows(docs: DataFrame, firsts: DataFrame, width: int = WIDTH) -> DataFrame:
     """(name, window, doc_id, lo) of every window under the given anchors
-    (doc_id, name, lo, n)."""
-    wanted = open_anchors.groupBy("doc_id").agg(F.collect_list(F.struct("name", "lo", "n")).alias("a"))
+    (doc_id, name, at)."""
+    id_at, text_at = docs.columns.index("doc_id"), docs.columns.index("text")
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in chunks(batch):
-                w = split_words(part.column(1))
-                row, a = _lists(part.column(2))
-                n = a["n"].astype(np.int64)
-                lo = _places(a["lo"].astype(np.int64), n)
+            for part in chunks(batch, text_at):
+                row, a = _lists(part.column(len(part.columns) - 1))
+                w = split_words(part.column(text_at))
+                n = a["at"] // 2 % 128
+                lo = _places(a["at"] // 256, n)
                 row, name = np.repeat(row, n), np.repeat(a["name"], n)
                 start = w.first[row] + lo
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(name), pa.array(Sequences(w.key).names(start, start + width).view(np.int64)),
-                     part.column(0).cast(pa.int64()).take(pa.array(row)), pa.array(lo.astype(np.int32))],
-                    ["name", "window", "doc_id", "lo"])
-
-    return (docs.select("doc_id", "text").join(wanted, "doc_id")
-            .mapInArrow(compute, "name long, window long, doc_id long, lo int"))
-
+                    [pa.array(name, pa.int64()),
+                     pa.array(Sequences(w.key).names(start, start + width).view(np.int64)),
+                     part.column(id_at).cast(pa.int64()).take(pa.array(row, pa.int64())),
+                     pa.array(lo.astype(np.int32))], ["name", "window", "doc_id", "lo"])
 
-def _later(rows: DataFrame, firsts: DataFrame, on: list[str]) -> DataFrame:
-    return rows.join(firsts, on).where("doc_id > first.doc_id or (doc_id = first.doc_id and lo > first.lo)")
+    return _listed(docs, firsts, ["name", "at"]).mapInArrow(
+        compute, "name long, window long, doc_id long, lo int")
 
 
 def repeated_windows(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """(doc_id, lo, n): windows lo .. lo + n - 1 of the document also start
     earlier.  Windows inside a run of one word, but its first, are not listed."""
     rows = anchor_rows(docs, width)
-    first = F.min(F.struct("doc_id", "lo")).alias("first")
     names = (rows.groupBy("name").agg(F.min("span").alias("s"), F.max("span").alias("t"),
-                                      F.count(F.lit(1)).alias("c"), first)
-             .where("c > 1").select("name", (F.col("s") == F.col("t")).alias("single"), "first"))
-    hits = stored(rows.drop("span").join(names, "name")
-                  .where("not single or doc_id > first.doc_id or (doc_id = first.doc_id and lo > first.lo)")
-                  .select("name", "single", "doc_id", "lo", "n"), "anchors")
-    windows = stored(window_rows(docs, hits.where("not single"), width), "windows")
-    firsts = windows.groupBy("name", "window").agg(first, F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
-    again = _later(windows, firsts, ["name", "window"]).select("doc_id", "lo", F.lit(1).alias("n"))
-    return hits.where("single").select("doc_id", "lo", "n").unionByName(again)
+                                      F.min("doc_id").alias("d"), F.count(F.lit(1)).alias("c"))
+             .where("c > 1").select("name", (F.col("s") == F.col("t")).alias("single"), "d"))
+    # of names with one span, what is earliest already drops out here
+    hits = stored(rows.join(names, "name").where("not single or doc_id > d or at % 2 = 1")
+                  .select("name", "span", "doc_id", "at", "single"), "anchors")
+    several = hits.where("not single")
+    spans = several.groupBy("name", "span").agg(F.min("doc_id").alias("d"))
+    several = stored(several.join(spans, ["name", "span"])
+                     .select("name", "doc_id", "at", (F.expr("doc_id > d or at % 2 = 1")).alias("later")), "spans")
+    windows = window_rows(docs, several.where("not later"), width)
+    firsts = (windows.groupBy("name", "window").agg(F.min(F.struct("doc_id", "lo")).alias("first"), F.count(F.lit(1)).alias("c"))
+              .where("c > 1").drop("c"))
+    again = (windows.join(firsts, ["name", "window"])
+             .where("doc_id > first.doc_id or (doc_id = first.doc_id and lo > first.lo)")
+             .select("doc_id", "lo", F.lit(1).alias("n")))
+    whole = hits.where("single").select("doc_id", "at").unionByName(several.where("later").select("doc_id", "at"))
+    return again.unionByName(whole.selectExpr("doc_id", "cast(at div 256 as int) lo", "cast(at div 2 % 128 as int) n"))
 
 
 def dedup_substrings(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """docs plus n_words, n_removed and kept_text (kept words joined by one
     space)."""
     names = [c for c in docs.columns if c.lower() not in ("n_words", "n_removed", "kept_text")]
-    key, listed = fresh("_id", names), fresh("_gone", names)
-    gone = repeated_windows(docs, width).groupBy(F.col("doc_id").alias(key)).agg(
-        F.collect_list(F.struct("lo", "n")).alias(listed))
-    both = docs.select(*names).join(gone, F.col("doc_id") == F.col(key), "left").drop(key)
+    docs = docs.select(*names)
+    both = _listed(docs, repeated_windows(docs, width), ["lo", "n"])
     text_at = names.index("text")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
