@@ -32,7 +32,9 @@ from pyspark.sql import functions as F
 from .words import Words, chunks, combine, fresh, mix, split_words
 
 MAX_LABELLED = 2000
-NEIGHBOURS = 25
+NEIGHBOURS = 5
+#: Votes weigh by this power of the cosine, so that near neighbours decide.
+SHARPNESS = 4
 LATENT = 48
 THRESHOLD = 0.3
 FOLDS = 5
@@ -106,7 +108,7 @@ class Model:
         near = self.latent(counts) @ self.vectors.T
         k = min(NEIGHBOURS, near.shape[1])
         top = np.argpartition(near, near.shape[1] - k, axis=1)[:, -k:]
-        weight = np.maximum(np.take_along_axis(near, top, 1), 0).astype(np.float64)
+        weight = np.maximum(np.take_along_axis(near, top, 1), 0).astype(np.float64) ** SHARPNESS
         total = weight.sum(1)
         vote = (weight * self.labels[top]).sum(1)
         return np.clip(np.where(total > 0, vote / np.maximum(total, 1e-30), self.prior), 0, 1)

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 _BLOCK = 1 << 21
 
 

@@ -27,7 +27,7 @@ def test_scores_are_exact_votes():
     x = model.latent(some)
     for i, s in enumerate(model.score(some)):
         near = sorted(((float(v @ x[i]), k) for k, v in enumerate(model.vectors)), reverse=True)[: Q.NEIGHBOURS]
-        weight = [max(v, 0) for v, _ in near]
+        weight = [max(v, 0) ** Q.SHARPNESS for v, _ in near]
         assert abs(s - sum(w * labels[k] for w, (_, k) in zip(weight, near)) / sum(weight)) < 1e-4
 
 
