@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tokens import encode_words, load, vocabulary_json
+from .tokens import WordTokenizer, load, vocabulary_json
 from .words import Words, chunks, mix, split_words
 
 BLOCK_BYTES = 16 << 20
@@ -66,15 +66,14 @@ def _slots(parts: list) -> tuple[int, np.ndarray, np.ndarray]:
     return number, rank[inverse], first[order]
 
 
-def _take_words(parts: list, index: np.ndarray) -> pa.Array:
-    """The words at these indices (over all parts' words) as strings."""
+def _distinct_words(parts: list, first: np.ndarray) -> Iterator[pa.Array]:
+    """The words at these indices (over all parts' words), some at a time."""
     data = np.concatenate([w.data for _, w in parts])
     shift = np.cumsum([0, *(len(w.data) for _, w in parts)])
-    start = np.concatenate([w.start + s for (_, w), s in zip(parts, shift)])[index]
-    n = np.concatenate([w.end - w.start for _, w in parts])[index]
-    ends = np.concatenate([[0], np.cumsum(n)])
-    body = data[np.arange(ends[-1]) + np.repeat(start - ends[:-1], n)]
-    return pa.LargeStringArray.from_buffers(len(index), pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(body)).cast(pa.string())
+    start, end = (np.concatenate([getattr(w, f) + s for (_, w), s in zip(parts, shift)]) for f in ("start", "end"))
+    whole = Words(data, shift[:0], start, end, shift[:0], shift[:0])
+    for at in range(0, len(first), 50_000):
+        yield whole.take(first[at:at + 50_000])
 
 
 def block_words(docs: DataFrame) -> DataFrame:
@@ -83,12 +82,12 @@ def block_words(docs: DataFrame) -> DataFrame:
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for parts in _blocks(batches):
             number, _, first = _slots(parts)
-            words = _take_words(parts, first)
-            for at in range(0, len(first), 50_000):
-                some = words.slice(at, 50_000)
+            at = 0
+            for some in _distinct_words(parts, first):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(some), number, np.int64)),
                      pa.array(np.arange(at, at + len(some), dtype=np.int32)), some], ["block", "slot", "word"])
+                at += len(some)
 
     return docs.select("doc_id", "text").mapInArrow(compute, "block long, slot int, word string")
 
@@ -120,15 +119,15 @@ def word_ids(words: DataFrame, vocabulary) -> DataFrame:
     word are neighbours in one partition."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, last, last_ids = load(vocabulary.value), None, b""
+        tokenizer, last, last_ids = WordTokenizer(vocabulary.value), None, b""
+        wide = "<u2" if tokenizer.tokenizer.get_vocab_size() <= 65536 else "<u4"
         for batch in batches:
             if not batch.num_rows:
                 continue
             d = pc.dictionary_encode(batch.column(2))
             distinct = d.dictionary.to_pylist()
             known = distinct[0] == last
-            ids = [np.array(x, "<u2" if tokenizer.get_vocab_size() <= 65536 else "<u4").tobytes()
-                   for x in encode_words(tokenizer, distinct[known:])]
+            ids = [np.array(x, wide).tobytes() for x in tokenizer.encode(distinct[known:])]
             ids = [last_ids, *ids] if known else ids
             last, last_ids = distinct[-1], ids[-1]
             yield pa.RecordBatch.from_arrays(

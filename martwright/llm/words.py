@@ -81,6 +81,13 @@ class Words:
     def word(self, i: int) -> bytes:
         return self.data[self.start[i]:self.end[i]].tobytes()
 
+    def take(self, index: np.ndarray) -> pa.Array:
+        """The words at these indices as strings."""
+        start, n = self.start[index], (self.end - self.start)[index]
+        ends = np.concatenate([[0], np.cumsum(n)]).astype(np.int64)
+        body = self.data[np.arange(ends[-1]) + np.repeat(start - ends[:-1], n)]
+        return pa.LargeStringArray.from_buffers(len(start), pa.py_buffer(ends), pa.py_buffer(body)).cast(pa.string())
+
 
 def _power(table: np.ndarray, base: np.uint64, at: np.ndarray) -> np.ndarray:
     """base ** at; beyond the table by splitting the exponent."""

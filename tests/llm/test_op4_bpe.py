@@ -60,6 +60,24 @@ def test_the_worker_table_is_bounded():
     for at in range(0, 400, 40):
         texts = [" ".join(f"w{k} x" for k in range(at, at + 40)), "w1 w1"]
         ids, begin = encoder.encode(split_words(pa.array(texts)))
-        assert len(encoder.slot) <= 50
+        assert encoder.table.size <= 50
         for i, t in enumerate(texts):
             assert ids[begin[i]:begin[i + 1]].tolist() == tokenizer.encode(t, add_special_tokens=False).ids
+
+
+def test_plain_words_take_the_same_parts_as_the_library():
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    from martwright.llm.tokens import WordTokenizer
+    words_of, tokenizer = WordTokenizer(vocabulary_json()), load(vocabulary_json())
+    assert words_of.direct
+
+    @settings(max_examples=400, deadline=None)
+    @given(st.text(alphabet="'sStTrReEvVmMlLdDaÀÉÿßµªº×÷Ø019.,<|>!-", min_size=1, max_size=12))
+    def same(word):
+        assert words_of.encode([word])[0] == tokenizer.encode(word, add_special_tokens=False).ids
+
+    same()
+    assert words_of.encode(["<|endoftext|>", "ñandú", "ΑΣ"]) == [
+        tokenizer.encode(w, add_special_tokens=False).ids for w in ("<|endoftext|>", "ñandú", "ΑΣ")]
