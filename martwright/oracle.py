@@ -3,8 +3,8 @@
 Every text runs against the driver's base tables only, so the staging-shaped
 fixtures (FIXTURES.md) are inlined as CTEs.  The texts are phrased
 independently of the Spark plans (e.g. window de-dup here vs. grouped
-de-dup in Spark; the two-level retention aggregate here vs. the
-per-customer pre-aggregation in Spark).
+de-dup in Spark; filtered distinct counts here vs. the per-customer
+pre-aggregation in Spark).
 """
 
 from __future__ import annotations
@@ -104,42 +104,33 @@ def sales_cte(name: str, src: str) -> str:
 
 
 def retention_ctes(sales: str, prefix: str = "") -> tuple[str, ...]:
-    """The reference's retention semantics, phrased as a two-level aggregate,
-    over the sales CTE ``sales``; defines ``<prefix>periods``,
-    ``<prefix>first_buys``, ``<prefix>base``, ``<prefix>inner_groups`` and
-    ``<prefix>retention``.  Needs a ``d_item`` CTE."""
+    """Retention over the sales CTE ``sales``, from its definitions (SURVEY
+    §2.15): a customer's cohort is the week of the earliest sale that is not
+    refunded; every measure is one filtered count or sum over the distinct
+    sales.  Defines ``<prefix>cohorts``, ``<prefix>sold`` and
+    ``<prefix>retention``; needs a ``d_item`` CTE."""
     p = prefix
+    week = "cast(year({0}) as varchar) || cast(week({0}) as varchar)"
     return (
-        f"""{p}periods as (
-  select *, cast(year(date_time) as varchar) || cast(week(date_time) as varchar) as period_id
-  from {sales})""",
-        f"""{p}first_buys as (
-  select customer_id, date_time as first_buy, period_id as cohort
-  from (select customer_id, date_time, period_id,
-               row_number() over (partition by customer_id order by date_time) as rn
-        from {p}periods where status <> 'refunded') t
-  where rn = 1)""",
-        f"""{p}base as (
-  select distinct s.period_id, s.date_time, s.customer_id, i.category_name, s.item_id,
-         s.payment_amount, s.status, f.cohort,
-         case when f.cohort = s.period_id then 'new' else 'returning' end as customer_type
-  from {p}periods s left join d_item i on s.item_id = i.item_id
-       left join {p}first_buys f on s.customer_id = f.customer_id)""",
-        f"""{p}inner_groups as (
-  select period_id, customer_type, status, category_name, cohort,
-         count(distinct customer_id) as n_customers, sum(payment_amount) as amount,
-         count(*) as n_tx
-  from {p}base group by period_id, customer_type, status, category_name, cohort)""",
+        f"""{p}cohorts as (
+  select customer_id, min(date_time) as first_buy, {week.format('min(date_time)')} as cohort
+  from {sales} where status <> 'refunded' and customer_id is not null group by customer_id)""",
+        f"""{p}sold as (
+  select distinct {week.format('s.date_time')} as period_id, s.date_time, s.customer_id, s.item_id,
+    d_item.category_name, s.payment_amount, s.status, c.cohort,
+    coalesce(c.cohort = {week.format('s.date_time')}, false) as is_new
+  from {sales} s left join d_item using (item_id) left join {p}cohorts c using (customer_id))""",
         f"""{p}retention as (
   select 'weekly' as period_name, period_id, category_name, cohort,
-    cast(sum(case when status = 'shipped' and customer_type = 'new' then n_customers else 0 end) as integer) as new_customers_count,
-    cast(sum(case when status = 'shipped' and customer_type = 'returning' then n_customers else 0 end) as integer) as returning_customers_count,
-    cast(sum(case when status = 'refunded' then n_customers else 0 end) as integer) as refunded_customers_count,
-    cast(sum(case when status = 'shipped' and customer_type = 'new' then amount else 0 end) as decimal(14,2)) as new_customers_revenue,
-    cast(sum(case when status = 'shipped' and customer_type = 'returning' then amount else 0 end) as decimal(14,2)) as returning_customers_revenue,
-    cast(sum(case when status = 'refunded' then amount else 0 end) as decimal(14,2)) as refunded_customers_sum,
-    cast(sum(case when status = 'refunded' then n_tx else 0 end) as integer) as customers_refunded
-  from {p}inner_groups group by period_id, category_name, cohort)""",
+    count(distinct customer_id) filter (where status = 'shipped' and is_new)::integer as new_customers_count,
+    count(distinct customer_id) filter (where status = 'shipped' and not is_new)::integer as returning_customers_count,
+    count(distinct customer_id) filter (where status = 'refunded')::integer as refunded_customers_count,
+    coalesce(sum(payment_amount) filter (where status = 'shipped' and is_new), 0)::decimal(14,2) as new_customers_revenue,
+    coalesce(sum(payment_amount) filter (where status = 'shipped' and not is_new), 0)::decimal(14,2)
+      as returning_customers_revenue,
+    coalesce(sum(payment_amount) filter (where status = 'refunded'), 0)::decimal(14,2) as refunded_customers_sum,
+    count(*) filter (where status = 'refunded')::integer as customers_refunded
+  from {p}sold group by period_id, category_name, cohort)""",
     )
 
 

@@ -75,6 +75,9 @@ NO_ID = [c for c in ORDER_COLUMNS if c != "id"]
 DELETE_DAY = "1996-03-15"
 ACTIVITY_DELETE_DAY = "2024-01-15"
 REPLACE_FROM = "2000-01-01"
+#: Items whose id this divides are left out of the dimension (J1's unmatched
+#: side).
+UNKNOWN_ITEMS = 7
 
 
 # === S1-S4, P2-P5, P12: landing files ==========================================
@@ -493,18 +496,23 @@ def q_period_id(spark, sf):
 _RET_CTES = O.SALES_CTES + (O.ITEM_CATEGORIES, O.D_ITEM) + O.retention_ctes("f_daily_sales")
 
 
-@register("customer_cohort", O.with_ctes(*_RET_CTES, body="select * from first_buys"))
+@register("customer_cohort", O.with_ctes(*_RET_CTES, body="select * from cohorts"))
 def q_customer_cohort(spark, sf):
     """Each customer's first non-refunded sale day and its period."""
     return R.customer_cohort(_sales(spark, sf))
 
 
-@register("sales_enriched", O.with_ctes(*_RET_CTES, body="select * from base"))
+@register("sales_enriched", O.with_ctes(
+    *O.SALES_CTES, O.ITEM_CATEGORIES, O.D_ITEM.replace("d_item as", "all_items as"),
+    f"d_item as (select * from all_items where item_id % {UNKNOWN_ITEMS} <> 0)", *O.retention_ctes("f_daily_sales"),
+    body="""
+select * exclude (is_new), case when is_new then 'new' else 'returning' end as customer_type from sold"""))
 def q_sales_enriched(spark, sf):
     """The DISTINCT retention base with category (left join
-    on items), cohort (left join on customers) and customer type."""
+    on items, some of which the dimension lacks), cohort (left join on
+    customers) and customer type."""
     sales = _sales(spark, sf)
-    base = R.sales_enriched(sales, _d_item(spark, sf))
+    base = R.sales_enriched(sales, _d_item(spark, sf).where(F.col("item_id") % UNKNOWN_ITEMS != 0))
     cohorts = R.customer_cohort(sales).select("customer_id", "cohort")
     out = base.join(cohorts, "customer_id", "left")
     new = F.coalesce(F.col("cohort") == F.col("period_id"), F.lit(False))
@@ -512,9 +520,10 @@ def q_sales_enriched(spark, sf):
 
 
 @register("retention_groups", O.with_ctes(*_RET_CTES, body="""
-select period_id, customer_type, status, category_name, cohort, n_customers,
-       cast(amount as decimal(14,2)) as payment_amount, n_tx as n_transactions
-from inner_groups"""))
+select period_id, case when is_new then 'new' else 'returning' end as customer_type, status, category_name, cohort,
+  count(distinct customer_id) as n_customers, sum(payment_amount)::decimal(14,2) as payment_amount,
+  count(*) as n_transactions
+from sold group by period_id, is_new, status, category_name, cohort"""))
 def q_retention_groups(spark, sf):
     """The inner aggregate per (period, type, status, category,
     cohort)."""
