@@ -7,14 +7,18 @@ r"""MinHash near-dedup with HyperMinHash registers.
    their smallest doc_id, so exact copies cost no candidate at all.
 2. Four neighbouring registers make a 64-bit band key.  At similarity 0.8 two
    sets share a given band with probability 0.41 and none of the 32 with
-   5e-8.  A bucket (band, key) links its nodes to one hub only, the node
-   with the largest buckets, never all pairs.
-3. Candidates whose collision-corrected estimate could still be 0.8 (4.5
-   standard deviations) are verified on the full sets; components of the
-   verified links follow.
-4. Buckets that still hold several components are searched again, in blocks
-   of bounded size, for the best untested pair of each node with every other
-   component, until none is left: no link between buckets' nodes is lost.
+   5e-8.  In a bucket (band, key) the node with the largest buckets, as a rule
+   the text that the others were made from, is the hub; every node joins its
+   largest hub's group.
+3. A group is compared in blocks of bounded size: first every node with the
+   hub, then only the nodes that the hub does not link with all others.  Pairs
+   whose collision-corrected estimate could still be 0.8 (4.5 standard
+   deviations) are verified on the full sets, by one matrix product per block
+   over the shingles that at least two of its nodes hold.  A block returns the
+   links that join components, never all its pairs.
+4. Buckets that still hold several components of different groups are searched
+   for the best untested pair of each node with every other component, until
+   none is left: no link between a bucket's nodes is lost.
 
 Defined results: a null or empty text has no shingle and no link; a text
 shorter than a shingle is one shingle; repeated rows share component and
@@ -39,8 +43,9 @@ REGISTERS = TABLES * BUCKETS
 MANTISSA = 10
 EMPTY = np.uint16(0xFFFF)
 SIMILARITY_PERCENT = 80
-#: Rows of a bucket that one task compares at a time.
+#: Rows of a bucket or group, and their shingles, in one part of a block.
 BLOCK_ROWS = 2048
+BLOCK_SHINGLES = 2_000_000
 _SEEDS = mix(np.arange(1, TABLES + 1, dtype=np.uint64))
 
 FEATURES = "doc_id long, n_shingles long, k1 long, k2 long, sig binary"
@@ -148,54 +153,167 @@ def may_match(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, perc
     return estimate, (estimate >= want - slack) & (100 * np.minimum(na, nb) >= percent * np.maximum(na, nb))
 
 
-def estimated(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of nodes that may have the wanted similarity."""
-    side = lambda x: sets.select(F.col("node").alias(x), F.col("n").alias("n" + x), F.col("sig").alias("s" + x))
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
+def full_sets(docs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
+    """(node, n, sig, keys): the nodes' whole shingle sets, sorted."""
 
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                c = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
-                ok = may_match(signatures(batch.column(4).to_pylist()), signatures(batch.column(5).to_pylist()),
-                               c[2], c[3], percent)[1]
-                yield pa.RecordBatch.from_arrays([pa.array(c[0][ok]), pa.array(c[1][ok])], ["a", "b"])
+            for part in chunks(batch):
+                who, key = shingle_sets(split_words(part.column(1), lower=True), n)
+                cut = np.concatenate([[0], np.cumsum(np.bincount(who, minlength=part.num_rows))])
+                keys = [key[x:y].tobytes() for x, y in zip(cut[:-1].tolist(), cut[1:].tolist())]
+                yield pa.RecordBatch.from_arrays([*part.columns[:1], *part.columns[2:], pa.array(keys, pa.binary())],
+                                                 ["node", "n", "sig", "keys"])
+
+    rows = docs.select(F.col("doc_id").alias("node"), "text").join(nodes, "node")
+    return rows.select("node", "text", "n", "sig").mapInArrow(compute, "node long, n long, sig binary, keys binary")
+
+
+def shared_counts(keys: list[np.ndarray], some: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of the sets ``some`` with all sets: a
+    matrix product over the keys that two sets or more hold."""
+    row = np.repeat(np.arange(len(keys)), [len(k) for k in keys])
+    _, column, held = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
+    common = held > 1
+    rank = np.cumsum(common) - 1
+    ok = common[column]
+    row, column = row[ok], rank[column[ok]]
+    out = np.zeros((len(some), len(keys)), np.float32)
+    width = int(common.sum())
+    for at in range(0, width, 1024):
+        here = (column >= at) & (column < at + 1024)
+        x = np.zeros((len(keys), min(1024, width - at)), np.float32)
+        x[row[here], column[here] - at] = 1
+        out += x[some] @ x.T
+    return out
 
-    return both.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(keep, "a long, b long")
 
+class Union:
+    """Components of a few local nodes."""
+
+    def __init__(self, n: int):
+        self.up = list(range(n))
+
+    def find(self, x: int) -> int:
+        while self.up[x] != x:
+            self.up[x] = x = self.up[self.up[x]]
+        return x
+
+    def join(self, x: int, y: int) -> bool:
+        x, y = self.find(x), self.find(y)
+        self.up[x] = y
+        return x != y
+
+
+def block_links(node: np.ndarray, n: np.ndarray, sig: np.ndarray, keys: list[np.ndarray], hub: int,
+                percent: int) -> list[tuple[int, int]]:
+    """Links that join the components of one block's nodes.  ``hub``: the
+    hub's row."""
+    components_ = Union(len(node))
+    links = []
+
+    def compare(rows: np.ndarray):
+        for at in range(0, len(rows), 512):
+            some = rows[at:at + 512]
+            shared = shared_counts(keys, some)
+            ok = 100 * shared >= percent * (n[some][:, None] + n[None] - shared)
+            for r, x in enumerate(some.tolist()):
+                other = np.flatnonzero(ok[r])
+                other = other[(node[other] != node[x]) & may_match(sig[x], sig[other], n[x], n[other], percent)[1]]
+                for y in other.tolist():
+                    if components_.join(x, y):
+                        links.append((int(max(node[x], node[y])), int(min(node[x], node[y]))))
+
+    compare(np.array([hub]))
+    main = components_.find(hub)
+    alone = np.array([x for x in range(len(node)) if components_.find(x) != main], np.int64)
+    compare(alone)
+    return links
+
+
+def group_links(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links that join the components of every group.  groups: (hub,
+    node), the hub among its nodes; sets: full_sets()."""
+    size = groups.join(sets.select("node", "n"), "node").groupBy("hub").agg(
+        F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("parts"))
+    m = groups.join(size, "hub")
+    m = m.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    # block pair (i, j), i <= j: a row of part p goes to (p, j) and (i, p), the hub to all
+    every = F.sequence(F.lit(0), F.col("parts") - 1)
+    own = F.transform(every, lambda o: F.struct(F.least("part", o).alias("i"), F.greatest("part", o).alias("j")))
+    all_ = F.flatten(F.transform(every, lambda i: F.transform(F.sequence(i, F.col("parts") - 1),
+                                                              lambda j: F.struct(i.alias("i"), j.alias("j")))))
+    m = m.withColumn("o", F.explode(F.when(F.col("node") == F.col("hub"), all_).otherwise(own)))
+    m = m.select("hub", "o.i", "o.j", "node").join(sets, "node").select("hub", "i", "j", "node", "n", "sig", "keys")
+
+    def links_of(rows: pa.Table) -> list[tuple[int, int]]:
+        hub, node = rows.column("hub")[0].as_py(), rows.column("node").to_numpy()
+        at = np.flatnonzero(node == hub)
+        if not len(at) or len(node) < 2:
+            return []
+        keys = [np.frombuffer(k, np.uint64) for k in rows.column("keys").to_pylist()]
+        return block_links(node, rows.column("n").to_numpy(), signatures(rows.column("sig").to_pylist()), keys,
+                           int(at[0]), percent)
 
-def verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks_of(batches, ["hub", "i", "j"]):
+            for a, b in bounds_of(block, ["hub", "i", "j"]):
+                found = links_of(block.slice(a, b - a))
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], ["a", "b"])
+
+    block = ["hub", "i", "j"]
+    return m.repartition(*block).sortWithinPartitions(*block).mapInArrow(search, "a long, b long").distinct()
+
+
+def bounds_of(rows: pa.Table, by: list[str]) -> list[tuple[int, int]]:
+    """[begin, end) of the runs of equal ``by``."""
+    new = np.ones(rows.num_rows, bool)
+    columns = [rows.column(f).to_numpy() for f in by]
+    new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    at = np.flatnonzero(new).tolist()
+    return list(zip(at, [*at[1:], rows.num_rows]))
+
+
+def blocks_of(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[pa.Table]:
+    """Tables of whole runs of equal ``by`` from rows sorted by it; a run may
+    go on in the next batch."""
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = pa.Table.from_batches([batch])
+        rows = rows if held is None else pa.concat_tables([held, rows])
+        last = bounds_of(rows, by)[-1][0]
+        held = rows.slice(last)
+        if last:
+            yield rows.slice(0, last).combine_chunks()
+    if held is not None:
+        yield held.combine_chunks()
+
+
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets have the wanted similarity."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = docs.select("doc_id", "text").join(nodes, "doc_id", "left_semi")
-    both = (pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a")
-            .join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b"))
+    side = lambda x: sets.select(F.col("node").alias(x), F.col("keys").alias("k" + x))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in chunks(batch, 2):
-                rows = part.num_rows
-                sides = []
-                for c in (2, 3):
-                    w = split_words(part.column(c), lower=True)
-                    sides.append(shingle_sets(w, n))
-                (wa, ka), (wb, kb) = sides
-                who, key = np.concatenate([wa, wb]), np.concatenate([ka, kb])
-                order = np.lexsort((key, who))
-                who, key = who[order], key[order]
-                same = (who[1:] == who[:-1]) & (key[1:] == key[:-1])
-                shared = np.bincount(who[1:][same], minlength=rows)
-                union = np.bincount(who, minlength=rows) - shared
-                ok = (100 * shared >= percent * union) & (union > 0)
-                yield part.select(["a", "b"]).filter(pa.array(ok))
-
-    return both.select("a", "b", "ta", "tb").mapInArrow(keep, "a long, b long").distinct()
-
-
-def cross_pairs(group: np.ndarray, part: np.ndarray, i: np.ndarray, j: np.ndarray,
-                comp: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Row pairs (r < c) of one group that lie in parts (i, j) and in two
-    components, some ten thousand at a time.  Rows are ordered by group."""
+            ok = []
+            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                shared = len(np.intersect1d(x, y, assume_unique=True))
+                ok.append(100 * shared >= percent * (len(x) + len(y) - shared))
+            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    return both.select("a", "b", "ka", "kb").mapInArrow(keep, "a long, b long").distinct()
+
+
+def cross_pairs(group: np.ndarray, part: np.ndarray, i: np.ndarray, j: np.ndarray, comp: np.ndarray,
+                hub: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row pairs (r < c) of one block that lie in parts (i, j), in two
+    components and in two hubs' groups, some ten thousand at a time.  Rows are
+    ordered by block (``group``)."""
     end = np.searchsorted(group, group, side="right")
     partners = end - np.arange(len(group)) - 1
     total = np.concatenate([[0], np.cumsum(partners)])
@@ -205,63 +323,59 @@ def cross_pairs(group: np.ndarray, part: np.ndarray, i: np.ndarray, j: np.ndarra
         n = partners[row:stop]
         r = np.repeat(np.arange(row, stop), n)
         c = r + 1 + np.arange(len(r)) - np.repeat(total[row:stop] - total[row], n)
-        ok = (comp[r] != comp[c]) & (np.minimum(part[r], part[c]) == i[r]) & (np.maximum(part[r], part[c]) == j[r])
+        ok = (comp[r] != comp[c]) & (hub[r] != hub[c]) & (np.minimum(part[r], part[c]) == i[r]) & (np.maximum(part[r], part[c]) == j[r])
         r, c = r[ok], c[ok]
         for at in range(0, len(r), 50_000):
             yield r[at:at + 50_000], c[at:at + 50_000]
         row = stop
 
 
-def open_pairs(members: DataFrame, comps: DataFrame, sets: DataFrame, tested: DataFrame, percent: int) -> DataFrame:
-    """Untested pairs of nodes that share a bucket but no component: for each
-    node and other component of the bucket, the best estimate."""
-    m = members.join(comps.select(F.col("a").alias("node"), F.col("b").alias("comp")), "node", "left")
+def open_pairs(members: DataFrame, groups: DataFrame, comps: DataFrame, sets: DataFrame, tested: DataFrame,
+               percent: int) -> DataFrame:
+    """Untested pairs of nodes that share a bucket but neither component nor
+    group: for each node and other component of the bucket, the best estimate."""
+    m = members.join(groups, "node").join(comps.select(F.col("a").alias("node"), F.col("b").alias("comp")), "node", "left")
     m = m.withColumn("comp", F.coalesce("comp", "node"))
-    mixed = (m.groupBy("band", "key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
-                                          F.count(F.lit(1)).alias("size"))
-             .where("lo < hi").select("band", "key", F.ceil(F.col("size") / BLOCK_ROWS).cast("int").alias("parts")))
+    mixed = (m.groupBy("band", "key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("hub").alias("h1"),
+                                          F.max("hub").alias("h2"), F.count(F.lit(1)).alias("size"))
+             .where("lo < hi and h1 < h2").select("band", "key", F.ceil(F.col("size") / BLOCK_ROWS).cast("int").alias("parts")))
     m = m.join(mixed, ["band", "key"])
     m = m.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     # block pair (i, j), i <= j: a row of part p goes to (p, j) and (i, p)
     m = m.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    m = m.select("band", "key", "node", "comp", "part", F.least("part", "o").alias("i"), F.greatest("part", "o").alias("j"))
+    m = m.select("band", "key", "node", "comp", "hub", "part", F.least("part", "o").alias("i"),
+                 F.greatest("part", "o").alias("j"))
     m = m.join(sets.select("node", "n", "sig"), "node")
     block = ["band", "key", "i", "j"]
     m = m.repartition(*block).sortWithinPartitions(*block)
 
-    def pairs_of(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        c = {f: rows.column(f).to_numpy() for f in (*block, "node", "comp", "part", "n")}
-        sig = signatures(rows.column("sig").to_pylist())
-        new = np.ones(rows.num_rows, bool)
-        new[1:] = np.logical_or.reduce([c[f][1:] != c[f][:-1] for f in block])
-        for x, y in cross_pairs(np.cumsum(new), c["part"], c["i"], c["j"], c["comp"]):
-            estimate, ok = may_match(sig[x], sig[y], c["n"][x], c["n"][y], percent)
-            x, y, estimate = x[ok], y[ok], estimate[ok]
-            both = lambda f: (np.concatenate([c[f][x], c[f][y]]), np.concatenate([c[f][y], c[f][x]]))
-            (node, other), (_, to) = both("node"), both("comp")
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.maximum(node, other)), pa.array(np.minimum(node, other)), pa.array(node), pa.array(to),
-                 pa.array(np.tile(estimate, 2))], ["a", "b", "node", "to", "est"])
-
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None  # rows of a block that may go on in the next batch
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            rows = pa.Table.from_batches([batch])
-            rows = rows if held is None else pa.concat_tables([held, rows]).combine_chunks()
-            last = np.logical_and.reduce([(x := rows.column(f).to_numpy()) == x[-1] for f in block])
-            cut = int(np.argmax(last))
-            held = rows.slice(cut)
-            if cut:
-                yield from pairs_of(rows.slice(0, cut))
-        if held is not None:
-            yield from pairs_of(held)
+        for rows in blocks_of(batches, block):
+            c = {f: rows.column(f).to_numpy() for f in (*block, "node", "comp", "hub", "part", "n")}
+            sig = signatures(rows.column("sig").to_pylist())
+            run = np.repeat(np.arange(len(at := bounds_of(rows, block))), [y - x for x, y in at])
+            for x, y in cross_pairs(run, c["part"], c["i"], c["j"], c["comp"], c["hub"]):
+                estimate, ok = may_match(sig[x], sig[y], c["n"][x], c["n"][y], percent)
+                x, y, estimate = x[ok], y[ok], estimate[ok]
+                both = lambda f: (np.concatenate([c[f][x], c[f][y]]), np.concatenate([c[f][y], c[f][x]]))
+                (node, other), (_, to) = both("node"), both("comp")
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.maximum(node, other)), pa.array(np.minimum(node, other)), pa.array(node), pa.array(to),
+                     pa.array(np.tile(estimate, 2))], ["a", "b", "node", "to", "est"])
 
     pairs = m.mapInArrow(search, "a long, b long, node long, to long, est double").join(tested, ["a", "b"], "left_anti")
     return pairs.groupBy("node", "to").agg(F.max(F.struct("est", "a", "b")).alias("x")).select("x.a", "x.b").distinct()
 
 
+def hub_groups(members: DataFrame) -> DataFrame:
+    """(hub, node): each node's hub.  members: (band, key, node, size)."""
+    weight = members.groupBy("node").agg(F.sum("size").alias("weight"))
+    hubs = members.join(weight, "node").groupBy("band", "key").agg(
+        F.max(F.struct("weight", (-F.col("node")).alias("minus"))).alias("hub"))
+    return members.join(hubs, ["band", "key"]).groupBy("node").agg(F.max("hub").alias("hub")).select(
+        (-F.col("hub.minus")).alias("hub"), "node")
+
+
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = SIMILARITY_PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row."""
     feats = stored(features(docs, n), "features")
@@ -272,25 +386,20 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = SIMILARITY_PERCE
     bands = band_rows(sets)
     shared = bands.groupBy("band", "key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     members = stored(bands.join(shared, ["band", "key"]), "buckets")
-    # the text that a group's copies were made from shares most registers
-    # with them: the node with the largest buckets is the hub of its buckets
-    weight = members.groupBy("node").agg(F.sum("size").alias("weight"))
-    hubs = members.join(weight, "node").groupBy("band", "key").agg(
-        F.max_by("node", F.struct(F.col("weight"), -F.col("node"))).alias("hub"))
+    groups = stored(hub_groups(members), "groups")
     members = members.drop("size")
+    full = stored(full_sets(docs, sets.join(groups.select("node").distinct(), "node", "left_semi"), n), "sets-full")
 
-    pairs = members.join(hubs, ["band", "key"]).where("node <> hub").select(
-        F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b")).distinct()
-    tested = stored(estimated(pairs, sets, percent), "pairs")
-    links = stored(verified(tested, docs, n, percent), "verified")
+    links = stored(group_links(groups.unionByName(groups.select("hub", F.col("hub").alias("node"))).distinct(),
+                               full, percent), "links")
+    tested = links
     while True:
         comps = components(links)
-        more = stored(open_pairs(members, comps, sets, tested, percent), "pairs")
+        more = stored(open_pairs(members, groups, comps, sets, tested, percent), "pairs")
         if more.isEmpty():
             break
-        new = stored(verified(more, docs, n, percent), "verified")
+        links = links.unionByName(stored(verified(more, full, percent), "verified"))
         tested = tested.unionByName(more)
-        links = links.unionByName(new)
 
     named = sets.select("k1", "k2", F.col("n").alias("n_shingles"), "node").join(
         comps.select(F.col("a").alias("node"), F.col("b").alias("low")), "node", "left").select(
