@@ -2,15 +2,16 @@
 
 1. Tasks split the texts into words and number each block's distinct words
    (a block is a run of texts of about ``BLOCK_BYTES``).
-2. The (block, slot, word) rows meet by word: sorted inside their partition,
-   each distinct word of the corpus is encoded once, and its ids go back to
-   every block that has it.
+2. Each block's words go to buckets by their hash, packed.  A bucket gathers a
+   word's rows from all blocks, encodes each distinct word once, and sends the
+   ids back, packed by block.  There are as many buckets as shuffle partitions,
+   so what one task holds is set by that setting.
 3. Each block's ids meet its documents, kept as compressed slot numbers in
    word order; every position takes its word's ids.  Decoding looks the ids
    up in the vocabulary's id-to-piece table (49,408 pieces, broadcast) and
    joins the pieces as the vocabulary's missing decoder does, by one space.
 
-A word's rows are one per block, never one per occurrence, so a frequent word
+A word travels once per block, never once per occurrence, so a frequent word
 is not hot.  A block's number is a hash of its words: if a repeated scan cut
 the input differently, step 3 fails rather than mixes blocks.
 
@@ -25,14 +26,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tokens import WordTokenizer, load, vocabulary_json
+from .tokens import WordTokenizer, vocabulary_json
 from .words import Words, chunks, mix, split_words
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 _CODEC = "zstd"
 
 ENCODED = "doc_id long, n_tokens long, ids binary, decoded string"
@@ -66,75 +66,93 @@ def _slots(parts: list) -> tuple[int, np.ndarray, np.ndarray]:
     return number, rank[inverse], first[order]
 
 
-def _distinct_words(parts: list, first: np.ndarray) -> Iterator[pa.Array]:
-    """The words at these indices (over all parts' words), some at a time."""
-    data = np.concatenate([w.data for _, w in parts])
-    shift = np.cumsum([0, *(len(w.data) for _, w in parts)])
-    start, end = (np.concatenate([getattr(w, f) + s for (_, w), s in zip(parts, shift)]) for f in ("start", "end"))
-    whole = Words(data, shift[:0], start, end, shift[:0], shift[:0])
-    for at in range(0, len(first), 50_000):
-        yield whole.take(first[at:at + 50_000])
+def _pack(values: np.ndarray) -> bytes:
+    """Numbers under 2 ** 32, byte plane by byte plane, compressed."""
+    planes = np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+    return pa.compress(planes, _CODEC, asbytes=True)
 
 
-def block_words(docs: DataFrame) -> DataFrame:
-    """(block, slot, word): every block's distinct words."""
+def _unpack(packed: bytes, n: int) -> np.ndarray:
+    planes = pa.decompress(packed, 4 * n, _CODEC, asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
+def block_words(docs: DataFrame, buckets: int) -> DataFrame:
+    """(bucket, block, n, slots, size, words): a block's distinct words of a
+    bucket; words are joined by spaces and compressed, ``size`` is their length."""
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for parts in _blocks(batches):
             number, _, first = _slots(parts)
-            at = 0
-            for some in _distinct_words(parts, first):
+            key = np.concatenate([w.key for _, w in parts])[first]
+            data = np.concatenate([w.data for _, w in parts])
+            shift = np.cumsum([0, *(len(w.data) for _, w in parts)])
+            start, end = (np.concatenate([getattr(w, f) + s for (_, w), s in zip(parts, shift)])[first]
+                          for f in ("start", "end"))
+            bucket = (mix(key) % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            words = Words(data, shift[:0], start, end, shift[:0], shift[:0])
+            at = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            rows = []
+            for b, (x, y) in enumerate(zip(at[:-1].tolist(), at[1:].tolist())):
+                if x < y:
+                    body = " ".join(words.take(order[x:y]).to_pylist()).encode()
+                    rows.append((b, number, y - x, _pack(order[x:y]), len(body), pa.compress(body, _CODEC, asbytes=True)))
+            if rows:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(some), number, np.int64)),
-                     pa.array(np.arange(at, at + len(some), dtype=np.int32)), some], ["block", "slot", "word"])
-                at += len(some)
+                    [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.binary()))],
+                    ["bucket", "block", "n", "slots", "size", "words"])
 
-    return docs.select("doc_id", "text").mapInArrow(compute, "block long, slot int, word string")
+    return docs.select("doc_id", "text").mapInArrow(
+        compute, "bucket int, block long, n int, slots binary, size long, words binary")
 
 
 def block_documents(docs: DataFrame) -> DataFrame:
-    """(block, doc_ids, counts, slots): the documents as slot numbers in word
-    order, three byte planes compressed."""
+    """(block, doc_ids, counts, slots): the documents as packed slot numbers
+    in word order."""
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for parts in _blocks(batches):
             number, slots, _ = _slots(parts)
             at = 0
             for ids, w in parts:
-                own = slots[at:at + len(w.key)].astype("<u4")
+                own = slots[at:at + len(w.key)]
                 at += len(w.key)
-                planes = np.ascontiguousarray(own.view(np.uint8).reshape(-1, 4).T).tobytes()
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([number], pa.int64()), pa.array([ids.to_pylist()], pa.list_(pa.int64())),
                      pa.array([w.counts.tolist()], pa.list_(pa.int32())),
-                     pa.array([pa.compress(planes, _CODEC, asbytes=True)], pa.binary())],
+                     pa.array([_pack(own)], pa.binary())],
                     ["block", "doc_ids", "counts", "slots"])
 
     return docs.select("doc_id", "text").mapInArrow(
         compute, "block long, doc_ids array<long>, counts array<int>, slots binary")
 
 
-def word_ids(words: DataFrame, vocabulary) -> DataFrame:
-    """(block, slot, ids) with each distinct word encoded once: the rows of a
-    word are neighbours in one partition."""
+def word_ids(words: DataFrame, buckets: int, vocabulary) -> DataFrame:
+    """(block, n, slots, total, counts, ids): the words' ids, each distinct
+    word of a bucket encoded once."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, last, last_ids = WordTokenizer(vocabulary.value), None, b""
-        wide = "<u2" if tokenizer.tokenizer.get_vocab_size() <= 65536 else "<u4"
+        tokenizer, known, bucket = WordTokenizer.shared(vocabulary.value), {}, None
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            d = pc.dictionary_encode(batch.column(2))
-            distinct = d.dictionary.to_pylist()
-            known = distinct[0] == last
-            ids = [np.array(x, wide).tobytes() for x in tokenizer.encode(distinct[known:])]
-            ids = [last_ids, *ids] if known else ids
-            last, last_ids = distinct[-1], ids[-1]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(ids, pa.binary()).take(d.indices)], ["block", "slot", "ids"])
+            for row in batch.to_pylist():
+                if row["bucket"] != bucket:
+                    known, bucket = {}, row["bucket"]
+                own = pa.decompress(row["words"], row["size"], _CODEC, asbytes=True).decode().split(" ")
+                new = [w for w in own if w not in known]
+                known.update(zip(new, tokenizer.encode(new)))
+                ids = [known[w] for w in own]
+                counts = np.fromiter(map(len, ids), np.int64, len(ids))
+                total = int(counts.sum())
+                flat = np.fromiter((x for one in ids for x in one), np.int64, total)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([row["block"]], pa.int64()), pa.array([row["n"]], pa.int32()),
+                     pa.array([row["slots"]], pa.binary()), pa.array([total], pa.int64()),
+                     pa.array([_pack(counts)], pa.binary()), pa.array([_pack(flat)], pa.binary())],
+                    ["block", "n", "slots", "total", "counts", "ids"])
 
-    return (words.repartition("word").sortWithinPartitions("word")
-            .mapInArrow(encode, "block long, slot int, ids binary"))
+    return (words.repartition(buckets, "bucket").sortWithinPartitions("bucket")
+            .mapInArrow(encode, "block long, n int, slots binary, total long, counts binary, ids binary"))
 
 
 def decode_ids(pieces: list[str], ids: np.ndarray) -> str:
@@ -146,29 +164,32 @@ def encode_decode(docs: DataFrame, vocabulary_path: str | None = None) -> DataFr
     """(doc_id, n_tokens, ids, decoded): the ids as little-endian unsigned
     32-bit integers and the text that they decode to."""
     vocabulary = docs.sparkSession.sparkContext.broadcast(vocabulary_json(vocabulary_path))
-    ids = word_ids(block_words(docs), vocabulary)
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ids = word_ids(block_words(docs, buckets), buckets, vocabulary)
 
     def join(block: pa.Table, table: pa.Table) -> pa.Table:
-        tokenizer = load(vocabulary.value)
-        size = tokenizer.get_vocab_size()
-        pieces = [tokenizer.id_to_token(i) for i in range(size)]
-        wide = np.dtype("<u2" if size <= 65536 else "<u4")
-        slot = table.column("slot").to_numpy()
+        pieces = WordTokenizer.shared(vocabulary.value).pieces
+        rows = table.to_pylist()
+        slot, n, flat = [], [], []
+        for r in rows:
+            slot.append(_unpack(r["slots"], r["n"]))
+            n.append(_unpack(r["counts"], r["n"]))
+            flat.append(_unpack(r["ids"], r["total"]))
+        slot, n, flat = (np.concatenate(x or [np.zeros(0, "<u4")]) for x in (slot, n, flat))
+        n = n.astype(np.int64)
+        begin = np.cumsum(n) - n
         slot, first = np.unique(slot, return_index=True)
         if len(slot) and slot[-1] != len(slot) - 1:
             raise ValueError("a block lacks words: the input gave other rows when it was read again")
-        of_slot = [np.frombuffer(x, wide) for x in table.column("ids").take(pa.array(first)).to_pylist()]
-        n = np.fromiter(map(len, of_slot), np.int64, len(of_slot))
-        flat = np.concatenate(of_slot).astype("<u4") if of_slot else np.zeros(0, "<u4")
-        begin = np.cumsum(n) - n
+        n, begin = n[first], begin[first]
+        of_slot = [flat[x:x + y] for x, y in zip(begin.tolist(), n.tolist())]
         text = [decode_ids(pieces, x) for x in of_slot]
         blank = n == 0
         out = ([], [], [], [])
         for row in block.to_batches():
             for doc_ids, counts, packed in zip(row.column("doc_ids"), row.column("counts"), row.column("slots").to_pylist()):
                 counts = np.array(counts.as_py(), np.int64)
-                planes = pa.decompress(packed, 4 * int(counts.sum()), _CODEC, asbytes=True)
-                slots = np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+                slots = _unpack(packed, int(counts.sum()))
                 if len(slots) and int(slots.max()) >= len(n):
                     raise ValueError("a block lacks words: the input gave other rows when it was read again")
                 m = n[slots]

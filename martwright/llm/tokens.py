@@ -68,6 +68,17 @@ class WordTokenizer:
         self.direct = _PATTERN in (str(self.tokenizer.pre_tokenizer).replace("\\\\", "\\"))
         self.max_known = max_known
         self.parts: dict[str, list[int]] = {}
+        self.pieces = [self.tokenizer.id_to_token(i) for i in range(self.tokenizer.get_vocab_size())]
+
+    _shared: dict[int, WordTokenizer] = {}
+
+    @classmethod
+    def shared(cls, vocabulary: str) -> WordTokenizer:
+        """One per worker process and vocabulary."""
+        key = hash(vocabulary)
+        if key not in cls._shared:
+            cls._shared[key] = cls(vocabulary)
+        return cls._shared[key]
 
     def part(self, part: str) -> list[int]:
         ids = self.parts.get(part)
@@ -136,7 +147,7 @@ class Encoder:
     _shared: dict[int, Encoder] = {}
 
     def __init__(self, vocabulary: str, max_known: int = MAX_KNOWN):
-        self.words = WordTokenizer(vocabulary)
+        self.words = WordTokenizer.shared(vocabulary)
         self.max_known = max_known
         self._forget()
 
