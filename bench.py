@@ -75,7 +75,7 @@ def main():
             R.weekly_retention(wh.read("f_daily_sales"), wh.read("d_item"))),
         "dedup_orders": lambda: _noop(staging.dedupe_entity(raw_orders, "user_orders_log")),
         "daily_increment": lambda: jobs.daily_increment(
-            spark, land, wh, INCREMENT_DS, categories=cats),
+            spark, land, wh, INCREMENT_DS, categories=cats, expected=("user_orders_log",)),
     }
     times = {}
     for name, fn in queries.items():

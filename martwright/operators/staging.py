@@ -18,19 +18,19 @@ from ..schemas import DEDUP_KEYS
 
 def align(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Match columns by name, cast each to the declared type (ANSI
-    casts raise on overflow like an INSERT would), and fill declared columns
-    the input lacks with NULL.  Extra input columns are dropped."""
-    have = set(df.columns)
-    return df.select(*[
-        (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
-        for f in schema.fields
-    ])
+    casts raise on overflow, and a fraction is rounded into an integer column,
+    as an INSERT would), and fill declared columns the input lacks with NULL.
+    Extra input columns are dropped."""
+    types = {f.name: f.dataType for f in df.schema}
 
+    def value(f: T.StructField):
+        if f.name not in types:
+            return F.lit(None)
+        fraction = isinstance(types[f.name], (T.FractionalType, T.DecimalType))
+        whole = isinstance(f.dataType, T.IntegralType)
+        return F.round(f.name) if fraction and whole else F.col(f.name)
 
-def append(target: DataFrame, rows: DataFrame) -> DataFrame:
-    """M10 as a DataFrame: rows appended after the target, by name."""
-    return target.unionByName(align(rows, T.StructType(
-        [target.schema[c] for c in target.columns])))
+    return df.select(*[value(f).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def delete_business_day(df: DataFrame, ds: str | _dt.date, whole_day: bool = False) -> DataFrame:
@@ -39,18 +39,6 @@ def delete_business_day(df: DataFrame, ds: str | _dt.date, whole_day: bool = Fal
     return df.where(~on_business_day(F.col("date_time"), ds, whole_day))
 
 
-#: Largest value domain of a text payload column that de-dup encodes as a
-#: small integer code (see :func:`dedupe`).
-MAX_DICTIONARY = 1_000
-
-def _dictionary(df: DataFrame, col: str, max_size: int) -> list | None:
-    """The distinct non-NULL values of ``col`` if there are at most
-    ``max_size`` of them (one bounded collect), else None."""
-    vals = [r[0] for r in df.select(col).distinct().limit(max_size + 2).collect()
-            if r[0] is not None]
-    return sorted(vals) if len(vals) <= max_size else None
-
-
 #: M1 in SQL form (P13): table and business date are bound parameters, never
 #: spliced into the text.
 DELETE_DAY_SQL = """
@@ -68,46 +56,23 @@ def delete_business_day_sql(spark, table: str, ds: str | _dt.date) -> DataFrame:
 
 
 def dedupe(df: DataFrame, keys: list[str], order_col: str = "id",
-           flag_removed: bool = False, max_dictionary: int = MAX_DICTIONARY) -> DataFrame:
-    """Keep the row with the lowest ``order_col`` per key.
+           flag_removed: bool = False) -> DataFrame:
+    """Keep the row with the lowest ``order_col`` per key (NULL last).
 
-    One hash aggregate per key: ``min(id)`` plus, for each payload column
-    outside the key, its value on the lowest-id row (``min_by``).  Map-side
+    One aggregate per key: the smallest (order, payload) struct.  Map-side
     partial aggregation shrinks duplicate-heavy (hot) keys before the
-    shuffle.  NULL key values form one group, as in PARTITION BY.
-
-    Spark's hash aggregate needs fixed-width buffers; a text payload (the
-    orders' ``status``) would push the whole aggregate into a sort-based
-    one.  So a text column whose value domain is small (checked, at most
-    ``max_dictionary`` values) is carried as its integer position in that
-    sorted domain and decoded after the aggregate; a larger domain falls
-    back to ``min_by`` on the text itself.  ``flag_removed`` adds
-    ``_n_removed``, the number of rows dropped per surviving row.
+    shuffle, and the sort-based aggregate spills.  NULL key values form one
+    group, as in PARTITION BY.  ``flag_removed`` adds ``_n_removed``, the
+    number of rows dropped per surviving row.
     """
-    rest = [c for c in df.columns if c not in keys and c != order_col]
-    types = dict(df.dtypes)
-    order = F.col(order_col)
-    aggs = [F.min(order_col).alias(order_col)]
-    decode = {}
-    for c in rest:
-        dtype = df.schema[c].dataType
-        domain = None
-        if isinstance(dtype, T.StringType) and max_dictionary:
-            domain = _dictionary(df, c, max_dictionary)
-        if domain is not None:
-            values = F.array(*[F.lit(v) for v in domain]) if domain else F.array().cast("array<string>")
-            code = F.coalesce(F.array_position(values, F.col(c)).cast("int"), F.lit(0))
-            aggs.append(F.min_by(code, order).alias(c))
-            decode[c] = F.when(F.col(c) > 0, F.element_at(values, F.col(c))).alias(c)
-        else:
-            aggs.append(F.min_by(F.col(c), order).alias(c))
+    rest = [c for c in df.columns if c not in keys]
+    payload = F.struct(F.col(order_col).isNull().alias("_null"), F.col(order_col).alias("_order"), *rest)
+    aggs = [F.min(payload).alias("_first")]
     if flag_removed:
         aggs.append((F.count(F.lit(1)) - 1).alias("_n_removed"))
-    g = df.groupBy(*keys).agg(*aggs)
-    cols = [decode.get(c, F.col(c)) for c in df.columns]
-    out = g.select(*cols, *(["_n_removed"] if flag_removed else []))
-    assert all(types[c] == t for c, t in out.dtypes if c in types)
-    return out
+    out = df.groupBy(*keys).agg(*aggs)
+    return out.select(*[c if c in keys else F.col("_first")[c].alias(c) for c in df.columns],
+                      *(["_n_removed"] if flag_removed else []))
 
 
 def dedupe_window(df: DataFrame, keys: list[str], order_col: str = "id") -> DataFrame:
@@ -140,18 +105,32 @@ def add_status_column(df: DataFrame) -> DataFrame:
     return df.withColumn("status", F.lit(None).cast("string"))
 
 
-def assign_ids(df: DataFrame, base: int, id_col: str = "id") -> DataFrame:
-    """M9: ids above ``base`` that follow the input order.
-
-    ``monotonically_increasing_id`` grows with (input partition, row), and a
-    file scan splits a file in order, so ids follow row order within a
-    landing file.  A retried task reads the same split and gets the same
-    ids.  ``base`` is the table's id high-water mark, read from its
-    sequence, so no scan of the table is needed.
-    """
-    return df.withColumn(id_col, F.lit(int(base) + 1) + F.monotonically_increasing_id())
+#: Where a landed row stands: file, block start in it, and a number that
+#: grows along the block (``landing.read_landing(position=True)``).
+POSITION = "_position"
 
 
-def drop_exact_duplicates(df: DataFrame) -> DataFrame:
-    """Identical rows collapse to one (initial load only)."""
-    return df.dropDuplicates()
+def assign_ids(df: DataFrame, base: int, id_col: str = "id") -> DataFrame:
+    """M9: ids above ``base`` in landing order: by file path, then by place
+    in the file.
+
+    Spark packs splits of several files into a task, larger ones first, so a
+    row's number in its task says nothing about file order.  Each (file, block)
+    gets an offset instead: the sum of the lengths of the blocks before it.
+    Only the list of blocks is ordered (one row per 128 MB of extract); the
+    rows themselves are neither sorted nor gathered.  A retried task reads the
+    same split and gives the same ids.  Rows without a position get ids that
+    are unique above ``base`` but follow no file.
+    """
+    if POSITION not in df.columns:
+        return df.withColumn(id_col, F.lit(int(base) + 1) + F.monotonically_increasing_id())
+    rows = df.select(*[c for c in df.columns if c != POSITION],
+                     *(F.col(POSITION)[c].alias(f"_{c}") for c in ("file", "block", "row")))
+    blocks = rows.groupBy("_file", "_block").agg(
+        F.min("_row").alias("_low"), (F.max("_row") - F.min("_row") + 1).alias("_length"))
+    before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select("_file", "_block", "_low",
+                           F.coalesce(F.sum("_length").over(before), F.lit(0)).alias("_offset"))
+    new_id = F.lit(int(base) + 1) + F.col("_offset") + F.col("_row") - F.col("_low")
+    keep = [c for c in df.columns if c not in (POSITION, id_col)]
+    return rows.join(blocks, ["_file", "_block"]).select(*keep, new_id.alias(id_col))

@@ -30,7 +30,3 @@ def daily_sales(orders: DataFrame, lenient: bool = False) -> DataFrame:
     # aggregation removes repeats before the shuffle.
     return rows.distinct()
 
-
-def touched_days(orders: DataFrame) -> DataFrame:
-    """The set of sale days present in the staging rows."""
-    return orders.select(to_day("date_time").alias("date_time")).distinct()

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import oracle as O
@@ -80,16 +80,24 @@ REPLACE_FROM = "2000-01-01"
 UNKNOWN_ITEMS = 7
 
 
+def _ts(s: str):
+    return F.lit(s).cast("timestamp_ntz")
+
+
 # === S1-S4, P2-P5, P12: landing files ==========================================
 
 @register("landing_csv_roundtrip", O.with_ctes(
-    *_ctes(), body=f"select {O.ORDER_COLS_NO_ID}, status from user_orders_log"))
+    *_ctes(), body=f"""
+select {O.ORDER_COLS_NO_ID.replace('item_name', "item_name || ' 32"", A ""B"", ' || chr(10) || '\\C' as item_name")},
+  status from user_orders_log"""))
 def q_landing_csv_roundtrip(spark, sf):
     """Write the orders extract in landing form, read it
-    back by column name, drop the index and the id."""
+    back by column name, drop the index and the id.  Item names hold quotes,
+    commas, a line break and a backslash."""
     root = scratch_path(spark, "landing")
     path = landing_path(root, "user_orders_log", "2022-07-09", increment=True)
-    write_landing(_orders(spark, sf), path)
+    odd = F.concat("item_name", F.lit(' 32", A "B", \n\\C'))
+    write_landing(_orders(spark, sf).withColumn("item_name", odd), path)
     return cleanse_increment(read_landing(spark, path, "user_orders_log"), "user_orders_log")
 
 
@@ -148,12 +156,15 @@ def q_append_by_name(spark, sf):
 
 @register("increment_gate_noop", O.with_ctes(*_ctes(), body="select * from user_orders_log"))
 def q_increment_gate_noop(spark, sf):
-    """No increment landed for the day -> the job does nothing and the
-    staging table is unchanged."""
+    """The day's increment is not complete -> the job does nothing and
+    the staging table is unchanged."""
     wh = _warehouse(spark)
     wh.init_tables(["user_orders_log"])
     wh.overwrite("user_orders_log", _orders(spark, sf))
-    result = jobs.daily_increment(spark, scratch_path(spark, "landing"), wh, "2022-07-09")
+    land = scratch_path(spark, "landing")
+    # one of three extracts is not enough
+    write_landing(_orders(spark, sf), landing_path(land, "user_orders_log", "2022-07-09", increment=True))
+    result = jobs.daily_increment(spark, land, wh, "2022-07-09")
     assert result.status == "no-op"
     return wh.read("user_orders_log")
 
@@ -179,18 +190,34 @@ def q_add_status_column(spark, sf):
 
 
 @register("assign_row_ids", O.with_ctes(*_ctes(), body="""
-select count(*) as n_rows, count(*) as n_distinct_ids, true as all_above_base
+select count(*) as n_rows, count(*) as n_distinct_ids, true as all_above_base, 0::bigint as n_out_of_order
 from user_orders_log"""))
 def q_assign_row_ids(spark, sf):
-    """M9: ids assigned to an id-less extract are unique and above the
-    table's high-water mark."""
-    base = 1_000
-    rows = staging.assign_ids(_orders(spark, sf).drop("id"), base)
-    return rows.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_distinct("id").alias("n_distinct_ids"),
-        (F.min("id") > base).alias("all_above_base"),
-    )
+    """M9: ids assigned to an id-less extract of several files of unequal
+    size are unique, above the table's high-water mark, and follow the file
+    names and the rows of each file."""
+    base, land = 1_000, scratch_path(spark, "landing")
+    orders = _orders(spark, sf)
+    # the earliest year makes up a small first file, the others larger ones
+    for k, years in enumerate((F.year("date_time") <= 1992, F.year("date_time").between(1993, 1998),
+                               F.year("date_time") >= 1999)):
+        write_landing(orders.where(years).repartition(k + 1).withColumn("city_name", F.lit(str(k))),
+                      f"{land}/{k}.csv")
+    rows = read_landing(spark, f"{land}/*", "user_orders_log", position=True)
+    place = rows.select("id", F.col("_position.file").alias("file"), F.col("_position.row").alias("row"))
+    ids = staging.assign_ids(rows.withColumn("old", F.col("id")), base).select("old", F.col("id").alias("new"))
+    both = place.join(ids, F.col("id") == F.col("old"))
+    in_file = Window.partitionBy("file").orderBy("row")
+    files = both.groupBy("file").agg(F.min("new").alias("low"), F.max("new").alias("high"))
+    in_files = both.withColumn("back", F.col("new") <= F.lag("new").over(in_file))
+    # one row per file
+    between = files.withColumn("back", F.col("low") <= F.lag("high").over(Window.orderBy("file")))
+    out = in_files.select("new", "back").unionByName(between.select(F.lit(None).cast("long").alias("new"), "back"))
+    return out.agg(
+        F.count("new").alias("n_rows"),
+        F.count_distinct("new").alias("n_distinct_ids"),
+        (F.min("new") > base).alias("all_above_base"),
+        F.count(F.when(F.col("back"), 1)).alias("n_out_of_order"))
 
 
 @register("delete_business_day", O.with_ctes(*_ctes(), body=f"""
@@ -203,6 +230,14 @@ def q_delete_business_day(spark, sf):
     return staging.delete_business_day(_orders(spark, sf), DELETE_DAY)
 
 
+@register("delete_business_day_sql", O.with_ctes(*_ctes(), body=f"""
+select * from user_orders_log where date_time is null or date_time <> timestamp '{DELETE_DAY}'"""))
+def q_delete_business_day_sql(spark, sf):
+    """The same statement through ``spark.sql`` with bound parameters."""
+    _orders(spark, sf).createOrReplaceTempView("orders_of_the_day")
+    return staging.delete_business_day_sql(spark, "orders_of_the_day", DELETE_DAY)
+
+
 @register("delete_whole_day", f"""
 with events_staged as (
   select case event_type when 'view' then 1 when 'click' then 2 when 'signup' then 3
@@ -257,42 +292,59 @@ def q_dedup_orders(spark, sf):
 
 # === Q1-Q5: quality =============================================================
 
+#: A bound that the test tables exceed, for the failing verdict.
+TIGHT_BOUNDS = (5, 10)
+
+
 def _rows_check_oracle(table: str, label: str, check: str, *ctes: str) -> str:
     return O.with_ctes(*ctes, body=f"""
-select '{label}' as table_name, '{check}' as dq_check_name,
-  cast(case when count(*) between 5 and 1000000 then 0 else 1 end as decimal(8,2)) as dq_check_result
-from {table}""")
+select '{label}' as table_name, '{check}' as dq_check_name, hi as highest,
+  cast(case when n between 5 and hi then 0 else 1 end as decimal(8,2)) as dq_check_result
+from (select count(*) as n from {table}), (values (1000000), ({TIGHT_BOUNDS[1]})) b(hi)""")
+
+
+def _rows_check(df, table):
+    """The verdicts under the reference's bounds and under tight ones."""
+    verdicts = [quality.rows_check(df, table, b).withColumn("highest", F.lit(b[1]))
+                for b in (quality.REFERENCE_BOUNDS, TIGHT_BOUNDS)]
+    return verdicts[0].unionByName(verdicts[1]).drop("datetime")
 
 
 @register("rows_check_orders", _rows_check_oracle(
     "user_orders_log", "user_orders_log", "check_rows_orders_log", *O.ORDERS_CTES))
 def q_rows_check_orders(spark, sf):
-    """Orders row-count verdict (0 pass, 1 fail)."""
-    return quality.rows_check(_orders(spark, sf), "user_orders_log").drop("datetime")
+    """Orders row-count verdicts (0 pass, 1 fail)."""
+    return _rows_check(_orders(spark, sf), "user_orders_log")
 
 
 @register("rows_check_activity", _rows_check_oracle(
     "user_activity_log", "user_activity_log", "check_rows_activity_log", O.USER_ACTIVITY_LOG))
 def q_rows_check_activity(spark, sf):
-    """Activity row-count verdict."""
-    return quality.rows_check(fx.user_activity_log(spark, sf), "user_activity_log").drop("datetime")
+    """Activity row-count verdicts."""
+    return _rows_check(fx.user_activity_log(spark, sf), "user_activity_log")
 
 
-@register("verdict_log", O.with_ctes(*_ctes(O.USER_ACTIVITY_LOG), body="""
+@register("verdict_log", O.with_ctes(*_ctes(O.USER_ACTIVITY_LOG), body=f"""
 select 'user_orders_log' as table_name, 'check_rows_orders_log' as dq_check_name,
   cast(case when (select count(*) from user_orders_log) between 5 and 1000000 then 0 else 1 end
        as decimal(8,2)) as dq_check_result, true as has_timestamp
 union all
 select 'user_activity_log', 'check_rows_activity_log',
-  cast(case when (select count(*) from user_activity_log) between 5 and 1000000 then 0 else 1 end
+  cast(case when (select count(*) from user_activity_log) between 5 and {TIGHT_BOUNDS[1]} then 0 else 1 end
        as decimal(8,2)), true"""))
 def q_verdict_log(spark, sf):
     """Both checks run in order and are appended to the
-    check log with the current time."""
+    check log with the current time; the second fails and stops the job."""
     wh = _warehouse(spark)
     wh.init_tables(["dq_checks_results"])
-    jobs.run_checks(spark, wh, {"user_orders_log": _orders(spark, sf),
-                                "user_activity_log": fx.user_activity_log(spark, sf)})
+    try:
+        jobs.run_checks(spark, wh, {"user_orders_log": _orders(spark, sf),
+                                    "user_activity_log": fx.user_activity_log(spark, sf)},
+                        bounds={"user_orders_log": quality.REFERENCE_BOUNDS, "user_activity_log": TIGHT_BOUNDS})
+    except quality.DataQualityError:
+        pass
+    else:
+        raise AssertionError("the failing check did not stop the job")
     log = wh.read("dq_checks_results")
     return log.select("table_name", "dq_check_name", "dq_check_result",
                       F.col("datetime").isNotNull().alias("has_timestamp"))
@@ -322,7 +374,24 @@ _MART_CTES = _ctes(
 )
 
 
-@register("fk_orphans", O.with_ctes(*_MART_CTES, body="""
+def _earlier(cte: str) -> str:
+    """A dimension CTE over the orders before REPLACE_FROM (and, for the
+    calendar, no activity)."""
+    cte = cte.replace("""
+        union
+        select cast(date_time as date) from user_activity_log""", "")
+    return cte.replace("from user_orders_log", "from earlier_orders")
+
+
+_EARLIER_CTES = _ctes(
+    O.USER_ACTIVITY_LOG, O.ITEM_CATEGORIES, O.F_ACTIVITY, O.sales_cte("f_daily_sales", "user_orders_log"),
+    f"earlier_orders as (select * from user_orders_log where date_time < timestamp '{REPLACE_FROM}' and item_id % 7 <> 0)",
+    _earlier(O.D_ITEM), _earlier(O.D_CALENDAR),
+    _earlier(O.latest_cte("d_customer", "user_orders_log", "customer_id",
+                          ["first_name", "last_name", "city_id"], "integer")))
+
+
+@register("fk_orphans", O.with_ctes(*_EARLIER_CTES, body="""
 select 'f_activity.date_time' as fk_name, count(*) as n_orphans from f_activity f
   where f.date_time is not null and not exists (select 1 from d_calendar c where c.date_time = f.date_time)
 union all
@@ -336,8 +405,12 @@ select 'f_daily_sales.customer_id', count(*) from f_daily_sales f
   where f.customer_id is not null and not exists (select 1 from d_customer c where c.customer_id = f.customer_id)
 """))
 def q_fk_orphans(spark, sf):
-    """Orphan fact rows per declared foreign key."""
+    """Orphan fact rows per declared foreign key, against dimensions
+    that were built from earlier orders only."""
     m = _mart_inputs(spark, sf)
+    earlier = m["orders"].where((F.col("date_time") < _ts(REPLACE_FROM)) & (F.col("item_id") % 7 != 0))
+    m |= {"d_calendar": dims.d_calendar(earlier, m["activity"].limit(0)), "d_customer": dims.d_customer(earlier),
+          "d_item": dims.d_item(earlier, fx.item_categories(spark, sf))}
     parts = [
         quality.fk_orphans(m["f_activity"], m["d_calendar"], "date_time", "date_time", "f_activity.date_time"),
         quality.fk_orphans(m["f_daily_sales"], m["d_calendar"], "date_time", "date_time", "f_daily_sales.date_time"),
@@ -469,7 +542,7 @@ select * from target where date_time not in (select distinct date_time from upda
 union all
 select * from updates"""))
 def q_daily_sales_replace(spark, sf):
-    """The stored fact has the days of an update replaced
+    """The stored fact has the days of an update replaced
     (touched partitions merged by an anti join on the day and swapped in by
     dynamic partition overwrite); other days kept."""
     wh = _warehouse(spark)
@@ -581,6 +654,26 @@ def q_initial_load(spark, sf):
     return wh.read("user_orders_log")
 
 
+@register("initial_load_mart", O.with_ctes(
+    *_ctes(O.ITEM_CATEGORIES,
+           f"""loaded as (
+  select {O.ORDER_COLS}, 'shipped' as status from (
+    select *, row_number() over (partition by city_id, city_name, customer_id, date_time, first_name,
+                                              item_id, item_name, last_name, quantity, payment_amount
+                                 order by id) as rn
+    from user_orders_log) t where rn = 1)""",
+           O.D_ITEM.replace("from user_orders_log", "from loaded"),
+           O.sales_cte("f_daily_sales", "loaded")) + O.retention_ctes("f_daily_sales"),
+    body="select * from retention"))
+def q_initial_load_mart(spark, sf):
+    """The retention fact that the initial load builds."""
+    land = scratch_path(spark, "landing")
+    wh = _warehouse(spark)
+    write_landing(_orders(spark, sf), landing_path(land, "user_orders_log", "2022-07-09"))
+    jobs.initial_load(spark, land, wh, "2022-07-09", categories=fx.item_categories(spark, sf))
+    return wh.read("f_customer_retention")
+
+
 INITIAL_DS = "2000-11-30"
 INCREMENT_DS = "2000-12-15"
 INCREMENT_FROM = "2000-12-01"
@@ -589,10 +682,6 @@ ACTIVITY_UNTIL = "2024-01-20"
 ACTIVITY_FROM = "2024-01-15"
 
 
-def _ts(s: str):
-    return F.lit(s).cast("timestamp_ntz")
-
-
 @register("increment_end_to_end", O.with_ctes(
     *_ctes(O.ITEM_CATEGORIES,
            f"""final_orders as (
@@ -636,7 +725,7 @@ def q_increment_end_to_end(spark, sf):
 
 
 BACKFILL_DAYS = ["2001-07-01", "2001-07-02", "2001-07-03"]
-STREAM_TIMEOUT_SECONDS = 1800
+ORDERS_ONLY = ("user_orders_log",)
 
 
 def _land_backfill(spark, sf):
@@ -668,14 +757,22 @@ _BACKFILL_ORACLE = O.with_ctes(
 @register("stream_increments", _BACKFILL_ORACLE)
 def q_stream_increments(spark, sf):
     """S8 + C5 through Structured Streaming: a file stream over the landing
-    folder (Trigger.AvailableNow) runs the increment for each landed day."""
+    folder (Trigger.AvailableNow) runs the increment for each landed day,
+    once its extracts, which land in two batches, are complete."""
     land, wh = _land_backfill(spark, sf)
-    seen = []
-    q = increments.start(spark, land, wh, scratch_path(spark, "stream-ckpt"),
-                         fx.item_categories(spark, sf), on_result=lambda r: seen.append(r.ds))
-    if not q.awaitTermination(STREAM_TIMEOUT_SECONDS):   # AvailableNow stops by itself
-        q.stop()
-        raise TimeoutError("landing stream did not finish")
+    seen, ckpt = [], scratch_path(spark, "stream-ckpt")
+    expected = ("user_orders_log", "user_activity_log")
+    activity = fx.user_activity_log(spark, sf).where(F.to_date("date_time") > F.lit("2024-01-28").cast("date")).drop("id")
+
+    def catch_up():  # AvailableNow stops by itself
+        increments.start(spark, land, wh, ckpt, fx.item_categories(spark, sf), on_result=lambda r: seen.append(r.ds),
+                         expected=expected).awaitTermination()
+
+    catch_up()
+    assert seen == []  # every day still lacks an extract
+    for ds in BACKFILL_DAYS:
+        write_landing(activity, landing_path(land, "user_activity_log", ds, increment=True))
+    catch_up()
     assert seen == BACKFILL_DAYS, seen
     return wh.read("f_daily_sales")
 
@@ -686,11 +783,29 @@ def q_backfill_three_days(spark, sf):
     two days, then everything from the third day on -- leave the fact equal
     to a one-shot computation over the final staging."""
     land, wh = _land_backfill(spark, sf)
-    results = jobs.backfill(spark, land, wh, BACKFILL_DAYS, categories=fx.item_categories(spark, sf))
+    results = jobs.backfill(spark, land, wh, BACKFILL_DAYS, categories=fx.item_categories(spark, sf),
+                            expected=ORDERS_ONLY)
     assert [r.status for r in results] == ["loaded"] * 3
     return wh.read("f_daily_sales")
 
 
+@register("increment_after_failed_check", _BACKFILL_ORACLE)
+def q_increment_after_failed_check(spark, sf):
+    """Q3b + C4: the first day's row check fails, which stops the job after
+    staging has been rewritten; the following days' runs also refresh the
+    day that is owed, so the fact equals a computation over final staging."""
+    land, wh = _land_backfill(spark, sf)
+    options = {"categories": fx.item_categories(spark, sf), "expected": ORDERS_ONLY}
+    try:
+        jobs.daily_increment(spark, land, wh, BACKFILL_DAYS[0], row_bounds={"user_orders_log": TIGHT_BOUNDS}, **options)
+    except quality.DataQualityError:
+        pass
+    else:
+        raise AssertionError("the failing check did not stop the job")
+    jobs.backfill(spark, land, wh, BACKFILL_DAYS[1:], **options)
+    return wh.read("f_daily_sales")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

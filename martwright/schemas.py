@@ -63,6 +63,10 @@ DQ_CHECKS_RESULTS = _schema(
     ("dq_check_result", T.DecimalType(8, 2)),
 )
 
+#: Staging days whose facts are still to be refreshed (not in the reference,
+#: which refreshes every staging day on each run).
+OWED_DAYS = _schema(("table_name", S), ("day", D))
+
 D_CALENDAR = _schema(
     ("date_time", D),
     ("day_num", SH),

@@ -8,7 +8,7 @@ def test_rows_check_bounds_inclusive(spark):
         v = quality.rows_check(spark.range(n), "user_orders_log").first()
         assert v["dq_check_result"] == want
         assert v["table_name"] == "user_orders_log" and v["datetime"] is not None
-    v = quality.rows_check(spark.range(5), "user_orders_log", lo=1, hi=4).first()
+    v = quality.rows_check(spark.range(5), "user_orders_log", bounds=(1, 4)).first()
     assert v["dq_check_result"] == 1
 
 
@@ -19,11 +19,10 @@ def test_reference_labels(spark):
     assert (b["table_name"], b["dq_check_name"]) == ("user_activity_log", "check_rows_order_log")
 
 
-def test_failed_gate(spark):
-    ok = quality.rows_check(spark.range(10), "user_orders_log")
-    bad = quality.rows_check(spark.range(1), "user_activity_log")
-    assert not quality.failed(ok)
-    assert quality.failed(ok.unionByName(bad))
+def test_bounds_are_optional(spark):
+    for n, bounds, want in ((2_000_000, quality.DEFAULT_BOUNDS, 0), (2_000_000, quality.REFERENCE_BOUNDS, 1),
+                            (0, (None, 3), 0), (4, (None, 3), 1), (0, (None, None), 0)):
+        assert quality.rows_check(spark.range(n), "user_orders_log", bounds).first()["dq_check_result"] == want
 
 
 def test_fk_orphans(spark):

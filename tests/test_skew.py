@@ -11,7 +11,7 @@ from martwright.operators import staging
 from martwright.plans import retention as R
 from martwright.schemas import DEDUP_KEYS
 from helpers import items_df, orders_df, rows_of, sales_df
-from test_retention import two_level
+from test_retention import expected
 
 
 def test_hot_customer_retention(spark):
@@ -28,7 +28,7 @@ def test_hot_customer_retention(spark):
         ))
     sales = sales_df(spark, rows).repartition(8)
     items = items_df(spark, [(1, "a", "x"), (2, "b", "y"), (3, "c", None)])
-    assert rows_of(R.weekly_retention(sales, items)) == two_level(spark, sales, items)
+    assert rows_of(R.weekly_retention(sales, items)) == expected(sales, items)
 
 
 def test_hot_duplicate_group_dedupe(spark):

@@ -1,3 +1,4 @@
+import os
 from decimal import Decimal as D
 
 from pyspark.sql import functions as F
@@ -5,7 +6,9 @@ from pyspark.sql import functions as F
 from martwright.operators import staging
 from martwright.operators.replace import replace_by_key
 from martwright.schemas import DEDUP_KEYS, USER_ORDERS_LOG
+from martwright.session import local_path
 from martwright.sources import fixtures as fx
+from martwright.sources.landing import read_landing
 from helpers import orders_df, rows_of, ts
 from conftest import SMOKE
 
@@ -61,21 +64,34 @@ def test_align_casts_by_name_and_fills_missing(spark):
     assert r["customer_id"] == 7 and r["quantity"] == 2 and r["status"] is None
 
 
-def test_append_by_name(spark):
-    a = orders_df(spark, [dict(id=1)])
-    b = spark.createDataFrame([(2, "refunded")], "id long, status string")
-    got = staging.append(a, b).collect()
-    assert [(r["id"], r["status"], r["city_id"]) for r in got] == [(1, "shipped", 1), (2, "refunded", None)]
+def test_align_rounds_fractions_into_integers(spark):
+    df = spark.createDataFrame([(2.7, D("3.49"))], "quantity double, customer_id decimal(9,2)")
+    r = staging.align(df, USER_ORDERS_LOG).first()
+    assert (r["quantity"], r["customer_id"]) == (3, 3)
 
 
 def test_assign_ids_unique_and_above_base(spark):
     df = spark.range(0, 1000, numPartitions=7).withColumnRenamed("id", "x")
-    out = staging.assign_ids(df, 500)
-    agg = out.agg(F.min("id"), F.count_distinct("id"), F.count("*")).first()
+    agg = staging.assign_ids(df, 500).agg(F.min("id"), F.count_distinct("id"), F.count("*")).first()
     assert agg[0] > 500 and agg[1] == agg[2] == 1000
-    # ids follow input order
-    ids = [r["id"] for r in out.orderBy("x").collect()]
-    assert ids == sorted(ids)
+
+
+def test_ids_follow_files_of_unequal_size(spark, tmp_root):
+    """Spark reads the larger file first; the smaller one's row is older."""
+    path = local_path(tmp_root) + "/x.csv"
+    os.makedirs(path)
+    sale = "0,1,c,7,2022-07-09,f,1,i,l,1,10.00"
+    head = ",city_id,city_name,customer_id,date_time,first_name,item_id,item_name,last_name,quantity,payment_amount,status\n"
+    with open(f"{path}/part-00000.csv", "w") as f:
+        f.write(head + f"{sale},shipped\n")
+    with open(f"{path}/part-00001.csv", "w") as f:
+        f.write(head + f"{sale},refunded\n" + "".join(f"{sale.replace(',7,', f',{k},')},shipped\n" for k in range(100, 400)))
+    rows = read_landing(spark, f"{tmp_root}/x.csv", "user_orders_log", position=True)
+    ids = staging.assign_ids(rows, 10)
+    got = {r["customer_id"]: (r["id"], r["status"]) for r in staging.dedupe_entity(
+        staging.align(ids, USER_ORDERS_LOG), "user_orders_log").collect()}
+    assert got[7] == (11, "shipped")
+    assert [got[k][0] for k in range(100, 400)] == list(range(13, 313))
 
 
 def test_status_backfill_and_schema_evolution(spark):
@@ -86,11 +102,6 @@ def test_status_backfill_and_schema_evolution(spark):
     assert staging.add_status_column(o).first()["status"] == "refunded"
 
 
-def test_exact_duplicates(spark):
-    df = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b")], "x int, y string")
-    assert df.transform(staging.drop_exact_duplicates).count() == 2
-
-
 def test_replace_by_key_keeps_null_keys(spark):
     target = spark.createDataFrame([(1, "old"), (2, "old"), (None, "old")], "k int, v string")
     upd = spark.createDataFrame([(2, "new"), (3, "new")], "k int, v string")
@@ -99,6 +110,12 @@ def test_replace_by_key_keeps_null_keys(spark):
         [(1, "old"), (None, "old"), (2, "new"), (3, "new")], "k int, v string"))
 
 
+def test_null_safe_replace_takes_null_as_a_key(spark):
+    target = spark.createDataFrame([(1, "old"), (None, "old")], "k int, v string")
+    upd = spark.createDataFrame([(None, "new")], "k int, v string")
+    assert rows_of(replace_by_key(target, upd, "k", null_safe=True)) == rows_of(upd.union(target.where("k = 1")))
+
+
 def test_day_delete_sql_form_matches(spark):
     o = orders_df(spark, [dict(id=1, date_time=ts("2022-07-09 00:00:00")),
                           dict(id=2, date_time=ts("2022-07-09 09:15:00")),
