@@ -84,11 +84,15 @@ def _ts(s: str):
     return F.lit(s).cast("timestamp_ntz")
 
 
+#: Item names with quotes, commas, a line break and a backslash.
+ODD_NAME = """item_name || ' 32", A "B", ' || chr(10) || '\\C' as item_name"""
+
+
 # === S1-S4, P2-P5, P12: landing files ==========================================
 
 @register("landing_csv_roundtrip", O.with_ctes(
     *_ctes(), body=f"""
-select {O.ORDER_COLS_NO_ID.replace('item_name', "item_name || ' 32"", A ""B"", ' || chr(10) || '\\C' as item_name")},
+select {O.ORDER_COLS_NO_ID.replace('item_name', ODD_NAME)},
   status from user_orders_log"""))
 def q_landing_csv_roundtrip(spark, sf):
     """Write the orders extract in landing form, read it
@@ -204,9 +208,8 @@ def q_assign_row_ids(spark, sf):
         write_landing(orders.where(years).repartition(k + 1).withColumn("city_name", F.lit(str(k))),
                       f"{land}/{k}.csv")
     rows = read_landing(spark, f"{land}/*", "user_orders_log", position=True)
-    place = rows.select("id", F.col("_position.file").alias("file"), F.col("_position.row").alias("row"))
-    ids = staging.assign_ids(rows.withColumn("old", F.col("id")), base).select("old", F.col("id").alias("new"))
-    both = place.join(ids, F.col("id") == F.col("old"))
+    rows = rows.withColumns({"file": F.col("_position.file"), "row": F.col("_position.row")})
+    both = staging.assign_ids(rows, base).select("file", "row", F.col("id").alias("new"))
     in_file = Window.partitionBy("file").orderBy("row")
     files = both.groupBy("file").agg(F.min("new").alias("low"), F.max("new").alias("high"))
     in_files = both.withColumn("back", F.col("new") <= F.lag("new").over(in_file))
