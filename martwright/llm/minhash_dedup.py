@@ -14,8 +14,8 @@ r"""MinHash near-dedup with HyperMinHash registers.
    hub, then only the nodes that the hub does not link with all others.  Pairs
    whose collision-corrected estimate could still be 0.8 (4.5 standard
    deviations) are verified on the full sets, by one matrix product per block
-   over the shingles that at least two of its nodes hold.  A block returns the
-   links that join components, never all its pairs.
+   over the shingles that at least two of its nodes hold.  A block returns its
+   nodes' components, never its pairs.
 4. Buckets that still hold several components of different groups are searched
    for the best untested pair of each node with every other component, until
    none is left: no link between a bucket's nodes is lost.
@@ -199,18 +199,15 @@ class Union:
             self.up[x] = x = self.up[self.up[x]]
         return x
 
-    def join(self, x: int, y: int) -> bool:
-        x, y = self.find(x), self.find(y)
-        self.up[x] = y
-        return x != y
+    def join(self, x: int, y: int):
+        self.up[self.find(x)] = self.find(y)
 
 
 def block_links(node: np.ndarray, n: np.ndarray, sig: np.ndarray, keys: list[np.ndarray], hub: int,
                 percent: int) -> list[tuple[int, int]]:
-    """Links that join the components of one block's nodes.  ``hub``: the
-    hub's row."""
+    """(node, smallest node of its component) for the linked nodes of one
+    block.  ``hub``: the hub's row."""
     components_ = Union(len(node))
-    links = []
 
     def compare(rows: np.ndarray):
         for at in range(0, len(rows), 512):
@@ -221,18 +218,22 @@ def block_links(node: np.ndarray, n: np.ndarray, sig: np.ndarray, keys: list[np.
                 other = np.flatnonzero(ok[r])
                 other = other[(node[other] != node[x]) & may_match(sig[x], sig[other], n[x], n[other], percent)[1]]
                 for y in other.tolist():
-                    if components_.join(x, y):
-                        links.append((int(max(node[x], node[y])), int(min(node[x], node[y]))))
+                    components_.join(x, y)
 
     compare(np.array([hub]))
     main = components_.find(hub)
     alone = np.array([x for x in range(len(node)) if components_.find(x) != main], np.int64)
     compare(alone)
-    return links
+    low: dict[int, int] = {}
+    for x, i in enumerate(node.tolist()):
+        r = components_.find(x)
+        low[r] = min(low.get(r, i), i)
+    return sorted({(i, low[components_.find(x)]) for x, i in enumerate(node.tolist()) if i != low[components_.find(x)]})
 
 
 def group_links(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b): links that join the components of every group.  groups: (hub,
+    """(a, b): nodes and the smallest nodes of their components, by block of
+    every group.  groups: (hub,
     node), the hub among its nodes; sets: full_sets()."""
     size = groups.join(sets.select("node", "n"), "node").groupBy("hub").agg(
         F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("parts"))
@@ -334,8 +335,8 @@ def open_pairs(members: DataFrame, groups: DataFrame, comps: DataFrame, sets: Da
                percent: int) -> DataFrame:
     """Untested pairs of nodes that share a bucket but neither component nor
     group: for each node and other component of the bucket, the best estimate."""
-    m = members.join(groups, "node").join(comps.select(F.col("a").alias("node"), F.col("b").alias("comp")), "node", "left")
-    m = m.withColumn("comp", F.coalesce("comp", "node"))
+    of_node = groups.join(comps.select(F.col("a").alias("node"), F.col("b").alias("comp")), "node", "left")
+    m = members.join(of_node.withColumn("comp", F.coalesce("comp", "node")), "node")
     mixed = (m.groupBy("band", "key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("hub").alias("h1"),
                                           F.max("hub").alias("h2"), F.count(F.lit(1)).alias("size"))
              .where("lo < hi and h1 < h2").select("band", "key", F.ceil(F.col("size") / BLOCK_ROWS).cast("int").alias("parts")))
