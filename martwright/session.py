@@ -9,7 +9,9 @@ cluster points at shared storage.  Only when that setting is absent
 
 from __future__ import annotations
 
+import contextlib
 import os
+import re
 import tempfile
 import uuid
 
@@ -41,7 +43,7 @@ def build_session(
     if master:
         builder = builder.master(master)
     conf = dict(BASE_CONF)
-    conf.setdefault("spark.driver.memory", "16g")
+    conf.setdefault("spark.driver.memory", "8g")
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -80,8 +82,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not configured:
-        if not (sc.master or "").startswith("local"):
+        if not re.match(r"local(\[|$)", sc.master or ""):
             # a driver-local folder is invisible to executors on a cluster
+            # (local-cluster starts executors of its own, too)
             raise RuntimeError("set spark.checkpoint.dir to a shared folder for this cluster")
         configured = tempfile.mkdtemp(prefix="martwright-ckpt-")
     sc.setCheckpointDir(configured)
@@ -91,7 +94,30 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, unique directory path below the shared checkpoint folder."""
     root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/scratch/{label}-{uuid.uuid4().hex[:12]}"
+    path = f"{root}/scratch/{label}-{uuid.uuid4().hex[:12]}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+#: Scratch folders made by the jobs that run now.
+_scopes: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession):
+    """Deletes the scratch folders made inside when it ends: for a job whose
+    results are written tables, so that nothing reads its scratch later."""
+    own: list[str] = []
+    _scopes.append(own)
+    try:
+        yield
+    finally:
+        _scopes.remove(own)
+        jvm = spark.sparkContext._jvm
+        for path in own:
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def local_path(path: str) -> str:

@@ -81,7 +81,7 @@ def main():
         ("C1 daily sales (full)", "One shuffle: the DISTINCT, with map-side partial aggregation.",
          C1.daily_sales(wh.read("user_orders_log"))),
         ("C2 weekly retention (full)",
-         "Broadcast item lookup (size-checked), DISTINCT, per-customer pre-aggregate, "
+         "Item lookup (broadcast if its bytes allow), DISTINCT, per-customer pre-aggregate, "
          "customer window, final aggregate; no Expand.",
          R.weekly_retention(wh.read("f_daily_sales"), wh.read("d_item"))),
         ("M5 orders de-dup", "One hash aggregate (fixed-width buffers thanks to the status code).",
