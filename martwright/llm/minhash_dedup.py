@@ -16,9 +16,9 @@ r"""MinHash near-dedup with HyperMinHash registers.
    deviations) are verified on the full sets, by one matrix product per block
    over the shingles that at least two of its nodes hold.  A block returns its
    nodes' components, never its pairs.
-4. Buckets that still hold several components of different groups are searched
-   for the best untested pair of each node with every other component, until
-   none is left: no link between a bucket's nodes is lost.
+4. Buckets that still hold several components of different groups are
+   compared likewise, in blocks, each pair in the first band that it shares:
+   no link between a bucket's nodes is lost.
 
 Defined results: a null or empty text has no shingle and no link; a text
 shorter than a shingle is one shingle; repeated rows share component and
@@ -32,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components, stored
@@ -231,12 +231,17 @@ def block_links(node: np.ndarray, n: np.ndarray, sig: np.ndarray, keys: list[np.
     return sorted({(i, low[components_.find(x)]) for x, i in enumerate(node.tolist()) if i != low[components_.find(x)]})
 
 
+def _parts(width: str) -> Column:
+    """Into how many parts rows of this width are dealt."""
+    return F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS),
+                      F.ceil(F.sum(width) / BLOCK_SHINGLES)).cast("int").alias("parts")
+
+
 def group_links(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b): nodes and the smallest nodes of their components, by block of
     every group.  groups: (hub,
     node), the hub among its nodes; sets: full_sets()."""
-    size = groups.join(sets.select("node", "n"), "node").groupBy("hub").agg(
-        F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("parts"))
+    size = groups.join(sets.select("node", "n"), "node").groupBy("hub").agg(_parts("n"))
     m = groups.join(size, "hub")
     m = m.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     # block pair (i, j), i <= j: a row of part p goes to (p, j) and (i, p), the hub to all
@@ -293,23 +298,6 @@ def blocks_of(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[pa.T
         yield held.combine_chunks()
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets have the wanted similarity."""
-    side = lambda x: sets.select(F.col("node").alias(x), F.col("keys").alias("k" + x))
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
-
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ok = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-                ok.append(100 * shared >= percent * (len(x) + len(y) - shared))
-            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
-
-    return both.select("a", "b", "ka", "kb").mapInArrow(keep, "a long, b long").distinct()
-
-
 def cross_pairs(group: np.ndarray, part: np.ndarray, i: np.ndarray, j: np.ndarray, comp: np.ndarray,
                 hub: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Row pairs (r < c) of one block that lie in parts (i, j), in two
@@ -331,22 +319,22 @@ def cross_pairs(group: np.ndarray, part: np.ndarray, i: np.ndarray, j: np.ndarra
         row = stop
 
 
-def open_pairs(members: DataFrame, groups: DataFrame, comps: DataFrame, sets: DataFrame, tested: DataFrame,
-               percent: int) -> DataFrame:
-    """Untested pairs of nodes that share a bucket but neither component nor
-    group: for each node and other component of the bucket, the best estimate."""
-    of_node = groups.join(comps.select(F.col("a").alias("node"), F.col("b").alias("comp")), "node", "left")
+def open_links(members: DataFrame, groups: DataFrame, comps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links of nodes that share a bucket but neither component nor
+    group.  sets: full_sets()."""
+    of_node = (groups.join(comps.select(F.col("a").alias("node"), F.col("b").alias("comp")), "node", "left")
+               .join(sets.select("node", F.col("n").alias("width")), "node"))
     m = members.join(of_node.withColumn("comp", F.coalesce("comp", "node")), "node")
     mixed = (m.groupBy("band", "key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("hub").alias("h1"),
-                                          F.max("hub").alias("h2"), F.count(F.lit(1)).alias("size"))
-             .where("lo < hi and h1 < h2").select("band", "key", F.ceil(F.col("size") / BLOCK_ROWS).cast("int").alias("parts")))
+                                          F.max("hub").alias("h2"), _parts("width"))
+             .where("lo < hi and h1 < h2").select("band", "key", "parts"))
     m = m.join(mixed, ["band", "key"])
     m = m.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     # block pair (i, j), i <= j: a row of part p goes to (p, j) and (i, p)
     m = m.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     m = m.select("band", "key", "node", "comp", "hub", "part", F.least("part", "o").alias("i"),
                  F.greatest("part", "o").alias("j"))
-    m = m.join(sets.select("node", "n", "sig"), "node")
+    m = m.join(sets, "node")
     block = ["band", "key", "i", "j"]
     m = m.repartition(*block).sortWithinPartitions(*block)
 
@@ -354,18 +342,23 @@ def open_pairs(members: DataFrame, groups: DataFrame, comps: DataFrame, sets: Da
         for rows in blocks_of(batches, block):
             c = {f: rows.column(f).to_numpy() for f in (*block, "node", "comp", "hub", "part", "n")}
             sig = signatures(rows.column("sig").to_pylist())
+            keys = [np.frombuffer(k, np.uint64) for k in rows.column("keys").to_pylist()]
             run = np.repeat(np.arange(len(at := bounds_of(rows, block))), [y - x for x, y in at])
             for x, y in cross_pairs(run, c["part"], c["i"], c["j"], c["comp"], c["hub"]):
-                estimate, ok = may_match(sig[x], sig[y], c["n"][x], c["n"][y], percent)
-                x, y, estimate = x[ok], y[ok], estimate[ok]
-                both = lambda f: (np.concatenate([c[f][x], c[f][y]]), np.concatenate([c[f][y], c[f][x]]))
-                (node, other), (_, to) = both("node"), both("comp")
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.maximum(node, other)), pa.array(np.minimum(node, other)), pa.array(node), pa.array(to),
-                     pa.array(np.tile(estimate, 2))], ["a", "b", "node", "to", "est"])
+                ok = may_match(sig[x], sig[y], c["n"][x], c["n"][y], percent)[1]
+                x, y = x[ok], y[ok]
+                # a pair counts in the first of the bands that it shares
+                bx, by = (sig[r].view(np.int64).reshape(len(r), -1) for r in (x, y))
+                first = ((bx == by) & (bx != -1)).argmax(1) == c["band"][x]
+                found = []
+                for r, q in zip(x[first].tolist(), y[first].tolist()):
+                    shared = len(np.intersect1d(keys[r], keys[q], assume_unique=True))
+                    if 100 * shared >= percent * (len(keys[r]) + len(keys[q]) - shared):
+                        found.append((int(c["node"][r]), int(c["node"][q])))
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array(f, pa.int64()) for f in zip(*found)], ["a", "b"])
 
-    pairs = m.mapInArrow(search, "a long, b long, node long, to long, est double").join(tested, ["a", "b"], "left_anti")
-    return pairs.groupBy("node", "to").agg(F.max(F.struct("est", "a", "b")).alias("x")).select("x.a", "x.b").distinct()
+    return m.mapInArrow(search, "a long, b long").distinct()
 
 
 def hub_groups(members: DataFrame) -> DataFrame:
@@ -393,14 +386,10 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = SIMILARITY_PERCE
 
     links = stored(group_links(groups.unionByName(groups.select("hub", F.col("hub").alias("node"))).distinct(),
                                full, percent), "links")
-    tested = links
-    while True:
-        comps = components(links)
-        more = stored(open_pairs(members, groups, comps, sets, tested, percent), "pairs")
-        if more.isEmpty():
-            break
-        links = links.unionByName(stored(verified(more, full, percent), "verified"))
-        tested = tested.unionByName(more)
+    comps = components(links)
+    more = stored(open_links(members, groups, comps, full, percent), "links")
+    if not more.isEmpty():
+        comps = components(comps.unionByName(more))
 
     named = sets.select("k1", "k2", F.col("n").alias("n_shingles"), "node").join(
         comps.select(F.col("a").alias("node"), F.col("b").alias("low")), "node", "left").select(
