@@ -10,6 +10,7 @@ cluster points at shared storage.  Only when that setting is absent
 from __future__ import annotations
 
 import contextlib
+import contextvars
 import os
 import re
 import tempfile
@@ -95,13 +96,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, unique directory path below the shared checkpoint folder."""
     root = checkpoint_root(spark).rstrip("/")
     path = f"{root}/scratch/{label}-{uuid.uuid4().hex[:12]}"
-    if _scopes:
-        _scopes[-1].append(path)
+    own = _scope.get()
+    if own is not None:
+        own.append(path)
     return path
 
 
-#: Scratch folders made by the jobs that run now.
-_scopes: list[list[str]] = []
+#: Scratch folders of the job that runs in this context (a thread, or the
+#: threads that it hands its context to).
+_scope: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("scratch", default=None)
 
 
 @contextlib.contextmanager
@@ -109,11 +112,11 @@ def scratch_scope(spark: SparkSession):
     """Deletes the scratch folders made inside when it ends: for a job whose
     results are written tables, so that nothing reads its scratch later."""
     own: list[str] = []
-    _scopes.append(own)
+    token = _scope.set(own)
     try:
         yield
     finally:
-        _scopes.remove(own)
+        _scope.reset(token)
         jvm = spark.sparkContext._jvm
         for path in own:
             p = jvm.org.apache.hadoop.fs.Path(path)
