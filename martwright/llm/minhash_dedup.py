@@ -125,7 +125,7 @@ def band_rows(sets: DataFrame) -> DataFrame:
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sig = signatures(batch.column(1).to_pylist())
-            keys = sig.reshape(-1, BAND).copy().view(np.int64).reshape(len(sig), -1)
+            keys = band_keys(sig)
             full = keys != -1
             node = np.repeat(batch.column(0).to_numpy(zero_copy_only=False)[:, None], keys.shape[1], 1)
             band = np.broadcast_to(np.arange(keys.shape[1], dtype=np.int32), keys.shape)
@@ -139,6 +139,17 @@ def signatures(rows: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(rows), np.uint16).reshape(-1, REGISTERS)
 
 
+def band_keys(sig: np.ndarray) -> np.ndarray:
+    """The bands' keys, (rows, bands); -1: no register of the band is filled."""
+    return np.ascontiguousarray(sig).view(np.int64).reshape(len(sig), REGISTERS // BAND)
+
+
+def first_band(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The first band that the rows of a and b share (0 if none)."""
+    x = band_keys(a)
+    return ((x == band_keys(b)) & (x != -1)).argmax(1)
+
+
 def may_match(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, percent: int) -> tuple:
     """(estimate, whether similarity ``percent`` is still possible) of rows
     of registers; a and b broadcast against each other on the leading axes."""
@@ -348,8 +359,7 @@ def open_links(members: DataFrame, groups: DataFrame, comps: DataFrame, sets: Da
                 ok = may_match(sig[x], sig[y], c["n"][x], c["n"][y], percent)[1]
                 x, y = x[ok], y[ok]
                 # a pair counts in the first of the bands that it shares
-                bx, by = (sig[r].view(np.int64).reshape(len(r), -1) for r in (x, y))
-                first = ((bx == by) & (bx != -1)).argmax(1) == c["band"][x]
+                first = first_band(sig[x], sig[y]) == c["band"][x]
                 found = []
                 for r, q in zip(x[first].tolist(), y[first].tolist()):
                     shared = len(np.intersect1d(keys[r], keys[q], assume_unique=True))

@@ -80,6 +80,15 @@ def test_registers_hold_zeros_and_mantissa():
             assert sig[t * M.BUCKETS + b] == (lead << M.MANTISSA) + int(bits, 2)
 
 
+def test_first_shared_band():
+    sig = np.arange(3 * M.REGISTERS, dtype=np.uint16).reshape(3, -1)
+    sig[1, 8:] = sig[0, 8:]
+    assert M.first_band(sig[:1], sig[1:2]).tolist() == [2]
+    assert M.first_band(sig[:0], sig[:0]).tolist() == [] and M.band_keys(sig[:0]).shape == (0, 32)
+    sig[:, :8] = M.EMPTY
+    assert M.first_band(sig[:1], sig[1:2]).tolist() == [2] and (M.band_keys(sig)[:, :2] == -1).all()
+
+
 def test_shingle_sets():
     w = M.split_words(pa.array(["a b a b", "A", None, "x y", ""]), lower=True)
     who, key = M.shingle_sets(w, 2)
