@@ -5,11 +5,12 @@ s five-word shingles every window of s consecutive shingles of a text is
 sketched by 16 MinHash values, each a band of its own.  A window that holds 80 %
 of the template's shingles has similarity 2/3 or more to it and misses all
 bands with probability 2e-8 at most.  Windows that share a band are verified
-by exact containment of the template's shingles; of overlapping matches of one
-template the best one counts (ties: the first).
+by exact containment of the template's shingles.  A licence has many templates
+(full text, headers, sentences) and sister licences share most of their words:
+of overlapping matches the one that holds most shingles counts.
 
 A band value equals a template's only if the window holds that very shingle,
-so texts without any template shingle are passed over after one look-up.
+so texts without any of these shingles are passed over after one look-up.
 
 Defined results: null, empty and short texts (under five words) match nothing;
 a text shorter than a template is one window; repeated rows give repeated
@@ -19,12 +20,14 @@ no rows; other columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import bisect
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from . import license_texts
 from .words import LOWER_ASCII, Words, chunks, mix, ngram_keys, split_words, word_keys
 
 SHINGLE = 5
@@ -36,7 +39,8 @@ _MARK[33:128] = True
 for _r in (slice(48, 58), slice(65, 91), slice(97, 123)):
     _MARK[_r] = False
 
-#: Notices by which texts name their licence.
+#: Short notices; license_texts has the full texts, headers and
+#: further wordings.
 TEMPLATES = {
     "apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "mit": "Released under the MIT License.",
@@ -70,59 +74,144 @@ def license_words(texts: pa.Array) -> Words:
 
 
 class Templates:
-    """Sorted shingles, number of windowed shingles and sketch per template."""
-
-    def __init__(self, templates: dict[str, str]):
-        self.shingles, self.sketch = {}, {}
-        for name, text in templates.items():
-            keys = ngram_keys(license_words(pa.array([text])).key, SHINGLE)
-            if not len(keys):
+    """Sorted shingles and sketch of every template; a licence may have many.
+    A sketch is kept as the shingles that give its values."""
+
+    def __init__(self, templates: dict[str, str] | Iterable[tuple[str, str]]):
+        self.names: list[str] = []
+        self.shingles: list[np.ndarray] = []
+        #: sketch shingle -> (template, band)
+        self.bands: dict[int, list[tuple[int, int]]] = {}
+        known = set()
+        for name, text in templates.items() if isinstance(templates, dict) else templates:
+            own = np.unique(ngram_keys(license_words(pa.array([text])).key, SHINGLE))
+            if not len(own):
                 raise ValueError(f"template {name} has fewer than {SHINGLE} words")
-            self.shingles[name] = np.unique(keys)
+            if (name, own.tobytes()) in known:
+                continue
+            known.add((name, own.tobytes()))
             with np.errstate(over="ignore"):
-                self.sketch[name] = np.array([mix(keys ^ s).min() for s in _SEEDS])
-        self.all = np.unique(np.concatenate(list(self.shingles.values())))
-
-    def matches(self, keys: np.ndarray, percent: int) -> Iterator[tuple[str, int, int, float]]:
-        """(name, first word, words, containment) in one text's shingles."""
-        if not len(keys):
-            return
+                for b, seed in enumerate(_SEEDS):
+                    least = int(own[mix(own ^ seed).argmin()])
+                    self.bands.setdefault(least, []).append((len(self.names), b))
+            self.names.append(name)
+            self.shingles.append(own)
+        self.sketch = np.array(sorted(self.bands), np.uint64)
+
+    def matches(self, keys: np.ndarray, percent: int) -> Iterator[tuple[str, int, int, float, int]]:
+        """(name, first word, words, containment, shingles held) in one text's
+        shingles."""
+        shared: dict[int, list[tuple[int, int]]] = {}
+        for key in np.unique(keys[np.isin(keys, self.sketch)]).tolist():
+            for t, b in self.bands[key]:
+                shared.setdefault(t, []).append((b, key))
+        hashed: dict[int, np.ndarray] = {}
+        places: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
+        for t, bands in sorted(shared.items()):
+            width = min(len(self.shingles[t]), len(keys))
+            anchors = []
+            for b, key in bands:
+                if (b, key) not in places:
+                    places[b, key] = self._places(keys, b, key, hashed)
+                at, room = places[b, key]
+                anchors.append(at[room >= width])
+            anchors = np.unique(np.concatenate(anchors))
+            if len(anchors):
+                own = self.shingles[t]
+                # nothing further off lies in a window with an anchor
+                low = max(0, int(anchors[0]) - width + 1)
+                some = keys[low:int(anchors[-1]) + width]
+                for i, n, held in verified(some, own, anchors - low, width, percent):
+                    yield self.names[t], low + i, n + SHINGLE - 1, held / len(own), held
+
+    @staticmethod
+    def _places(keys: np.ndarray, band: int, key: int, hashed: dict[int, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Where the shingle ``key`` is, and how wide the widest window there
+        is in which no shingle has a smaller value in this band."""
         with np.errstate(over="ignore"):
-            hashed = [mix(keys ^ s) for s in _SEEDS]
-        for name, own in self.shingles.items():
-            width = min(len(own), len(keys))
-            near = np.zeros(len(keys) - width + 1, bool)
-            for h, v in zip(hashed, self.sketch[name]):
-                near |= np.lib.stride_tricks.sliding_window_view(h, width).min(1) == v
-            found = []
-            for i in np.flatnonzero(near).tolist():
-                held = len(np.intersect1d(keys[i:i + width], own))
-                if 100 * held >= percent * len(own):
-                    found.append((i, held / len(own)))
-            while found:
-                group = [found.pop(0)]
-                while found and found[0][0] < group[-1][0] + width:
-                    group.append(found.pop(0))
-                i, c = max(group, key=lambda x: (x[1], -x[0]))
-                yield name, i, width + SHINGLE - 1, c
-
-
-def scan(docs: DataFrame, templates: dict[str, str] | None = None,
+            if band not in hashed:
+                hashed[band] = mix(keys ^ _SEEDS[band])
+            least = mix(np.array([key], np.uint64) ^ _SEEDS[band])[0]
+        at = np.flatnonzero(keys == np.uint64(key))
+        less = np.concatenate([[-1], np.flatnonzero(hashed[band] < least), [len(keys)]])
+        k = np.searchsorted(less, at)
+        return at, less[k] - less[k - 1] - 1
+
+
+def verified(keys: np.ndarray, own: np.ndarray, anchors: np.ndarray, width: int, percent: int
+             ) -> list[tuple[int, int, int]]:
+    """(first shingle, shingles, held) of disjoint windows of at most ``width``
+    shingles, each with an anchor, that hold enough of the template's shingles
+    (``own``); the best of those that begin close together, cut to what it holds."""
+    need = -(-percent * len(own) // 100)
+    at = np.flatnonzero(np.isin(keys, own))
+    if len(at) < need:
+        return []
+    name = np.searchsorted(own, keys[at]).tolist()
+    ends = np.searchsorted(at, at + width).tolist()
+    held, count, distinct, j = [], [0] * len(own), 0, 0
+    for i, end in enumerate(ends):
+        while j < end:
+            distinct += not count[name[j]]
+            count[name[j]] += 1
+            j += 1
+        held.append(distinct)
+        count[name[i]] -= 1
+        distinct -= not count[name[i]]
+    ok = (np.array(held) >= need) & (np.searchsorted(anchors, at) < np.searchsorted(anchors, at + width))
+    out, free = [], 0
+    good = np.flatnonzero(ok)
+    k = 0
+    while k < len(good):
+        i = good[k]
+        if at[i] < free:
+            k += 1
+            continue
+        close = good[k:np.searchsorted(at[good], at[i] + width - need, "right")]
+        best = max(close.tolist(), key=lambda x: (held[x], -x))
+        part = keys[at[best]:at[ends[best] - 1] + 1]
+        part = part[:_reach(part, own)]
+        size = _reach(part[::-1], own)
+        first = int(at[best]) + len(part) - size
+        out.append((first, size, held[best]))
+        free = first + size + SHINGLE - 1
+    return out
+
+
+def _reach(keys: np.ndarray, own: np.ndarray) -> int:
+    """How many of the first keys hold all of ``own`` that there is."""
+    found, first = np.unique(keys, return_index=True)
+    return int(first[np.isin(found, own)].max()) + 1
+
+
+def disjoint(found: Iterable[tuple[str, int, int, float, int]]) -> list[tuple[str, int, int, float, int]]:
+    """Of overlapping matches the one that holds most shingles (ties: the
+    larger containment, the first), in text order."""
+    kept: list[tuple[int, int, tuple]] = []
+    for m in sorted(found, key=lambda m: (-m[4], -m[3], m[1])):
+        begin, end = m[1], m[1] + m[2]
+        k = bisect.bisect(kept, begin, key=lambda x: x[0])
+        if (k == 0 or kept[k - 1][1] <= begin) and (k == len(kept) or kept[k][0] >= end):
+            kept.insert(k, (begin, end, m))
+    return [m for _, _, m in kept]
+
+
+def scan(docs: DataFrame, templates: dict[str, str] | Iterable[tuple[str, str]] | None = None,
          percent: int = MIN_CONTAINMENT_PERCENT) -> DataFrame:
     """(doc_id, license, start_word, n_words, containment, matched) of every
     match of a template."""
-    table = Templates(TEMPLATES if templates is None else templates)
+    table = Templates([*TEMPLATES.items(), *license_texts.templates()] if templates is None else templates)
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch):
                 w = license_words(part.column(1))
                 keys = ngram_keys(w.key, SHINGLE)
-                hit = np.flatnonzero(np.isin(keys, table.all))
+                hit = np.flatnonzero(np.isin(keys, table.sketch))
                 rows = []
                 for t in np.unique(w.text_of[hit]).tolist():
                     a, b = w.first[t], w.first[t + 1]
-                    for name, i, n, c in table.matches(keys[a:max(a, b - SHINGLE + 1)], percent):
+                    for name, i, n, c, _ in disjoint(table.matches(keys[a:max(a, b - SHINGLE + 1)], percent)):
                         body = w.data[w.start[a + i]:w.end[a + i + n - 1]].tobytes().decode("utf-8")
                         rows.append((part.column(0)[t].as_py(), name, i, n, c, body))
                 columns = list(zip(*rows)) or [[]] * 6

@@ -4,6 +4,7 @@ import pyarrow as pa
 from llm_helpers import CLASHING, documents, table, words
 
 from martwright.llm import license_scan as L
+from martwright.llm import license_texts as T
 
 
 def bare(text):
@@ -65,3 +66,19 @@ def test_edges(spark):
     want += [(None, "mit", 0, 5, 1.0, "RELEASED UNDER THE MIT LICENSE"), (6, "mit", 300_000, 5, 1.0, "Released under the MIT License")]
     assert got == sorted(want, key=repr)
     assert L.scan(df.limit(0)).collect() == []
+
+
+def licenses(spark, *texts, **kw):
+    """The licences found in each text."""
+    got = L.scan(documents(spark, list(enumerate(texts))), **kw).collect()
+    return [sorted(r.license for r in got if r.doc_id == i) for i in range(len(texts))]
+
+
+def test_texts_headers_and_wordings(spark):
+    texts = [(n, T.full_text(n)) for n in (*T.FULL, *T.ADAPTED)] + [(n, h[0]) for n, h in T.HEADERS.items()]
+    texts += [("mit", "It is Licensed under the MIT License, see there"), ("mit", "Released under an MIT License"),
+              ("gpl-2.0", "is under the terms of the GNU General Public License, version 2. All of it"),
+              ("cc-by-4.0", "This is licensed under a Creative Commons Attribution 4.0 International License."),
+              ("isc", "Released under the ISC license")]
+    got = licenses(spark, *(f"Begin here. {t} And so on." for _, t in texts))
+    assert got == [[n] for n, _ in texts]
