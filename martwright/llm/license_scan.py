@@ -1,6 +1,7 @@
 r"""License scans: MinHash bands over overlapping windows.
 
-Words are lower-cased (A-Z) and rid of marks at their ends.  For a template of
+Words are lower-cased (A-Z) and rid of marks at their ends; words of marks alone
+(comment signs, rules, bullets) are dropped.  For a template of
 s five-word shingles every window of s consecutive shingles of a text is
 sketched by 16 MinHash values, each a band of its own.  A window that holds 80 %
 of the template's shingles has similarity 2/3 or more to it and misses all
@@ -9,10 +10,16 @@ by exact containment of the template's shingles.  A licence has many templates
 (full text, headers, sentences) and sister licences share most of their words:
 of overlapping matches the one that holds most shingles counts.
 
+Inserted words spread a notice: where a band hit gives no match in a window of
+the template's length, windows of up to 1.5 times its words are verified.  One
+that holds 80 % has similarity 0.47 or more and misses all bands with
+probability 4e-5 at most.
+
 A band value equals a template's only if the window holds that very shingle,
 so texts without any of these shingles are passed over after one look-up.
 
-Defined results: null, empty and short texts (under five words) match nothing;
+Defined results: start_word and n_words count all words, those of marks too;
+null, empty and short texts (under five words) match nothing;
 a text shorter than a template is one window; repeated rows give repeated
 matches; a null doc_id stays; templates need five words; an empty table gives
 no rows; other columns are not read.
@@ -56,9 +63,10 @@ TEMPLATES = {
 MATCHES = "doc_id long, license string, start_word long, n_words long, containment double, matched string"
 
 
-def license_words(texts: pa.Array) -> Words:
-    """Words in lower case without marks at their ends (a word of marks keeps
-    one); start and end hold the remaining bytes."""
+def placed_words(texts: pa.Array) -> tuple[Words, np.ndarray]:
+    """Words in lower case without marks at their ends, none of marks alone;
+    start and end hold the remaining bytes.  And each word's place in its text
+    among all words."""
     w = split_words(texts)
     start, end = w.start.copy(), w.end.copy()
     for edge, step in ((end, -1), (start, 1)):
@@ -68,9 +76,17 @@ def license_words(texts: pa.Array) -> Words:
             if not cut.any():
                 break
             edge[cut] += step
+    kept = ~((end - start == 1) & _MARK[w.data[start]])
+    place = (np.arange(len(start)) - np.repeat(w.first[:-1], w.counts))[kept]
+    first = np.concatenate([[0], np.cumsum(kept)])[w.first]
+    start, end = start[kept], end[kept]
     with np.errstate(over="ignore"):
         key = word_keys(LOWER_ASCII[w.data], start, end)
-    return Words(w.data, w.text_at, start, end, w.first, key)
+    return Words(w.data, w.text_at, start, end, first, key), place
+
+
+def license_words(texts: pa.Array) -> Words:
+    return placed_words(texts)[0]
 
 
 class Templates:
@@ -117,12 +133,12 @@ class Templates:
                 anchors.append(at[room >= width])
             anchors = np.unique(np.concatenate(anchors))
             if len(anchors):
-                own = self.shingles[t]
-                # nothing further off lies in a window with an anchor
-                low = max(0, int(anchors[0]) - width + 1)
-                some = keys[low:int(anchors[-1]) + width]
-                for i, n, held in verified(some, own, anchors - low, width, percent):
-                    yield self.names[t], low + i, n + SHINGLE - 1, held / len(own), held
+                own, found = self.shingles[t], []
+                # the template's length, then with room for inserted words
+                for size in (width, -(-3 * (len(own) + SHINGLE - 1) // 2) - SHINGLE + 1):
+                    found = found + verified(keys, own, anchors, size, percent, found)
+                for i, n, held in found:
+                    yield self.names[t], i, n + SHINGLE - 1, held / len(own), held
 
     @staticmethod
     def _places(keys: np.ndarray, band: int, key: int, hashed: dict[int, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -138,13 +154,28 @@ class Templates:
         return at, less[k] - less[k - 1] - 1
 
 
-def verified(keys: np.ndarray, own: np.ndarray, anchors: np.ndarray, width: int, percent: int
-             ) -> list[tuple[int, int, int]]:
+def verified(keys: np.ndarray, own: np.ndarray, anchors: np.ndarray, width: int, percent: int,
+             taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """(first shingle, shingles, held) of disjoint windows of at most ``width``
     shingles, each with an anchor, that hold enough of the template's shingles
-    (``own``); the best of those that begin close together, cut to what it holds."""
+    (``own``); the best of those that begin close together, cut to what it holds.
+    Words of matches in ``taken`` (in order) are not used again."""
     need = -(-percent * len(own) // 100)
-    at = np.flatnonzero(np.isin(keys, own))
+    begin = np.array([-1, *(i for i, _, _ in taken)])
+    end = np.array([-1, *(i + n + SHINGLE - 1 for i, n, _ in taken)])
+
+    def free_of_taken(x: np.ndarray) -> np.ndarray:
+        k = np.searchsorted(begin, x + SHINGLE - 1, "right") - 1
+        return x >= end[k]
+
+    anchors = anchors[free_of_taken(anchors)]
+    if not len(anchors):
+        return []
+    # nothing further off lies in a window with an anchor
+    low = max(0, int(anchors[0]) - width + 1)
+    some = keys[low:int(anchors[-1]) + width]
+    at = low + np.flatnonzero(np.isin(some, own))
+    at = at[free_of_taken(at)]
     if len(at) < need:
         return []
     name = np.searchsorted(own, keys[at]).tolist()
@@ -169,19 +200,20 @@ def verified(keys: np.ndarray, own: np.ndarray, anchors: np.ndarray, width: int,
             continue
         close = good[k:np.searchsorted(at[good], at[i] + width - need, "right")]
         best = max(close.tolist(), key=lambda x: (held[x], -x))
-        part = keys[at[best]:at[ends[best] - 1] + 1]
-        part = part[:_reach(part, own)]
-        size = _reach(part[::-1], own)
-        first = int(at[best]) + len(part) - size
-        out.append((first, size, held[best]))
-        free = first + size + SHINGLE - 1
+        part = at[best:ends[best]]
+        part = part[:_reach(keys[part])]
+        part = part[len(part) - _reach(keys[part[::-1]]):]
+        first, last = int(part[0]), int(part[-1])
+        free = last + SHINGLE
+        # not across a match of the narrower windows
+        if not ((begin > first) & (begin < free)).any():
+            out.append((first, last - first + 1, held[best]))
     return out
 
 
-def _reach(keys: np.ndarray, own: np.ndarray) -> int:
-    """How many of the first keys hold all of ``own`` that there is."""
-    found, first = np.unique(keys, return_index=True)
-    return int(first[np.isin(found, own)].max()) + 1
+def _reach(keys: np.ndarray) -> int:
+    """How many of the first keys hold all that occur."""
+    return int(np.unique(keys, return_index=True)[1].max()) + 1
 
 
 def disjoint(found: Iterable[tuple[str, int, int, float, int]]) -> list[tuple[str, int, int, float, int]]:
@@ -205,15 +237,16 @@ def scan(docs: DataFrame, templates: dict[str, str] | Iterable[tuple[str, str]]
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch):
-                w = license_words(part.column(1))
+                w, place = placed_words(part.column(1))
                 keys = ngram_keys(w.key, SHINGLE)
                 hit = np.flatnonzero(np.isin(keys, table.sketch))
                 rows = []
                 for t in np.unique(w.text_of[hit]).tolist():
                     a, b = w.first[t], w.first[t + 1]
                     for name, i, n, c, _ in disjoint(table.matches(keys[a:max(a, b - SHINGLE + 1)], percent)):
-                        body = w.data[w.start[a + i]:w.end[a + i + n - 1]].tobytes().decode("utf-8")
-                        rows.append((part.column(0)[t].as_py(), name, i, n, c, body))
+                        i, last = a + i, a + i + n - 1
+                        body = w.data[w.start[i]:w.end[last]].tobytes().decode("utf-8")
+                        rows.append((part.column(0)[t].as_py(), name, place[i], place[last] - place[i] + 1, c, body))
                 columns = list(zip(*rows)) or [[]] * 6
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.string(), pa.int64(), pa.int64(),

@@ -82,3 +82,24 @@ def test_texts_headers_and_wordings(spark):
               ("isc", "Released under the ISC license")]
     got = licenses(spark, *(f"Begin here. {t} And so on." for _, t in texts))
     assert got == [[n] for n, _ in texts]
+
+
+def test_commented_and_edited_notices(spark):
+    bsd, mpl = L.TEMPLATES["bsd"].split(), L.TEMPLATES["mpl-2.0"].split()
+    lines = [" ".join(bsd[:10]), " ".join(bsd[10:17]), " ".join(bsd[17:])]
+    texts = [f"x\n{sign} " + f"\n{sign} ".join(lines) + f"\n{sign} y" for sign in ("*", "#", "//", ";;", "--")]
+    texts.append("/*\n * " + " ".join(mpl[:12]) + "\n * " + " ".join(mpl[12:]) + "\n */")
+    mit = T.full_text("mit").split()
+    for step in (9, 12):
+        texts.append(" ".join(w + " [sic]" * (i % 40 == step) for i, w in enumerate(mit)))
+    # a name inserted again and again: 80 % of the shingles, in no window of the template's length
+    wide = T.full_text("apache-2.0").split()
+    texts.append(" ".join(w + " inserted words" * 9 * (i % 50 == 7) for i, w in enumerate(wide)))
+    got = licenses(spark, *texts)
+    assert got == [["bsd"]] * 5 + [["mpl-2.0"], ["mit"], ["mit"], ["apache-2.0"]]
+
+
+def test_places_count_words_of_marks(spark):
+    df = documents(spark, [(1, "a * b\n * Released under\n * the MIT License. Released under the MIT License")])
+    got = sorted(map(tuple, L.scan(df).collect()))
+    assert got == [(1, "mit", 4, 6, 1.0, "Released under\n * the MIT License"), (1, "mit", 10, 5, 1.0, "Released under the MIT License")]
