@@ -10,8 +10,9 @@ contiguous region of the largest sum, and its blocks are the main text.
 The weights are log-odds counted on labelled pages: at most ``LABELLED_PAGES``
 pages (a documented bound; smallest hash of page_id first) that mark their
 article themselves by <article> or <main>.  A word's weight depends on the tag
-of its block, on whether it is a link, and on whether it lies inside such an
-element; a tag's on its name.
+of its block and on whether it is a link; a tag's on its name.  Such an element
+is the region unless the best region outside outweighs it by these weights (or
+has several times its words): cards of other stories are <article>s, too.
 
 Character references are decoded, white space inside a block becomes one
 space, blocks are trimmed and joined by one newline; <br> is white space.
@@ -95,11 +96,12 @@ def page_part(name: str, attributes: str) -> bool:
 @dataclass
 class Block:
     """A block's text pieces, its tag, and where it lies: skipped elements
-    around it, and <article> or <main> around it."""
+    around it, and the outermost <article> or <main> around it (its number from
+    1 on; 0: none)."""
 
     tag: str
     skipped: bool
-    inside: bool
+    inside: int
     pieces: list[str] = field(default_factory=list)
     links: int = 0
 
@@ -111,8 +113,9 @@ def read_page(page: str, classes: bool = True) -> list[Block | str]:
     """The page as tags (names, closing ones with '/') and blocks in order;
     tags inside skipped elements are left out."""
     out: list[Block | str] = []
-    stack: list[tuple[str, bool, bool]] = []  # name, skipped from here on, inside an article from here on
+    stack: list[tuple[str, bool, int]] = []  # name, skipped from here on, inside which article from here on
     names = Counter()
+    marks = 0
     block: Block | None = None
     link = 0
     at, end = 0, len(page)
@@ -123,7 +126,7 @@ def read_page(page: str, classes: bool = True) -> list[Block | str]:
             if not raw.strip():
                 return
             tag = next((n for n, _, _ in reversed(stack) if n in BLOCKS), "")
-            block = Block(tag, bool(stack) and stack[-1][1], bool(stack) and stack[-1][2])
+            block = Block(tag, bool(stack) and stack[-1][1], stack[-1][2] if stack else 0)
             out.append(block)
         text = html.unescape(raw) if "&" in raw else raw
         block.pieces.append(text)
@@ -175,9 +178,13 @@ def read_page(page: str, classes: bool = True) -> list[Block | str]:
                     del stack[k:]
             elif name in ("p", "li") and stack and stack[-1][0] == name:
                 names[stack.pop()[0]] -= 1
-            above = stack[-1] if stack else ("", False, False)
+            above = stack[-1] if stack else ("", False, 0)
             part = page_part(name, attributes if classes else "")
-            stack.append((name, above[1] or part, above[2] or name in ("article", "main")))
+            inside = above[2]
+            if name in ("article", "main") and not inside:
+                marks += 1
+                inside = marks
+            stack.append((name, above[1] or part, inside))
             names[name] += 1
             link += name == "a"
             if part:
@@ -194,8 +201,12 @@ class Weights:
     words: dict[tuple, float]
     tags: dict[str, float]
 
-    def word(self, where: int, tag: str, link: bool) -> float:
-        return self.words.get((where, tag, link), self.words.get((where, "", link), 1.0 if where != 0 else 0.0))
+    def word(self, tag: str, link: bool) -> float:
+        return self.words.get((tag, link), self.words.get(("", link), 1.0))
+
+    def block(self, x: Block) -> float:
+        n = len("".join(x.pieces).split())
+        return (n - x.links) * self.word(x.tag, False) + x.links * self.word(x.tag, True)
 
     def tag(self, name: str) -> float:
         return self.tags.get(name, -0.1 if name.lstrip("/") in INLINE else -0.5)
@@ -203,6 +214,8 @@ class Weights:
 
 WORD_RANGE = (0.05, 4.0)
 TAG_RANGE = (-1.0, -0.02)
+#: So many times the marked words outside of the marks are the story whatever their tags.
+OUTSIDE_WORDS = 3
 
 
 def contexts(page: list[Block | str]) -> Iterator[tuple[tuple, bool, int]]:
@@ -214,7 +227,7 @@ def contexts(page: list[Block | str]) -> Iterator[tuple[tuple, bool, int]]:
             yield ("tag", x, False), inside, 1
         else:
             n = len("".join(x.pieces).split())
-            good = x.inside and not x.skipped
+            good = bool(x.inside) and not x.skipped
             if x.links:
                 yield ("word", x.tag, True), good, x.links
             if n > x.links:
@@ -225,9 +238,7 @@ def fit_weights(counts: dict[tuple, tuple[int, int]]) -> Weights:
     """Weights from (kind, name, link) -> (times inside, times outside)."""
     odds = {k: math.log((a + 1) / (b + 1)) for k, (a, b) in counts.items()}
     low, high = WORD_RANGE
-    words = {(1, "", False): high, (1, "", True): high, (0, "", False): 0.0, (0, "", True): 0.0}
-    # on pages without a marked article, context alone tells
-    words |= {(2, name, link): min(max(v, low), high) for (kind, name, link), v in odds.items() if kind == "word"}
+    words = {(name, link): min(max(v, low), high) for (kind, name, link), v in odds.items() if kind == "word"}
     tags = {name: min(max(v - 1.0, TAG_RANGE[0]), TAG_RANGE[1]) for (kind, name, _), v in odds.items() if kind == "tag"}
     return Weights(words, tags)
 
@@ -245,23 +256,37 @@ def best_region(scores: list[float]) -> tuple[int, int]:
     return where
 
 
+def region(items: list[Block | str], weights: Weights) -> list[Block]:
+    """The blocks of the main text.  Marked elements (<article>, <main>) are
+    the region if they outweigh the best region outside of them; otherwise
+    they are teasers (several) or a part of it (a single one)."""
+    blocks = [x for x in items if not isinstance(x, str)]
+    marked = sum(weights.block(x) for x in blocks if x.inside)
+    several = len({x.inside for x in blocks if x.inside}) > 1
+
+    def best(block) -> list[Block]:
+        a, b = best_region([weights.tag(x) if isinstance(x, str) else block(x) for x in items])
+        return [x for x in items[a:b] if not isinstance(x, str)]
+
+    outside = best(lambda x: 0.0 if x.inside and several else weights.block(x))
+    if not marked:
+        return outside
+    alone = [x for x in outside if not x.inside]
+    words_in, words_out = (sum(len("".join(x.pieces).split()) - x.links for x in part) for part in (
+        (x for x in blocks if x.inside), alone))
+    if sum(map(weights.block, alone)) > marked or words_out > OUTSIDE_WORDS * words_in:
+        return [x for x in outside if not (x.inside and several)]
+    high = WORD_RANGE[1]
+    return best(lambda x: high * len("".join(x.pieces).split()) if x.inside else 0.0)
+
+
 def extract(page: str | None, weights: Weights) -> str:
     """The main text of a page."""
     if not page:
         return ""
     for classes in (True, False):
         items = [x for x in read_page(page, classes) if isinstance(x, str) or not x.skipped]
-        marked = any(not isinstance(x, str) and x.inside for x in items)
-        scores = []
-        for x in items:
-            if isinstance(x, str):
-                scores.append(weights.tag(x))
-            else:
-                n = len("".join(x.pieces).split())
-                where = (1 if x.inside else 0) if marked else 2
-                scores.append((n - x.links) * weights.word(where, x.tag, False) + x.links * weights.word(where, x.tag, True))
-        a, b = best_region(scores)
-        text = "\n".join(t for t in (x.text() for x in items[a:b] if not isinstance(x, str)) if t)
+        text = "\n".join(t for t in (x.text() for x in region(items, weights)) if t)
         if text:
             return text
     return ""

@@ -66,3 +66,15 @@ def test_rows(spark):
     assert [(r[0], r[1], r[3]) for r in got] == sorted(
         [(1, "u", 3), (1, "u", 3), (2, None, 0), (None, "v", 999_999), (3, "w", 0)], key=repr)
     assert H.extract_pages(df.limit(0)).collect() == []
+
+
+def test_articles_that_are_only_teasers():
+    story = [" ".join(f"w{k}x{i}" for i in range(60)) for k in range(5)]
+    cards = "".join(f'<article class="card"><h3><a href="{i}">Other story {i}</a></h3><p>Short teaser {i}</p></article>' for i in range(6))
+    for p in ("p", "div"):
+        body = "".join(f"<{p}>{x}</{p}>" for x in story)
+        for page in (f"<div>{body}</div><div>{cards}</div>", f"<div>{cards}</div><div>{body}</div>"):
+            assert H.extract(page, WEIGHTS) == "\n".join(story), page
+    # one marked story with less text around it stays the region
+    page = f"<div>Some words here</div><article><p>{story[0]}</p></article><p>More of that site</p>"
+    assert H.extract(page, WEIGHTS) == story[0]
