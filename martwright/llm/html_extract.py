@@ -3,7 +3,9 @@ r"""HTML extraction by maximum-scoring subsequence.
 A page is read once, left to right, as a sequence of tags and block texts.
 Elements that never hold article text (menus, headers, footers, sidebars,
 notices, adverts, forms, scripts, styles, comments and hidden elements, told by
-tag, class, id or role) are set aside with all they contain.  In what is left
+tag, class, id or role) are set aside with all they contain, unless they hold
+more text than all that remains: such a wrapper ("page sidebar-right", a form
+around the page) is opened, but for the parts in it.  In what is left
 every word scores positive and every tag negative; a linear scan finds the
 contiguous region of the largest sum, and its blocks are the main text.
 
@@ -25,6 +27,7 @@ rows; other columns are not read.
 
 from __future__ import annotations
 
+import heapq
 import html
 import math
 import re
@@ -49,10 +52,15 @@ INLINE = frozenset(
     "a abbr b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub "
     "sup time tt u var".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style".split())
+RAW = frozenset("script style annotation annotation-xml".split())
 SKIPPED = frozenset(
     "head title nav header footer aside form menu dialog noscript template iframe object applet audio video canvas svg "
-    "math button select option optgroup textarea label datalist map".split())
+    "button select option optgroup textarea label datalist map".split())
+#: Of these, kept in an article.
+ARTICLE_TAGS = frozenset("header label noscript".split())
+#: A part that may prove a wrapper of the article: told by one of the other
+#: words or by these tags it needs more text than the rest of the page.
+WRAPPERS = frozenset("header form aside".split())
 SPACING = frozenset("br td th img hr wbr".split()) - {"wbr"}
 PARTS = frozenset(
     "nav navbar navigation menu menubar breadcrumb breadcrumbs sidebar side aside header masthead topbar footer foot "
@@ -62,6 +70,12 @@ PARTS = frozenset(
     "disqus discussion reply replies respond reviews pagination pager toolbar widget widgets skip copyright "
     "complementary contentinfo hidden".split())
 NEGATED = frozenset("no not has with without".split())
+#: These words and the other tags need so many times the rest.
+FIRM = frozenset(
+    "nav navbar navigation menu menubar breadcrumb breadcrumbs footer foot bottombar cookie cookies consent gdpr notice "
+    "notices copyright contentinfo ad ads adv advert adverts advertisement advertising sponsor sponsored".split())
+FIRM_TIMES = 10
+NEVER = 0  # grade of parts that are never a wrapper: comments, hidden elements, replaced content
 COMMENTS = frozenset("comment comments commentlist disqus discussion reply replies respond reviews".split())
 
 _TAG = re.compile(
@@ -72,25 +86,31 @@ _SPLIT = re.compile(r"[^a-z0-9]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
-def page_part(name: str, attributes: str) -> bool:
-    """Whether an element is a page part other than the article."""
-    if name in SKIPPED:
-        return True
+def page_part(name: str, attributes: str, inside: int = 0) -> int | None:
+    """Grade of an element that is a page part other than the article: NEVER,
+    or how many times the rest of the page's text it must hold to be taken for
+    a wrapper of the article; None: no page part.  ``inside``: in an article."""
+    if name in SKIPPED and not (inside and name in ARTICLE_TAGS):
+        return 1 if name in WRAPPERS else FIRM_TIMES if name in ("nav", "footer", "menu") else NEVER
     if not attributes or "=" not in attributes and "hidden" not in attributes or name in ("html", "body", "main"):
-        return False
+        return None
+    grade = None
     for key, value in _ATTRIBUTE.findall(attributes):
         key, value = key.lower(), value.strip("\"'")
         if key == "hidden" or key == "aria-hidden" and value.lower() == "true":
-            return True
+            return NEVER
         if key == "style":
             if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-                return True
+                return NEVER
         elif key in ("class", "id", "role"):
             for one in value.split():
                 parts = set(_SPLIT.split(_CAMEL.sub("-", one).lower()))
-                if not parts & NEGATED and parts & (COMMENTS if name == "article" else PARTS):
-                    return True
-    return False
+                if not parts & NEGATED and (found := parts & (COMMENTS if name == "article" else PARTS)):
+                    if found & COMMENTS:
+                        return NEVER
+                    if not (inside and found == {"header"}):
+                        grade = max(grade or 1, FIRM_TIMES if found & FIRM else 1)
+    return grade
 
 
 @dataclass
@@ -109,11 +129,74 @@ class Block:
         return " ".join("".join(self.pieces).split())
 
 
+@dataclass
+class Part:
+    """A page part: the part around it (-1: none), its grade, the words outside
+    of links in it, and those of them in an article; first without and then with
+    those of the parts in it."""
+
+    above: int
+    grade: int
+    words: int = 0
+    marked: int = 0
+    all_words: int = 0
+    all_marked: int = 0
+
+
+def skipped_parts(items: list[tuple[Block | str, int]], parts: list[Part]) -> list[bool]:
+    """Which parts stay skipped: a part with more text (of articles, if any is
+    seen) than all the rest that is seen is a wrapper, and what it holds is
+    seen, but for the parts in it."""
+    seen = Part(-1, NEVER)
+    for x, k in items:
+        if not isinstance(x, str):
+            n = len("".join(x.pieces).split()) - x.links
+            to = parts[k] if k >= 0 else seen
+            to.words += n
+            to.marked += n if x.inside else 0
+    inner: dict[int, list[int]] = {}
+    for k in range(len(parts) - 1, -1, -1):
+        one = parts[k]
+        one.all_words += one.words
+        one.all_marked += one.marked
+        # what is never a wrapper's text does not make one
+        if one.above >= 0 and one.grade != NEVER:
+            parts[one.above].all_words += one.all_words
+            parts[one.above].all_marked += one.all_marked
+        inner.setdefault(one.above, []).append(k)
+    skipped = [True] * len(parts)
+    front = inner.get(-1, [])
+    by_marks = None
+    heap: list[tuple[int, int]] = []
+    while True:
+        if by_marks != (seen.marked > 0):
+            by_marks = seen.marked > 0
+            front, heap = front + [k for _, k in heap], []
+        for k in front:
+            heapq.heappush(heap, (-(parts[k].all_marked if by_marks else parts[k].all_words), k))
+        front, left = [], []
+        while heap:
+            n, k = heapq.heappop(heap)
+            if parts[k].grade != NEVER and -n > parts[k].grade * (seen.marked if by_marks else seen.words):
+                break
+            # the rest only grows: later only the measure may change
+            left.append(k)
+        else:
+            return skipped
+        skipped[k] = False
+        seen.words += parts[k].words
+        seen.marked += parts[k].marked
+        front = inner.get(k, [])
+        if not by_marks and seen.marked:
+            front = front + left
+
+
 def read_page(page: str, classes: bool = True) -> list[Block | str]:
     """The page as tags (names, closing ones with '/') and blocks in order;
     tags inside skipped elements are left out."""
-    out: list[Block | str] = []
-    stack: list[tuple[str, bool, int]] = []  # name, skipped from here on, inside which article from here on
+    out: list[tuple[Block | str, int]] = []  # with the innermost page part
+    parts: list[Part] = []
+    stack: list[tuple[str, int, int]] = []  # name, page part and article from here on
     names = Counter()
     marks = 0
     block: Block | None = None
@@ -126,8 +209,8 @@ def read_page(page: str, classes: bool = True) -> list[Block | str]:
             if not raw.strip():
                 return
             tag = next((n for n, _, _ in reversed(stack) if n in BLOCKS), "")
-            block = Block(tag, bool(stack) and stack[-1][1], stack[-1][2] if stack else 0)
-            out.append(block)
+            block = Block(tag, False, stack[-1][2] if stack else 0)
+            out.append((block, stack[-1][1] if stack else -1))
         text = html.unescape(raw) if "&" in raw else raw
         block.pieces.append(text)
         if link:
@@ -158,7 +241,7 @@ def read_page(page: str, classes: bool = True) -> list[Block | str]:
                 top = stack.pop()
                 names[top[0]] -= 1
                 link -= top[0] == "a"
-                if top[0] in BLOCKS or top[1]:
+                if top[0] in BLOCKS or top[1] >= 0:
                     block = None
                 if top[0] == name:
                     break
@@ -171,27 +254,39 @@ def read_page(page: str, classes: bool = True) -> list[Block | str]:
             if name == "p" and names["p"] and stack[-1][0] != "p":
                 # an open paragraph ends here, with what was left open in it
                 k = max(i for i, x in enumerate(stack) if x[0] == "p")
-                if all(x[0] not in BLOCKS and not x[1] for x in stack[k + 1:]):
+                if all(x[0] not in BLOCKS and x[1] == stack[k][1] for x in stack[k + 1:]):
                     for x in stack[k:]:
                         names[x[0]] -= 1
                         link -= x[0] == "a"
                     del stack[k:]
             elif name in ("p", "li") and stack and stack[-1][0] == name:
                 names[stack.pop()[0]] -= 1
-            above = stack[-1] if stack else ("", False, 0)
-            part = page_part(name, attributes if classes else "")
-            inside = above[2]
-            if name in ("article", "main") and not inside:
+            _, inner, inside = stack[-1] if stack else ("", -1, 0)
+            grade = page_part(name, attributes if classes else "", inside)
+            if name in ("article", "main") and not inside and grade is None:
                 marks += 1
                 inside = marks
-            stack.append((name, above[1] or part, inside))
+            if grade is not None:
+                parts.append(Part(inner, grade))
+                inner = len(parts) - 1
+                block = None
+            stack.append((name, inner, inside))
             names[name] += 1
             link += name == "a"
-            if part:
-                block = None
-        if not (stack and stack[-1][1]):
-            out.append("/" + name if closing else name)
-    return out
+        if name != "math" and not names["math"]:
+            out.append(("/" + name if closing else name, stack[-1][1] if stack else -1))
+    skipped = skipped_parts(out, parts)
+    # parts stand after the part around them
+    for k, one in enumerate(parts):
+        skipped[k] = skipped[k] or one.above >= 0 and skipped[one.above]
+    items = []
+    for x, k in out:
+        if isinstance(x, Block):
+            x.skipped = k >= 0 and skipped[k]
+        elif k >= 0 and skipped[k]:
+            continue
+        items.append(x)
+    return items
 
 
 @dataclass
@@ -202,7 +297,7 @@ class Weights:
     tags: dict[str, float]
 
     def word(self, tag: str, link: bool) -> float:
-        return self.words.get((tag, link), self.words.get(("", link), 1.0))
+        return self.words.get((tag, link), self.words.get(("", link), WORD_RANGE[0] if link else 1.0))
 
     def block(self, x: Block) -> float:
         n = len("".join(x.pieces).split())

@@ -78,3 +78,25 @@ def test_articles_that_are_only_teasers():
     # one marked story with less text around it stays the region
     page = f"<div>Some words here</div><article><p>{story[0]}</p></article><p>More of that site</p>"
     assert H.extract(page, WEIGHTS) == story[0]
+
+
+def test_wrappers_named_like_page_parts():
+    story = [" ".join(f"w{k}x{i}" for i in range(40)) for k in range(3)]
+    body = "".join(f"<p>{x}</p>" for x in story)
+    aside = '<div class="sidebar"><p>Read more of this</p></div><form><label>Mail</label></form>'
+    for wrap in ('<div class="page sidebar-right">{}</div>', '<div class="elementor-widget-container">{}</div>',
+                 '<div id="header-search">{}</div>', '<form id="aspnetForm">{}</form>',
+                 '<form><div class="share widget">{}</div></form>'):
+        for inner in (body, f"<article>{body}</article>", f"<article><div class='widget'>{body}</div></article>"):
+            page = "<a href='#c'>Skip to content</a>" + wrap.format(inner + aside)
+            assert H.extract(page, WEIGHTS) == "\n".join(story), page
+    # parts with less text than the rest, and comments, stay out
+    for part in ("<aside>{}</aside>", '<div class="promo">{}</div>', "<article class='comment'>{}</article>"):
+        assert H.extract(f"<div>{body}</div>{part.format('<p>' + story[0] + '</p>')}", WEIGHTS) == "\n".join(story)
+
+
+def test_text_of_tags_in_an_article():
+    page = ("<header><p>Site</p></header><article><header class='entry-header'><h1>The title</h1></header><p>We have "
+            "<math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math> here</p><p><label>A label</label>"
+            "</p><noscript>No script</noscript></article>")
+    assert H.extract(page, WEIGHTS) == "The title\nWe have x=1 here\nA label\nNo script"
