@@ -115,3 +115,15 @@ def test_edges(spark):
             (14, 1, 13, False)]
     assert sorted(map(tuple, out.collect()), key=repr) == sorted(want, key=repr)
     assert M.near_duplicates(df.limit(0)).collect() == []
+
+
+def test_blocks_are_decided_by_exact_counts(spark):
+    rng = np.random.default_rng(7)
+    base = M.mix(np.arange(1000, dtype=np.uint64))
+    sets = [np.sort(base), np.sort(np.concatenate([base[:890], M.mix(5000 + np.arange(110, dtype=np.uint64))]))]
+    # registers that disagree as one pair in a million does by chance
+    sig = [rng.integers(0, 1000, 128).astype(np.uint16).tobytes() for _ in sets]
+    schema = "node long, n long, sig binary, keys binary"
+    full = spark.createDataFrame([(i, 1000, bytearray(g), bytearray(k.tobytes())) for i, (g, k) in enumerate(zip(sig, sets))], schema)
+    groups = spark.createDataFrame([(0, 0), (0, 1)], "hub long, node long")
+    assert sorted(map(tuple, M.group_links(groups, full, 80).collect())) == [(1, 0)]
