@@ -394,6 +394,19 @@ _EARLIER_CTES = _ctes(
                           ["first_name", "last_name", "city_id"], "integer")))
 
 
+def _fk_orphans(m):
+    parts = [
+        quality.fk_orphans(m["f_activity"], m["d_calendar"], "date_time", "date_time", "f_activity.date_time"),
+        quality.fk_orphans(m["f_daily_sales"], m["d_calendar"], "date_time", "date_time", "f_daily_sales.date_time"),
+        quality.fk_orphans(m["f_daily_sales"], m["d_item"], "item_id", "item_id", "f_daily_sales.item_id"),
+        quality.fk_orphans(m["f_daily_sales"], m["d_customer"], "customer_id", "customer_id", "f_daily_sales.customer_id"),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 @register("fk_orphans", O.with_ctes(*_EARLIER_CTES, body="""
 select 'f_activity.date_time' as fk_name, count(*) as n_orphans from f_activity f
   where f.date_time is not null and not exists (select 1 from d_calendar c where c.date_time = f.date_time)
@@ -414,16 +427,26 @@ def q_fk_orphans(spark, sf):
     earlier = m["orders"].where((F.col("date_time") < _ts(REPLACE_FROM)) & (F.col("item_id") % 7 != 0))
     m |= {"d_calendar": dims.d_calendar(earlier, m["activity"].limit(0)), "d_customer": dims.d_customer(earlier),
           "d_item": dims.d_item(earlier, fx.item_categories(spark, sf))}
-    parts = [
-        quality.fk_orphans(m["f_activity"], m["d_calendar"], "date_time", "date_time", "f_activity.date_time"),
-        quality.fk_orphans(m["f_daily_sales"], m["d_calendar"], "date_time", "date_time", "f_daily_sales.date_time"),
-        quality.fk_orphans(m["f_daily_sales"], m["d_item"], "item_id", "item_id", "f_daily_sales.item_id"),
-        quality.fk_orphans(m["f_daily_sales"], m["d_customer"], "customer_id", "customer_id", "f_daily_sales.customer_id"),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return _fk_orphans(m)
+
+
+@register("fk_orphans_whole", O.with_ctes(*_MART_CTES, body="""
+select 'f_activity.date_time' as fk_name, count(*) as n_orphans from f_activity f
+  where f.date_time is not null and not exists (select 1 from d_calendar c where c.date_time = f.date_time)
+union all
+select 'f_daily_sales.date_time', count(*) from f_daily_sales f
+  where f.date_time is not null and not exists (select 1 from d_calendar c where c.date_time = f.date_time)
+union all
+select 'f_daily_sales.item_id', count(*) from f_daily_sales f
+  where f.item_id is not null and not exists (select 1 from d_item i where i.item_id = f.item_id)
+union all
+select 'f_daily_sales.customer_id', count(*) from f_daily_sales f
+  where f.customer_id is not null and not exists (select 1 from d_customer c where c.customer_id = f.customer_id)
+"""))
+def q_fk_orphans_whole(spark, sf):
+    """Orphan fact rows per declared foreign key, against the mart's
+    whole dimensions."""
+    return _fk_orphans(_mart_inputs(spark, sf))
 
 
 _PK_SPECS = [

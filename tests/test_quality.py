@@ -45,3 +45,9 @@ def test_column_checks(spark):
     got = {(r["column_name"], r["check_name"]): r["n_violations"]
            for r in quality.column_checks(df, "t", ["k"], {"m": 8}).collect()}
     assert got == {("k", "not_null"): 1, ("m", "max_length_8"): 1}
+
+
+def test_fk_orphans_of_the_whole_mart(spark):
+    from martwright import registry
+    rows = registry.queries()["fk_orphans_whole"](spark, "/root/testdata/sf0.001").collect()
+    assert len(rows) == 4 and all(r.n_orphans == 0 for r in rows)
