@@ -12,7 +12,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 
 import __spark_entry__ as E  # noqa: E402
 from check_oracle import TABLES, rows_key  # noqa: E402
-from conftest import SMOKE  # noqa: E402
+from helpers import SMOKE  # noqa: E402
 
 NAMES = ["daily_sales", "weekly_retention", "retention_groups", "sales_enriched",
          "customer_cohort", "period_id", "dedup_orders", "dedup_activity",

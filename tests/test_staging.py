@@ -10,7 +10,7 @@ from martwright.session import local_path
 from martwright.sources import fixtures as fx
 from martwright.sources.landing import read_landing
 from helpers import orders_df, rows_of, ts
-from conftest import SMOKE
+from helpers import SMOKE
 
 
 def test_dedupe_keeps_lowest_id_in_both_arrival_orders(spark):
