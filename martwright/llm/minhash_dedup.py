@@ -17,9 +17,9 @@ r"""MinHash near-dedup with HyperMinHash registers.
    pairs.
 4. Buckets that still hold several components of different groups are
    compared likewise, in blocks, each pair in the first band that it shares.
-   Here only pairs whose collision-corrected estimate could still be 0.8 (4.5
-   standard deviations) are verified on the full sets, which loses a link at
-   0.8 with probability 3e-6 (normal approximation).
+   Here the collision-corrected estimate goes first: pairs that show fewer
+   equal registers than a pair at 0.8 does but once in 1e9 (Chernoff's bound,
+   a fiftieth of what the bands lose) are not verified on the full sets.
 
 Defined results: a null or empty text has no shingle and no link; a text
 shorter than a shingle is one shingle; repeated rows share component and
@@ -29,6 +29,7 @@ gives no rows; other columns are not read.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,6 +48,8 @@ SIMILARITY_PERCENT = 80
 #: Rows of a bucket or group, and their shingles, in one part of a block.
 BLOCK_ROWS = 2048
 BLOCK_SHINGLES = 2_000_000
+#: Probability at which the estimate may rule out a pair at the threshold.
+MISSED = 1e-9
 _SEEDS = mix(np.arange(1, TABLES + 1, dtype=np.uint64))
 
 FEATURES = "doc_id long, n_shingles long, k1 long, k2 long, sig binary"
@@ -151,18 +154,32 @@ def first_band(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return ((x == band_keys(b)) & (x != -1)).argmax(1)
 
 
+@functools.cache
+def fewest_equal(percent: int) -> np.ndarray:
+    """By number of filled registers: the fewest equal ones that a pair at
+    ``percent`` may show.  Fewer has a probability under MISSED by Chernoff's
+    bound, exp(-n KL(x / n || percent))."""
+    p, out = percent / 100, np.zeros(REGISTERS + 1, np.int64)
+    for n in range(1, REGISTERS + 1):
+        x = np.arange(n + 1) / n
+        with np.errstate(divide="ignore", invalid="ignore"):
+            kl = (np.where(x > 0, x * np.log(x / p), 0)
+                  + (np.where(x < 1, (1 - x) * np.log((1 - x) / (1 - p)), 0) if p < 1 else np.where(x < 1, np.inf, 0)))
+        out[n] = np.argmax((n * kl <= -np.log(MISSED)) | (x >= p))
+    return out
+
+
 def may_match(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, percent: int) -> tuple:
-    """(estimate, whether similarity ``percent`` is still possible) of rows
-    of registers; a and b broadcast against each other on the leading axes."""
+    """(collision-corrected estimate, whether similarity ``percent`` is still
+    possible) of rows of registers; a and b broadcast against each other on
+    the leading axes."""
     filled = ((a != EMPTY) | (b != EMPTY)).sum(-1)
     same = ((a == b) & (a != EMPTY)).sum(-1)
     ratio = np.minimum(na, nb) / np.maximum(na, nb)
     chance = 0.169919487159739 * 2.0**-MANTISSA * 4 * ratio / (1 + ratio) ** 2
     estimate = (same / np.maximum(filled, 1) - chance) / (1 - chance)
-    want = percent / 100
-    slack = 4.5 * np.sqrt(want * (1 - want) / np.maximum(filled, 1))
-    # the smaller set's size bounds the similarity exactly
-    return estimate, (estimate >= want - slack) & (100 * np.minimum(na, nb) >= percent * np.maximum(na, nb))
+    # (chance collisions only raise ``same``); the sizes bound the similarity exactly
+    return estimate, (same >= fewest_equal(percent)[filled]) & (100 * np.minimum(na, nb) >= percent * np.maximum(na, nb))
 
 
 def full_sets(docs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:

@@ -116,6 +116,7 @@ def anchors(words: Words, width: int = WIDTH) -> dict[str, np.ndarray]:
     valid = (text_of[:m] == text_of[width - 1:]) & ~run[:m]
     at = np.arange(m + reach)
     core_name = seq.names(at, at + core)
+    spans = Sequences(words.other)
     # a symbol must start 2 ** ROUNDS - 1 words inside its surroundings
     value = np.where(symbol_starts(key, text_of)[at + 2**ROUNDS - 1], core_name, _LAST)
     index, step = at, 1
@@ -131,12 +132,12 @@ def anchors(words: Words, width: int = WIDTH) -> dict[str, np.ndarray]:
     lo, place = windows[head], index[head]
     n = np.diff(np.append(head, len(windows)))
     with np.errstate(over="ignore"):
-        span = mix(seq.names(lo, lo + n - 1 + width) + (place - lo).astype(np.uint64))
+        span = mix(spans.names(lo, lo + n - 1 + width) + (place - lo).astype(np.uint64))
         runs = np.flatnonzero(run_head)
         lo = np.concatenate([lo, runs])
         text = text_of[lo]
         name = np.concatenate([core_name[place], mix(key[runs] ^ _RUN)])
-        span = np.concatenate([span, mix(key[runs])])
+        span = np.concatenate([span, mix(words.other[runs])])
         first = np.unique(combine(combine(name, span), text.astype(np.uint64)), return_index=True)[1]
     again = np.ones(len(lo), bool)
     again[first] = False
@@ -196,7 +197,7 @@ def window_rows(docs: DataFrame, firsts: DataFrame, width: int = WIDTH) -> DataF
                 start = w.first[row] + lo
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(name, pa.int64()),
-                     pa.array(Sequences(w.key).names(start, start + width).view(np.int64)),
+                     pa.array(Sequences(w.other).names(start, start + width).view(np.int64)),
                      part.column(id_at).cast(pa.int64()).take(pa.array(row, pa.int64())),
                      pa.array(lo.astype(np.int32))], ["name", "window", "doc_id", "lo"])
 

@@ -13,8 +13,10 @@ import re
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 
-from .words import Words
+from .words import Words, mix
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -142,7 +144,8 @@ class KeyTable:
 
 class Encoder:
     """Ids of words, remembered for up to ``max_known`` distinct words (about
-    40 bytes a word)."""
+    60 bytes a word).  A word found by its hash counts as known only if its
+    bytes are the same."""
 
     _shared: dict[int, Encoder] = {}
 
@@ -163,8 +166,14 @@ class Encoder:
         self.table = KeyTable()
         self.flat = np.zeros(1 << 16, np.uint32)
         self.at = np.zeros(1 << 14, np.int64)
-
-    def _learn(self, ids: list[list[int]], keys: np.ndarray):
+        self.spelt = pa.chunked_array([pa.array([], pa.large_binary())])
+
+    def _learn(self, ids: list[list[int]], keys: np.ndarray, words: pa.Array):
+        # a few growing arrays rather than one per call
+        chunks = [*self.spelt.chunks, words]
+        while len(chunks) > 1 and len(chunks[-2]) < 2 * len(chunks[-1]):
+            chunks[-2:] = [pa.concat_arrays(chunks[-2:])]
+        self.spelt = pa.chunked_array(chunks)
         size, n = self.table.size, np.fromiter(map(len, ids), np.int64, len(ids))
         used, total = int(self.at[size]), int(n.sum())
         while used + total > len(self.flat):
@@ -177,15 +186,25 @@ class Encoder:
 
     def encode(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, where each text's ids begin; one more at the end)."""
-        keys, first, inverse = np.unique(words.key, return_index=True, return_inverse=True)
+        keys = words.keys[:, 0]
         slot = self.table.find(keys)
+        found = np.flatnonzero(slot >= 0)
+        if len(found):
+            same = pc.equal(self.spelt.take(pa.array(slot[found])), words.distinct.take(pa.array(found)))
+            other = found[~np.asarray(same)]
+            if len(other):  # another word of this hash is known: one more entry that only this call uses
+                slot[other] = -1
+                keys = keys.copy()
+                keys[other] = mix(keys[other] ^ words.keys[other, 1])
         if self.table.size + (slot < 0).sum() > self.max_known:
             self._forget()
             slot[:] = -1
         new = np.flatnonzero(slot < 0)
         if len(new):
             slot[new] = self.table.size + np.arange(len(new))
-            self._learn(self.words.encode(words.take(first[new]).to_pylist()), keys[new])
+            spelt = words.distinct.take(pa.array(new))
+            self._learn(self.words.encode(spelt.cast(pa.large_string()).to_pylist()), keys[new], spelt)
+        inverse = words.code
         begin = self.at[slot]
         n = (self.at[slot + 1] - begin)[inverse]
         begin = begin[inverse]

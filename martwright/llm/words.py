@@ -5,8 +5,9 @@ splitting the UTF-8 bytes gives the same words as splitting the code points.
 A batch is cut into chunks of a few MB (:func:`chunks`), which bounds the
 memory of the arrays below whatever the batch holds; a text is never cut.
 
-Word and n-gram keys are 64-bit hashes from fixed tables, hence equal on
-every executor and in every retry.
+A batch's distinct words are found by their bytes and hashed by 128-bit
+XXH3 with a fixed seed, so that keys are equal on every executor and in every
+retry and no sum over positions decides which words are equal.
 """
 
 from __future__ import annotations
@@ -16,17 +17,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 U64 = np.uint64
 CHUNK_BYTES = 1 << 20
-_BLOCK = 1 << 21
+_SEED = 0x6D617274
 
 
 def _odd_constants(n: int, seed: int) -> np.ndarray:
     return np.random.default_rng(seed).integers(1, 2**63, n, dtype=np.uint64) * U64(2) + U64(1)
 
 
-_BYTE_VALUE = _odd_constants(256, 20_011)
 _BASE, _GAMMA, _M1, _M2 = (U64(x) for x in (
     0xD1342543DE82EF95, 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 _IS_SPACE = np.zeros(256, bool)
@@ -34,11 +35,6 @@ _IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER_ASCII = np.arange(256, dtype=np.uint8)
 LOWER_ASCII[65:91] += 32
 
-with np.errstate(over="ignore"):
-    _POWERS = np.concatenate([[U64(1)], np.full(_BLOCK, _BASE)]).cumprod(dtype=np.uint64)
-    _INV_BASE = U64(pow(int(_BASE), -1, 1 << 64))
-    _INV_POWERS = np.concatenate([[U64(1)], np.full(_BLOCK, _INV_BASE)]).cumprod(dtype=np.uint64)
-
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective finaliser: every input bit reaches every output bit."""
@@ -59,8 +55,9 @@ class Words:
 
     data: the texts' bytes, one after the other; text_at: where text i begins
     (one more entry at the end); start, end: byte range of each word; first:
-    index of text i's first word (one more entry at the end); key: 64-bit
-    hash of each word.
+    index of text i's first word (one more entry at the end); key, other: two
+    independent 64-bit hashes of each word; code: each word's index in
+    ``distinct``, whose hashes are ``keys``.
     """
 
     data: np.ndarray
@@ -69,6 +66,10 @@ class Words:
     end: np.ndarray
     first: np.ndarray
     key: np.ndarray
+    other: np.ndarray | None = None
+    code: np.ndarray | None = None
+    distinct: pa.LargeBinaryArray | None = None
+    keys: np.ndarray | None = None
 
     @property
     def counts(self) -> np.ndarray:
@@ -89,25 +90,24 @@ class Words:
         return pa.LargeStringArray.from_buffers(len(start), pa.py_buffer(ends), pa.py_buffer(body)).cast(pa.string())
 
 
-def _power(table: np.ndarray, base: np.uint64, at: np.ndarray) -> np.ndarray:
-    """base ** at; beyond the table by splitting the exponent."""
-    if not len(at) or at.max() <= _BLOCK:
-        return table[at]
-    high = np.array([pow(int(base), int(q) * _BLOCK, 1 << 64) for q in range(int(at.max()) // _BLOCK + 1)],
-                    dtype=np.uint64)
-    return table[at % _BLOCK] * high[at // _BLOCK]
+def distinct_words(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple:
+    """(code of each word, distinct words, their hashes (n, 2)); the byte
+    ranges are in order and do not overlap."""
+    edge = np.zeros(len(data) + 1, np.int8)
+    np.add.at(edge, start, 1)
+    np.add.at(edge, end, -1)
+    body = data[np.cumsum(edge[:-1], dtype=np.int8).view(bool)]
+    ends = np.concatenate([[0], np.cumsum(end - start)]).astype(np.int64)
+    spelt = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(ends), pa.py_buffer(body)])
+    found = spelt.dictionary_encode()
+    digests = b"".join([xxhash.xxh3_128_digest(w, _SEED) for w in found.dictionary.to_pylist()])
+    return found.indices.to_numpy(), found.dictionary, np.frombuffer(digests, np.uint64).reshape(-1, 2)
 
 
 def word_keys(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hash of each byte range: a polynomial over tabulated bytes, taken as a
-    difference of prefix sums and shifted back to exponent 0, then mixed."""
-    n = len(data)
-    powers = _POWERS[:n] if n <= _BLOCK else _power(_POWERS, _BASE, np.arange(n))
-    sums = np.empty(n + 1, np.uint64)
-    sums[0] = 0
-    np.cumsum(_BYTE_VALUE[data] * powers, out=sums[1:])
-    return mix((sums[end] - sums[start]) * _power(_INV_POWERS, _INV_BASE, start)
-               + (end - start).astype(np.uint64) * _GAMMA)
+    """64-bit hash of each byte range."""
+    code, _, keys = distinct_words(data, start, end)
+    return keys[code, 0]
 
 
 def split_words(texts: pa.Array, lower: bool = False) -> Words:
@@ -115,7 +115,8 @@ def split_words(texts: pa.Array, lower: bool = False) -> Words:
     texts = texts.cast(pa.large_string()).fill_null("")
     if len(texts) == 0:
         z = np.zeros(0, np.int64)
-        return Words(np.zeros(0, np.uint8), np.zeros(1, np.int64), z, z, np.zeros(1, np.int64), z.view(np.uint64))
+        return Words(np.zeros(0, np.uint8), np.zeros(1, np.int64), z, z, np.zeros(1, np.int64), z.view(np.uint64),
+                     z.view(np.uint64), z, pa.array([], pa.large_binary()), np.zeros((0, 2), np.uint64))
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
     body = texts.buffers()[2]
     data = (np.frombuffer(body, np.uint8) if body is not None and body.size else np.zeros(0, np.uint8))
@@ -134,9 +135,8 @@ def split_words(texts: pa.Array, lower: bool = False) -> Words:
     after[-1:] = False
     after[:-1] = inside[1:]
     end = np.flatnonzero(inside & (~after | cut[1:])) + 1
-    with np.errstate(over="ignore"):
-        key = word_keys(data, start, end)
-    return Words(data, at, start, end, np.searchsorted(start, at), key)
+    code, distinct, keys = distinct_words(data, start, end)
+    return Words(data, at, start, end, np.searchsorted(start, at), keys[code, 0], keys[code, 1], code, distinct, keys)
 
 
 def fresh(name: str, columns: list[str]) -> str:

@@ -43,3 +43,13 @@ def connected(nodes, links):
         a, b = find(a), find(b)
         up[max(a, b)] = min(a, b)
     return {n: find(n) for n in nodes}
+
+
+def crafted_words(sizes=(1024, 2048, 4096), letters="ab"):
+    """Pairs of long words that every polynomial hash modulo 2 ** 64 takes
+    for equal (the Thue-Morse word and its complement)."""
+    out = []
+    for n in sizes:
+        bits = [bin(i).count("1") % 2 for i in range(n)]
+        out += ["".join(letters[b] for b in bits), "".join(letters[1 - b] for b in bits)]
+    return out

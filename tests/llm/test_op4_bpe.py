@@ -1,7 +1,7 @@
 import hashlib
 
 import numpy as np
-from llm_helpers import CLASHING, documents, table
+from llm_helpers import CLASHING, crafted_words, documents, table
 
 from martwright.llm import bpe
 from martwright.llm.tokens import Encoder, load, vocabulary_json
@@ -42,15 +42,36 @@ def test_odd_texts_ids_and_decoded(spark):
 
 
 def test_small_blocks(spark, monkeypatch):
+    import pyarrow as pa
     monkeypatch.setattr(bpe, "BLOCK_BYTES", 20_000)
-    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    parts = [[]]
     rows = table("documents", columns="doc_id, text")
-    import pyarrow as pa
     batch = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows])], ["doc_id", "text"])
-    parts = list(bpe._blocks(iter([batch])))
-    numbers = [bpe._slots(p)[0] for p in parts]
-    assert len(set(numbers)) == len(parts) >= 1 and docs.count() == len(rows)
+    numbers = [bpe._slots(w)[0] for _, w in bpe._blocks(iter([batch]))]
+    assert len(set(numbers)) == len(numbers) > 5
+
+
+def test_blocks_of_the_same_words_in_another_order(spark):
+    rows = [(1, "alpha beta"), (2, "beta alpha"), (3, "alpha beta")]
+    check(rows, {r.doc_id: (r.n_tokens, hashlib.sha256(r.ids).hexdigest(), hashlib.sha256(r.decoded.encode()).hexdigest())
+                 for r in bpe.encode_decode(documents(spark, rows).repartition(3, "doc_id")).collect()})
+
+
+def test_crafted_words_keep_their_own_ids(spark):
+    rows = [(i, f"{w} end") for i, w in enumerate(crafted_words())]
+    got = {r.doc_id: (r.n_tokens, hashlib.sha256(r.ids).hexdigest(), hashlib.sha256(r.decoded.encode()).hexdigest())
+           for r in bpe.encode_decode(documents(spark, rows).coalesce(1)).collect()}
+    check(rows, got)
+    assert len({v[1] for v in got.values()}) == len(rows)
+
+
+def test_a_known_hash_with_other_bytes_is_another_word():
+    import pyarrow as pa
+    encoder, tokenizer = Encoder(vocabulary_json()), load(vocabulary_json())
+    for text in ("one two", "three four", "one three"):
+        w = split_words(pa.array([text]))
+        w.keys = np.column_stack([np.full(len(w.keys), 7, np.uint64), w.keys[:, 1]])  # all hashes equal
+        ids, _ = encoder.encode(w)
+        assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
 def test_the_worker_table_is_bounded():

@@ -1,6 +1,6 @@
 import numpy as np
 import pytest
-from llm_helpers import CLASHING, documents, table, words
+from llm_helpers import CLASHING, crafted_words, documents, table, words
 
 from martwright.llm import substring_dedup as S
 
@@ -85,3 +85,11 @@ def test_edges(spark):
     assert S.dedup_substrings(df.limit(0)).collect() == []
     kept = {r.doc_id: (r.text, r.n_chars) for r in S.stage(spark, df.where("doc_id < 6"), "").collect()}
     assert kept == {1: (p, len(p)), 2: ("a b", 3), 3: (None, 0), 4: ("", 0), 5: ("one two", 7)}
+
+
+def test_crafted_words_are_told_apart(spark):
+    rest = [f"p{i}" for i in range(19)]
+    rows = [(i, " ".join([*rest[:9], w, *rest[9:]])) for i, w in enumerate(crafted_words())]
+    rows.append((10, rows[3][1]))
+    got = S.dedup_substrings(documents(spark, rows)).collect()
+    assert {r.doc_id: (r.n_words, r.kept_text) for r in got} == brute(rows)

@@ -2,7 +2,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
-from llm_helpers import CLASHING, documents, table
+from llm_helpers import CLASHING, crafted_words, documents, table
 
 from martwright.llm import packing as P
 from martwright.llm.tokens import load, vocabulary_json
@@ -63,3 +63,8 @@ def test_edges(spark):
     packed = P.pack(df).collect()
     assert check(rows, packed) == 3
     assert P.pack(df.limit(0)).collect() == []
+
+
+def test_crafted_words_keep_their_own_ids(spark):
+    rows = list(enumerate(crafted_words()))
+    check(rows, P.pack(documents(spark, rows).coalesce(1)).collect())

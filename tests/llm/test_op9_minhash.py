@@ -2,7 +2,7 @@ import itertools
 
 import numpy as np
 import pyarrow as pa
-from llm_helpers import CLASHING, connected, documents, table, words
+from llm_helpers import CLASHING, connected, crafted_words, documents, table, words
 
 from martwright.llm import minhash_dedup as M
 from martwright.llm.components import components
@@ -127,3 +127,14 @@ def test_blocks_are_decided_by_exact_counts(spark):
     full = spark.createDataFrame([(i, 1000, bytearray(g), bytearray(k.tobytes())) for i, (g, k) in enumerate(zip(sig, sets))], schema)
     groups = spark.createDataFrame([(0, 0), (0, 1)], "hub long, node long")
     assert sorted(map(tuple, M.group_links(groups, full, 80).collect())) == [(1, 0)]
+
+
+def test_crafted_words_are_told_apart(spark):
+    rows = [(i, f"{w} {w}") for i, w in enumerate(crafted_words())]
+    rows.append((10, rows[3][1]))
+    assert got(M.near_duplicates(documents(spark, rows), 2)) == brute(rows, 2)
+
+
+def test_estimate_rules_out_only_what_is_all_but_impossible():
+    least = M.fewest_equal(80)
+    assert least[:13].max() == 0 and least[128] == 71 and (np.diff(least) >= 0).all()
