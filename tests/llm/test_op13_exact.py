@@ -1,0 +1,70 @@
+import hashlib
+from collections import defaultdict
+
+import duckdb
+import pytest
+from llm_helpers import CLASHING, SMALL, documents, table
+
+from martwright.llm import exact_dedup as X
+
+
+def brute(rows, largest=True):
+    """Sorted rows of the result; of repeated rows one is kept."""
+    groups = defaultdict(list)
+    for i, t in rows:
+        groups[t or ""].append(i)
+    out = []
+    for t, ids in groups.items():
+        known = [i for i in ids if i is not None]
+        keep = (max(known) if largest else min(known)) if known else None
+        first = ids.index(keep)
+        sha = hashlib.sha256(t.encode()).hexdigest()
+        out += [(i, keep, len(ids), k == first, sha) for k, i in enumerate(ids)]
+    return sorted(out, key=repr)
+
+
+def got(df):
+    return sorted(((r.doc_id, r.keep_id, r.group_size, r.kept, bytes(r.digest).hex()) for r in df.collect()), key=repr)
+
+
+def test_documents_against_brute_force_and_sql(spark):
+    rows = table("documents", columns="doc_id, text")
+    out = X.op13_exact_dedup(spark, SMALL)
+    assert sorted(map(tuple, out.collect()), key=repr) == brute(rows)
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{SMALL}/documents.parquet'")
+    assert sorted(con.execute(X.oracle()).fetchall(), key=repr) == brute(rows)
+
+
+@pytest.mark.parametrize("fan", [2, 16])
+def test_many_partitions_and_a_hot_text(spark, fan, monkeypatch):
+    monkeypatch.setattr(X, "LIST_ROWS", 3)
+    rows = [(i, "hot" if i % 3 == 0 else f"t{i % 50}") for i in range(400)]
+    df = documents(spark, rows).repartition(37)
+    assert got(X.duplicates(df, fan=fan)) == brute(rows)
+    assert got(X.duplicates(df, largest=False, fan=fan)) == brute(rows, largest=False)
+
+
+def test_rounds_leave_one_entry_per_text(spark):
+    rows = [(i, f"t{i % 5}") for i in range(200)]
+    runs = X.digest_runs(documents(spark, rows).repartition(20))
+    runs = spark.createDataFrame(runs.collect(), runs.schema)
+    merged = X.tree_merge(runs, 20, fan=4).collect()
+    assert len(merged) == 5 and sum(r.n for r in merged) == 200
+    assert sorted(r.keep for r in merged) == [195, 196, 197, 198, 199]
+
+
+def test_edges(spark):
+    long = "word " * 400_000
+    rows = [(1, None), (2, ""), (3, "a"), (3, "a"), (None, "a"), (None, "b"), (None, "b"), (4, "A"), (5, "a "), (6, long),
+            (7, long), (8, "é"), (9, "é"), (2, "")]
+    df = documents(spark, rows, CLASHING)
+    out = X.duplicates(df.repartition(3))
+    assert got(out) == brute(rows)
+    assert out.columns == ["doc_id", "keep_id", "group_size", "kept", "digest"]
+    assert got(X.duplicates(df.limit(0))) == []
+    kept = X.dedup(df)
+    assert kept.columns == df.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted(
+        [(2, ""), (3, "a"), (None, "b"), (4, "A"), (5, "a "), (7, long), (8 + 1, "é")], key=repr)
+    assert X.dedup(df.limit(0)).collect() == []
