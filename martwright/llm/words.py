@@ -92,10 +92,10 @@ class Words:
 
 def distinct_words(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple:
     """(code of each word, distinct words, their hashes (n, 2)); the byte
-    ranges are in order and do not overlap."""
+    ranges are in order, not empty and do not overlap."""
     edge = np.zeros(len(data) + 1, np.int8)
-    np.add.at(edge, start, 1)
-    np.add.at(edge, end, -1)
+    edge[start] += 1  # (starts are distinct, and so are ends)
+    edge[end] -= 1
     body = data[np.cumsum(edge[:-1], dtype=np.int8).view(bool)]
     ends = np.concatenate([[0], np.cumsum(end - start)]).astype(np.int64)
     spelt = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(ends), pa.py_buffer(body)])
