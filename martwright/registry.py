@@ -708,22 +708,8 @@ ACTIVITY_UNTIL = "2024-01-20"
 ACTIVITY_FROM = "2024-01-15"
 
 
-@register("increment_end_to_end", O.with_ctes(
-    *_ctes(O.ITEM_CATEGORIES,
-           f"""final_orders as (
-  select {O.ORDER_COLS},
-    case when date_time >= timestamp '{INITIAL_UNTIL}' or date_time = timestamp '{INCREMENT_DS}'
-         then status else 'shipped' end as status
-  from fx_orders)""",
-           O.D_ITEM.replace("from user_orders_log", "from final_orders"),
-           O.sales_cte("f_daily_sales", "final_orders")) + O.retention_ctes("f_daily_sales"),
-    body="select * from retention"))
-def q_increment_end_to_end(spark, sf):
-    """C4 (after a C3 setup): an initial load up to the end of 2000 (every
-    row 'shipped', refunded copies de-duplicated away), then one increment
-    with all rows from 2000-12-01 on (statuses kept).  The business day is
-    deleted and reloaded, overlapping days keep the earlier rows, later days
-    are new; facts are refreshed for the touched days and retention in full."""
+def _land_increment(spark, sf):
+    """A warehouse loaded up to the end of 2000 and the increment's landed extracts."""
     land = scratch_path(spark, "landing")
     wh = _warehouse(spark)
     orders = _orders(spark, sf)
@@ -745,11 +731,67 @@ def q_increment_end_to_end(spark, sf):
                   landing_path(land, "user_activity_log", INCREMENT_DS, increment=True))
     write_landing(research.where(F.col("date_time") >= _ts(INCREMENT_FROM)),
                   landing_path(land, "customer_research", INCREMENT_DS, increment=True))
+    return land, wh, cats
+
+
+@register("increment_end_to_end", O.with_ctes(
+    *_ctes(O.ITEM_CATEGORIES,
+           f"""final_orders as (
+  select {O.ORDER_COLS},
+    case when date_time >= timestamp '{INITIAL_UNTIL}' or date_time = timestamp '{INCREMENT_DS}'
+         then status else 'shipped' end as status
+  from fx_orders)""",
+           O.D_ITEM.replace("from user_orders_log", "from final_orders"),
+           O.sales_cte("f_daily_sales", "final_orders")) + O.retention_ctes("f_daily_sales"),
+    body="select * from retention"))
+def q_increment_end_to_end(spark, sf):
+    """C4 (after a C3 setup): an initial load up to the end of 2000 (every
+    row 'shipped', refunded copies de-duplicated away), then one increment
+    with all rows from 2000-12-01 on (statuses kept).  The business day is
+    deleted and reloaded, overlapping days keep the earlier rows, later days
+    are new; facts are refreshed for the touched days and retention in full."""
+    land, wh, cats = _land_increment(spark, sf)
     res = jobs.daily_increment(spark, land, wh, INCREMENT_DS, categories=cats)
     assert res.status == "loaded"
     return wh.read("f_customer_retention")
 
 
+class _Lost(RuntimeError):
+    pass
+
+
+class _LossyWarehouse(Warehouse):
+    """Loses the job inside the next write of one table, after some files."""
+
+    lost: str | None = None
+
+    def _write(self, name, df):
+        if name == self.lost:
+            super()._write(name, df.limit(1))
+            raise _Lost(name)
+        return super()._write(name, df)
+
+
+@register("increment_after_lost_write", ORACLE["increment_end_to_end"])
+def q_increment_after_lost_write(spark, sf):
+    """The increment of ``increment_end_to_end`` is lost inside
+    the write of staging, of the customer state and of the retention groups
+    before it runs to its end; the fact is the same."""
+    land, wh, cats = _land_increment(spark, sf)
+    for table in ("user_orders_log", "customer_cohorts", "retention_groups"):
+        lossy = _LossyWarehouse(spark, wh.root)
+        lossy.lost = table
+        try:
+            jobs.daily_increment(spark, land, lossy, INCREMENT_DS, categories=cats)
+        except _Lost:
+            pass
+        else:
+            raise AssertionError(f"{table} was not written")
+    wh = Warehouse(spark, wh.root)
+    jobs.daily_increment(spark, land, wh, INCREMENT_DS, categories=cats)
+    return wh.read("f_customer_retention")
+
+
 BACKFILL_DAYS = ["2001-07-01", "2001-07-02", "2001-07-03"]
 ORDERS_ONLY = ("user_orders_log",)
 

@@ -121,7 +121,9 @@ RETENTION_GROUPS = _schema(
     ("first_day", D),
 )
 
-CUSTOMER_COHORTS = _schema(("customer_id", I), ("first_buy", D), ("cohort", S))
+#: State of every customer in the fact: first day that founds a cohort (NULL:
+#: none) and the periods that hold the customer's groups ('' for the NULL one).
+CUSTOMER_COHORTS = _schema(("customer_id", I), ("first_buy", D), ("cohort", S), ("periods", T.ArrayType(T.StringType())))
 
 #: Per-staging-partition latest rows feeding D2-D4 (key, attributes, and the
 #: winning row's date_time and id).
