@@ -432,6 +432,19 @@ def op9_minhash_dedup(spark, sf_dir: str) -> DataFrame:
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: one document of each group of near copies stays."""
-    gone = near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """Pipeline stage: one document of each group of near copies stays, also
+    of rows that repeat a doc_id with its text and of rows without doc_id
+    (which stay only if no linked row has a doc_id)."""
+    known = docs.where("doc_id is not null")
+    top = known.agg(F.max("doc_id")).first()[0] or 0
+    # rows without doc_id take part under numbers above all others
+    rest = stored(docs.where("doc_id is null").withColumn("doc_id", F.lit(top + 1) + F.monotonically_increasing_id()), "no-id")
+    numbered = known.unionByName(rest.select(*docs.columns))
+    gone = near_duplicates(numbered).where(~F.col("kept")).select("doc_id").distinct()
+    kept = numbered.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    repeated = stored(docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
+    if not repeated.isEmpty():
+        kept = kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(
+            kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).select(*docs.columns))
+    shown = F.when(F.col("doc_id") <= top, F.col("doc_id")).cast(docs.schema["doc_id"].dataType).alias("doc_id")
+    return kept.select(*(shown if c == "doc_id" else F.col(c) for c in docs.columns))

@@ -27,9 +27,11 @@ documents costs each document one row per anchor and merges before the
 shuffle; no group is collected but a document's own rows.
 
 Defined results: a null or empty text has no words; texts under ``width``
-words lose nothing; rows that repeat a doc_id are the same document (none of
-them starts earlier); rows without doc_id lose nothing and hide nothing; an
-empty table gives no rows; all columns of the input are kept.
+words lose nothing; of rows that repeat a doc_id none starts earlier than
+another, whether their texts are equal or not, and each is judged by its own
+text (what is found belongs to doc_id and text hash, and a place beyond a text is
+an error); rows without doc_id lose nothing and hide nothing; an empty table
+gives no rows; all columns of the input are kept.
 """
 
 from __future__ import annotations
@@ -38,7 +40,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import stored, with_text
@@ -51,7 +53,7 @@ _RUN, _LAST = np.uint64(0x5851F42D4C957F2D), np.uint64(0xFFFFFFFFFFFFFFFF)
 _STEP = np.uint64(0xDA942042E4DD58B5)
 
 #: ``at`` is first window * 256 + windows * 2 + (1 if not the document's first).
-ANCHORS = "name long, span long, doc_id long, at long"
+ANCHORS = "name long, span long, doc_id long, tid long, at long"
 
 
 class Sequences:
@@ -146,7 +148,7 @@ def anchors(words: Words, width: int = WIDTH) -> dict[str, np.ndarray]:
 
 
 def anchor_rows(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """(name, span, doc_id, at) of every anchor."""
+    """(name, span, doc_id, tid, at) of every anchor; tid: the text's hash."""
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -154,10 +156,19 @@ def anchor_rows(docs: DataFrame, width: int = WIDTH) -> DataFrame:
                 a = anchors(split_words(part.column(1)), width)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(a["name"].view(np.int64)), pa.array(a["span"].view(np.int64)),
-                     part.column(0).cast(pa.int64()).take(pa.array(a["text"])),
-                     pa.array(a["lo"] * 256 + a["n"] * 2 + a["again"])], ["name", "span", "doc_id", "at"])
+                     part.column(0).cast(pa.int64()).take(pa.array(a["text"])), part.column(2).take(pa.array(a["text"])),
+                     pa.array(a["lo"] * 256 + a["n"] * 2 + a["again"])], ["name", "span", "doc_id", "tid", "at"])
 
-    return docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(compute, ANCHORS)
+    return docs.where("doc_id is not null").select("doc_id", "text", _tid()).mapInArrow(compute, ANCHORS)
+
+
+def _tid() -> Column:
+    return F.xxhash64("text").alias("tid")
+
+
+def _inside(words: Words, row: np.ndarray, end: np.ndarray):
+    if (end > words.counts[row]).any():
+        raise ValueError("a repeat ends beyond its text: the input gave other rows when it was read again")
 
 
 def _lists(column: pa.Array) -> tuple[np.ndarray, dict[str, np.ndarray]]:
@@ -176,14 +187,15 @@ def _places(first: np.ndarray, n: np.ndarray) -> np.ndarray:
 def _listed(docs: DataFrame, rows: DataFrame, field: list[str]) -> DataFrame:
     """docs and, last, the list of their rows (null: none).  Always the same
     columns in the same join, so that Spark deals the texts out once."""
-    key, listed = fresh("_id", docs.columns), fresh("_list", docs.columns)
-    lists = rows.groupBy(F.col("doc_id").alias(key)).agg(F.collect_list(F.struct(*field)).alias(listed))
-    return docs.join(lists, F.col("doc_id") == F.col(key), "left").drop(key)
+    key, tid, listed = (fresh(c, docs.columns) for c in ("_id", "_tid", "_list"))
+    # a set: repeated rows send the same
+    lists = rows.groupBy(F.col("doc_id").alias(key), F.col("tid").alias(tid)).agg(F.collect_set(F.struct(*field)).alias(listed))
+    return docs.join(lists, (F.col("doc_id") == F.col(key)) & (F.xxhash64("text") == F.col(tid)), "left").drop(key, tid)
 
 
 def window_rows(docs: DataFrame, firsts: DataFrame, width: int = WIDTH) -> DataFrame:
-    """(name, window, doc_id, lo) of every window under the given anchors
-    (doc_id, name, at)."""
+    """(name, window, doc_id, tid, lo, again) of every window under the given
+    anchors (doc_id, tid, name, at); again: whether the text has it before."""
     id_at, text_at = docs.columns.index("doc_id"), docs.columns.index("text")
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,19 +206,29 @@ def window_rows(docs: DataFrame, firsts: DataFrame, width: int = WIDTH) -> DataF
                 n = a["at"] // 2 % 128
                 lo = _places(a["at"] // 256, n)
                 row, name = np.repeat(row, n), np.repeat(a["name"], n)
+                _inside(w, row, lo + width)
                 start = w.first[row] + lo
+                window = Sequences(w.other).names(start, start + width).view(np.int64)
+                order = np.lexsort((lo, window, name, row))
+                new = np.ones(len(order), bool)
+                for x in (row, name, window):
+                    new[1:] &= x[order][1:] == x[order][:-1]
+                again = np.zeros(len(order), bool)
+                again[order[1:]] = new[1:]
+                spread = pa.array(row, pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(name, pa.int64()),
-                     pa.array(Sequences(w.other).names(start, start + width).view(np.int64)),
-                     part.column(id_at).cast(pa.int64()).take(pa.array(row, pa.int64())),
-                     pa.array(lo.astype(np.int32))], ["name", "window", "doc_id", "lo"])
+                    [pa.array(name, pa.int64()), pa.array(window), part.column(id_at).cast(pa.int64()).take(spread),
+                     part.column(tid_at).take(spread), pa.array(lo.astype(np.int32)), pa.array(again)],
+                    ["name", "window", "doc_id", "tid", "lo", "again"])
 
-    return _listed(docs, firsts, ["name", "at"]).mapInArrow(
-        compute, "name long, window long, doc_id long, lo int")
+    own = fresh("_own", docs.columns)
+    tid_at = len(docs.columns)
+    return _listed(docs.withColumn(own, _tid()), firsts, ["name", "at"]).mapInArrow(
+        compute, "name long, window long, doc_id long, tid long, lo int, again boolean")
 
 
 def repeated_windows(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """(doc_id, lo, n): windows lo .. lo + n - 1 of the document also start
+    """(doc_id, tid, lo, n): windows lo .. lo + n - 1 of the text also start
     earlier.  Windows inside a run of one word, but its first, are not listed."""
     rows = anchor_rows(docs, width)
     names = (rows.groupBy("name").agg(F.min("span").alias("s"), F.max("span").alias("t"),
@@ -214,19 +236,19 @@ def repeated_windows(docs: DataFrame, width: int = WIDTH) -> DataFrame:
              .where("c > 1").select("name", (F.col("s") == F.col("t")).alias("single"), "d"))
     # of names with one span, what is earliest already drops out here
     hits = stored(rows.join(names, "name").where("not single or doc_id > d or at % 2 = 1")
-                  .select("name", "span", "doc_id", "at", "single"), "anchors")
+                  .select("name", "span", "doc_id", "tid", "at", "single"), "anchors")
     several = hits.where("not single")
     spans = several.groupBy("name", "span").agg(F.min("doc_id").alias("d"))
     several = stored(several.join(spans, ["name", "span"])
-                     .select("name", "doc_id", "at", (F.expr("doc_id > d or at % 2 = 1")).alias("later")), "spans")
+                     .select("name", "doc_id", "tid", "at", (F.expr("doc_id > d or at % 2 = 1")).alias("later")), "spans")
     windows = window_rows(docs, several.where("not later"), width)
-    firsts = (windows.groupBy("name", "window").agg(F.min(F.struct("doc_id", "lo")).alias("first"), F.count(F.lit(1)).alias("c"))
+    firsts = (windows.groupBy("name", "window").agg(F.min("doc_id").alias("d"), F.count(F.lit(1)).alias("c"))
               .where("c > 1").drop("c"))
-    again = (windows.join(firsts, ["name", "window"])
-             .where("doc_id > first.doc_id or (doc_id = first.doc_id and lo > first.lo)")
-             .select("doc_id", "lo", F.lit(1).alias("n")))
-    whole = hits.where("single").select("doc_id", "at").unionByName(several.where("later").select("doc_id", "at"))
-    return again.unionByName(whole.selectExpr("doc_id", "cast(at div 256 as int) lo", "cast(at div 2 % 128 as int) n"))
+    again = (windows.join(firsts, ["name", "window"]).where("doc_id > d or again")
+             .select("doc_id", "tid", "lo", F.lit(1).alias("n")))
+    whole = (hits.where("single").select("doc_id", "tid", "at")
+             .unionByName(several.where("later").select("doc_id", "tid", "at")))
+    return again.unionByName(whole.selectExpr("doc_id", "tid", "cast(at div 256 as int) lo", "cast(at div 2 % 128 as int) n"))
 
 
 def dedup_substrings(docs: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -242,6 +264,7 @@ def dedup_substrings(docs: DataFrame, width: int = WIDTH) -> DataFrame:
             for part in chunks(batch, text_at):
                 w = split_words(part.column(text_at))
                 row, g = _lists(part.column(len(names)))
+                _inside(w, row, g["lo"] + g["n"] - 1 + width)
                 lo = w.first[row] + g["lo"]
                 edge = np.zeros(len(w.key) + 1, np.int64)
                 np.add.at(edge, lo, 1)

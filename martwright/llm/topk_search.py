@@ -20,8 +20,9 @@ split by size, nothing is broadcast, and every query meets every shard.
 
 Defined results: vectors that are null or hold null or non-finite components,
 and rows without vec_id, take no part; a shorter vector counts 0 for the
-components it lacks; rows of the query's vec_id are its own, and a repeated
-vec_id counts once (its smallest vector); ties go to the smaller vec_id; with
+components it lacks; all rows of the query's vec_id are its own; rows that
+repeat another vec_id are candidates each, and rows that repeat a query rank
+their candidates together, as in the SQL; ties go to the smaller vec_id; with
 fewer than k candidates all are returned; no query rows give no rows.  Scores
 are exact while sums of products stay under 2 ** 53.
 """
@@ -68,9 +69,8 @@ def quantised(vectors: DataFrame) -> DataFrame:
 
 
 def matrix(ids: np.ndarray, rows: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
-    """(ids, vectors) in order of id, each id once."""
+    """(ids, vectors) in order of id."""
     order = sorted(range(len(rows)), key=lambda i: (ids[i], rows[i]))
-    order = [i for k, i in enumerate(order) if k == 0 or ids[i] != ids[order[k - 1]]]
     out = np.zeros((len(order), width))
     for r, i in enumerate(order):
         x = np.frombuffer(rows[i], "<i8")
@@ -78,11 +78,11 @@ def matrix(ids: np.ndarray, rows: list[bytes], width: int) -> tuple[np.ndarray,
     return ids[order], out
 
 
-def max_score(query: np.ndarray, postings: np.ndarray, low: np.ndarray, high: np.ndarray, own: int, k: int) -> tuple:
+def max_score(query: np.ndarray, postings: np.ndarray, low: np.ndarray, high: np.ndarray, own: slice, k: int) -> tuple:
     """(rows, scores) of at least the k best rows, all ties included.
 
     postings: (terms, rows); low, high: a term's smallest and largest
-    component; own: the query's own row, or -1."""
+    component; own: the query's own rows."""
     n = postings.shape[1]
     a, b = query * low, query * high
     least, most = np.minimum(a, b), np.maximum(a, b)
@@ -90,7 +90,7 @@ def max_score(query: np.ndarray, postings: np.ndarray, low: np.ndarray, high: np
     order = order[query[order] != 0]
     left = np.concatenate([np.cumsum(most[order][::-1])[::-1], [0.0]])  # bound of the terms from each place on
     probe = np.unique(np.linspace(0, n - 1, min(n, PROBED)).astype(np.int64))
-    probe = probe[probe != own]
+    probe = probe[(probe < own.start) | (probe >= own.stop)]
     score = query @ postings[:, probe]
     threshold = np.partition(score, len(score) - k)[len(score) - k] if len(score) >= k else -np.inf
     # essential: until a row at its lower bounds could no longer compete
@@ -98,8 +98,7 @@ def max_score(query: np.ndarray, postings: np.ndarray, low: np.ndarray, high: np
     essential = int(np.argmax(floor < threshold)) if (floor < threshold).any() else len(order)
     essential = max(essential, min(STEP, len(order)))
     partial = query[order[:essential]] @ postings[order[:essential]]
-    if own >= 0:
-        partial[own] = -np.inf
+    partial[own] = -np.inf
     rows = np.flatnonzero(partial + left[essential] >= threshold)
     partial, at = partial[rows], essential
     while at < len(order) and len(rows) > k:
@@ -123,10 +122,11 @@ def top_products(vectors: DataFrame, queries: DataFrame, k: int = TOP, shard_row
     query; both inputs are (vec_id, q)."""
     n, m = vectors.count(), queries.count()
     shards, blocks = max(1, -(-n // shard_rows)), max(1, -(-m // query_rows))
-    deal = lambda count: F.pmod(F.xxhash64("vec_id"), F.lit(count)).cast("int")
+    # by row, whatever vec_id repeats
+    deal = lambda count: F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(count)).cast("int")
     every = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
-    c = vectors.select("vec_id", "q", deal(shards).alias("shard"), every(blocks).alias("block"))
-    q = queries.select("vec_id", "q", deal(blocks).alias("block"), every(shards).alias("shard"))
+    c = vectors.withColumn("shard", deal(shards)).select("vec_id", "q", "shard", every(blocks).alias("block"))
+    q = queries.withColumn("block", deal(blocks)).select("vec_id", "q", "block", every(shards).alias("shard"))
 
     def search(candidates: pa.Table, wanted: pa.Table) -> pa.Table:
         out: list[tuple[int, int, int]] = []
@@ -135,10 +135,9 @@ def top_products(vectors: DataFrame, queries: DataFrame, k: int = TOP, shard_row
             width = max(len(r) for _, rows in sides for r in rows) // 8
             (ids, x), (query_ids, y) = (matrix(i, r, width) for i, r in sides)
             low, high, postings = x.min(0), x.max(0), np.ascontiguousarray(x.T)
-            place = np.searchsorted(ids, query_ids)
-            for query_id, query, p in zip(query_ids.tolist(), y, place.tolist()):
-                own = p if p < len(ids) and ids[p] == query_id else -1
-                rows, score = max_score(query, postings, low, high, own, k)
+            own = [np.searchsorted(ids, query_ids, side).tolist() for side in ("left", "right")]
+            for query_id, query, a, b in zip(query_ids.tolist(), y, *own):
+                rows, score = max_score(query, postings, low, high, slice(a, b), k)
                 best = np.lexsort((ids[rows], -score))[:k]
                 out += [(query_id, int(ids[rows[b]]), int(score[b])) for b in best]
         return pa.table([pa.array([r[i] for r in out], pa.int64()) for i in range(3)],

@@ -93,3 +93,14 @@ def test_crafted_words_are_told_apart(spark):
     rows.append((10, rows[3][1]))
     got = S.dedup_substrings(documents(spark, rows)).collect()
     assert {r.doc_id: (r.n_words, r.kept_text) for r in got} == brute(rows)
+
+
+def test_rows_that_share_a_doc_id_but_not_the_text(spark):
+    a, b = ([f"{c}{i}" for i in range(n)] for c, n in (("a", 200), ("b", 30)))
+    rows = [(1, " ".join(a)), (2, " ".join(a)), (2, " ".join(b)), (3, " ".join([*b, "x", "y", "z", "u"])),
+            (4, " ".join(b + b)), (4, " ".join(["q", *b, "r", *b])), (4, " ".join(b + b))]
+    got = S.dedup_substrings(documents(spark, rows).repartition(3)).collect()
+    assert sorted((r.doc_id, r.n_words, r.n_removed) for r in got) == [
+        (1, 200, 0), (2, 30, 0), (2, 200, 200), (3, 34, 30), (4, 60, 60), (4, 60, 60), (4, 62, 60)]
+    only = S.dedup_substrings(documents(spark, rows[4:]).repartition(2)).collect()  # no smaller doc_id
+    assert sorted((r.n_words, r.n_removed) for r in only) == [(60, 30), (60, 30), (62, 30)]

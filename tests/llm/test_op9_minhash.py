@@ -138,3 +138,17 @@ def test_crafted_words_are_told_apart(spark):
 def test_estimate_rules_out_only_what_is_all_but_impossible():
     least = M.fewest_equal(80)
     assert least[:13].max() == 0 and least[128] == 71 and (np.diff(least) >= 0).all()
+
+
+def test_the_stage_keeps_one_row_of_each_group(spark):
+    t, u = (" ".join(f"{c}{i}" for i in range(60)) for c in "tu")
+    rows = [(1, t), (1, t), (None, t), (None, t), (2, t), (None, u), (None, u + " end"), (3, "short"), (3, "short"), (3, "other"),
+            (None, None), (4, "")]
+    df = documents(spark, rows, CLASHING)
+    out = M.stage(spark, df.repartition(3), "")
+    assert out.columns == df.columns and out.schema["doc_id"].dataType == df.schema["doc_id"].dataType
+    texts = sorted(((r.doc_id, r.text) for r in out.collect()), key=repr)
+    assert [x for x in texts if x[1] == t] == [(1, t)]
+    assert len([x for x in texts if x[1] in (u, u + " end")]) == 1
+    assert len(texts) == 6 and (3, "short") in texts and (3, "other") in texts
+    assert M.stage(spark, df.limit(0), "").collect() == []
