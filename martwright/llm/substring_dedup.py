@@ -185,18 +185,19 @@ def _places(first: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 
 def _listed(docs: DataFrame, rows: DataFrame, field: list[str]) -> DataFrame:
-    """docs and, last, the list of their rows (null: none).  Always the same
-    columns in the same join, so that Spark deals the texts out once."""
+    """docs, the text's hash and the list of their rows (both null: none).
+    Always the same columns in the same join, so that Spark deals the texts out
+    once."""
     key, tid, listed = (fresh(c, docs.columns) for c in ("_id", "_tid", "_list"))
     # a set: repeated rows send the same
     lists = rows.groupBy(F.col("doc_id").alias(key), F.col("tid").alias(tid)).agg(F.collect_set(F.struct(*field)).alias(listed))
-    return docs.join(lists, (F.col("doc_id") == F.col(key)) & (F.xxhash64("text") == F.col(tid)), "left").drop(key, tid)
+    return docs.join(lists, (F.col("doc_id") == F.col(key)) & (F.xxhash64("text") == F.col(tid)), "left").drop(key)
 
 
 def window_rows(docs: DataFrame, firsts: DataFrame, width: int = WIDTH) -> DataFrame:
     """(name, window, doc_id, tid, lo, again) of every window under the given
     anchors (doc_id, tid, name, at); again: whether the text has it before."""
-    id_at, text_at = docs.columns.index("doc_id"), docs.columns.index("text")
+    id_at, text_at, tid_at = docs.columns.index("doc_id"), docs.columns.index("text"), len(docs.columns)
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -221,9 +222,7 @@ def window_rows(docs: DataFrame, firsts: DataFrame, width: int = WIDTH) -> DataF
                      part.column(tid_at).take(spread), pa.array(lo.astype(np.int32)), pa.array(again)],
                     ["name", "window", "doc_id", "tid", "lo", "again"])
 
-    own = fresh("_own", docs.columns)
-    tid_at = len(docs.columns)
-    return _listed(docs.withColumn(own, _tid()), firsts, ["name", "at"]).mapInArrow(
+    return _listed(docs, firsts, ["name", "at"]).mapInArrow(
         compute, "name long, window long, doc_id long, tid long, lo int, again boolean")
 
 
@@ -263,7 +262,7 @@ def dedup_substrings(docs: DataFrame, width: int = WIDTH) -> DataFrame:
         for batch in batches:
             for part in chunks(batch, text_at):
                 w = split_words(part.column(text_at))
-                row, g = _lists(part.column(len(names)))
+                row, g = _lists(part.column(len(names) + 1))
                 _inside(w, row, g["lo"] + g["n"] - 1 + width)
                 lo = w.first[row] + g["lo"]
                 edge = np.zeros(len(w.key) + 1, np.int64)
