@@ -64,13 +64,17 @@ def dedupe(df: DataFrame, keys: list[str], order_col: str = "id",
     shuffle, and the sort-based aggregate spills.  NULL key values form one
     group, as in PARTITION BY.  ``flag_removed`` adds ``_n_removed``, the
     number of rows dropped per surviving row.
+
+    A fingerprint of the key leads the grouping columns: the sorts on both
+    sides of the shuffle compare one number and look at the wide key only
+    where fingerprints agree, so the result stays exact.
     """
     rest = [c for c in df.columns if c not in keys]
     payload = F.struct(F.col(order_col).isNull().alias("_null"), F.col(order_col).alias("_order"), *rest)
     aggs = [F.min(payload).alias("_first")]
     if flag_removed:
         aggs.append((F.count(F.lit(1)) - 1).alias("_n_removed"))
-    out = df.groupBy(*keys).agg(*aggs)
+    out = df.groupBy(F.xxhash64(*keys).alias("_fingerprint"), *keys).agg(*aggs)
     return out.select(*[c if c in keys else F.col("_first")[c].alias(c) for c in df.columns],
                       *(["_n_removed"] if flag_removed else []))
 
