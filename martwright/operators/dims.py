@@ -17,21 +17,23 @@ so a hot key costs one row per map task, not one row per event).
 
 D2-D4 are "latest by (date_time, id)", and the latest of per-partition
 latests is the overall latest.  So the job layer keeps, per staging
-partition, each key's latest row (:func:`latest_per_partition`); an
-increment re-summarises only the partitions it touched, and the dimension
-is the same :func:`_latest` reduction applied to the summaries instead of
-to all of staging.
+partition, each key's latest row (:func:`latest_per_partition`) and stores the dimension itself
+with its winning rows' order.  An increment re-summarises only the
+partitions it touched and merges their keys into the dimension
+(:func:`latest_changes`); other summaries are read only for keys whose
+winning row is gone.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import calendar_attributes, to_day
 
 
-
 #: dimension -> (natural key, attributes) of the latest-row dimensions.
 LATEST_DIMS = {
     "d_city": ("city_id", ["city_name"]),
@@ -50,6 +52,49 @@ def latest_per_partition(orders: DataFrame, dim: str, part: str = "dt") -> DataF
     return w.select(key, *[F.col(f"w.{c}").alias(c) for c in cols])
 
 
+def latest_rows(summaries: DataFrame, dim: str) -> DataFrame:
+    """Each key's overall latest row, with its ``date_time`` and ``id``."""
+    key, attrs = LATEST_DIMS[dim]
+    cols = attrs + ["date_time", "id"]
+    w = summaries.groupBy(key).agg(F.max_by(F.struct(*cols), F.struct("date_time", "id")).alias("w"))
+    return w.select(key, *[F.col(f"w.{c}").alias(c) for c in cols])
+
+
+def latest_changes(stored: DataFrame, stale: DataFrame, fresh: DataFrame, dim: str,
+                   touched: Callable[[Column], Column]) -> DataFrame:
+    """The stored rows merged with changed summaries, one row per key.
+
+    ``stored``: rows of the dimension with their order; ``stale`` and
+    ``fresh``: summaries of the touched partitions before and after;
+    ``touched``: whether a date_time lies in one of these.  A key's winning row
+    outside the touched partitions still stands, and the fresh one competes
+    with it.  One inside is replaced by the fresh one, unless that is missing or
+    comes earlier: then any partition may hold the winner, and ``lost`` is
+    true.  Rows: key, ``row`` (NULL: none), ``lost``, ``changed``.
+    """
+    key, attrs = LATEST_DIMS[dim]
+    cols = attrs + ["date_time", "id"]
+    row = F.struct(*cols)
+    none = F.lit(None).cast(fresh.select(row.alias("r")).schema["r"].dataType)
+
+    def side(df, old, new, is_touched):
+        return df.select(key, old.alias("old"), new.alias("new"), F.lit(is_touched).alias("touched"))
+
+    def order(name):  # NULL where there is no row
+        return F.when(F.col(name).isNotNull(), F.struct(F.col(name)["date_time"], F.col(name)["id"]))
+
+    sides = (side(stored, row, none, False).unionByName(side(fresh, none, row, True))
+             .unionByName(side(stale, none, none, True)))
+    both = sides.groupBy(key).agg(F.max_by("old", order("old")).alias("old"), F.max_by("new", order("new")).alias("new"),
+                                  F.max("touched").alias("touched"))
+    has_old, has_new = F.col("old").isNotNull(), F.col("new").isNotNull()
+    new_wins = F.coalesce(order("new") >= order("old"), has_new)
+    inside = has_old & F.col("touched") & touched(F.col("old")["date_time"])
+    best = F.when(F.col("touched") & new_wins, F.col("new")).otherwise(F.col("old"))
+    return both.select(key, best.alias("row"), (inside & ~new_wins).alias("lost"),
+                       (F.col("touched") & ~F.col("old").eqNullSafe(best)).alias("changed"))
+
+
 def days_per_partition(df: DataFrame) -> DataFrame:
     """D1 source summary: the distinct days of a staging table (the job layer
     keeps one per partition, re-summarising only touched partitions)."""
@@ -57,11 +102,6 @@ def days_per_partition(df: DataFrame) -> DataFrame:
         F.col("date_time").isNotNull()).distinct()
 
 
-def _latest(df: DataFrame, key: str, attrs: list[str]) -> DataFrame:
-    picked = df.groupBy(key).agg(F.max_by(F.struct(*attrs), F.struct("date_time", "id")).alias("a"))
-    return picked.select(key, *[F.col(f"a.{c}").alias(c) for c in attrs])
-
-
 def d_calendar(orders: DataFrame, activity: DataFrame) -> DataFrame:
     days = (
         orders.select(to_day("date_time").alias("date_time"))
@@ -73,31 +113,42 @@ def d_calendar(orders: DataFrame, activity: DataFrame) -> DataFrame:
 
 
 def d_city(orders: DataFrame) -> DataFrame:
-    return _latest(orders, "city_id", ["city_name"]).select(
-        F.col("city_id").cast("int"), "city_name"
-    )
+    return city_rows(latest_rows(orders, "d_city")).drop("date_time", "id")
 
 
 def d_customer(orders: DataFrame) -> DataFrame:
-    out = _latest(orders, "customer_id", ["first_name", "last_name", "city_id"])
-    return out.where(F.col("customer_id").isNotNull()).select(
-        F.col("customer_id").cast("int"), "first_name", "last_name",
-        F.col("city_id").cast("int"),
-    )
+    return customer_rows(latest_rows(orders, "d_customer")).drop("date_time", "id")
 
 
 def d_item(orders: DataFrame, categories: DataFrame | None = None) -> DataFrame:
-    items = _latest(orders, "item_id", ["item_name"]).where(F.col("item_id").isNotNull())
-    items = items.select(F.col("item_id").cast("int"), "item_name")
+    return item_rows(latest_rows(orders, "d_item"), categories).drop("date_time", "id")
+
+
+def city_rows(latest: DataFrame) -> DataFrame:
+    """D2 rows of the cities' latest rows."""
+    return latest.select(F.col("city_id").cast("int"), "city_name", "date_time", "id")
+
+
+def customer_rows(latest: DataFrame) -> DataFrame:
+    """D3 rows of the customers' latest rows."""
+    return latest.where(F.col("customer_id").isNotNull()).select(
+        F.col("customer_id").cast("int"), "first_name", "last_name", F.col("city_id").cast("int"), "date_time", "id")
+
+
+def item_rows(latest: DataFrame, categories: DataFrame | None = None) -> DataFrame:
+    """D4 rows of the items' latest rows."""
+    items = latest.where(F.col("item_id").isNotNull()).select(
+        F.col("item_id").cast("int"), "item_name", "date_time", "id")
     if categories is None:
-        return items.withColumn("category_name", F.lit(None).cast("string"))
-    # The mapping is keyed on item_id; both sides are keyed aggregates, so
-    # this is a plain equi-join left to the planner (AQE broadcasts it when
-    # the runtime size is small).
-    cats = categories.groupBy(F.col("item_id").cast("int").alias("item_id")).agg(
-        F.max("category_name").alias("category_name")
-    )
-    return items.join(cats, "item_id", "left")
+        items = items.withColumn("category_name", F.lit(None).cast("string"))
+    else:
+        # The mapping is keyed on item_id; both sides are keyed aggregates, so
+        # this is a plain equi-join left to the planner (AQE broadcasts it when
+        # the runtime size is small).
+        cats = categories.groupBy(F.col("item_id").cast("int").alias("item_id")).agg(
+            F.max("category_name").alias("category_name"))
+        items = items.join(cats, "item_id", "left")
+    return items.select("item_id", "item_name", "category_name", "date_time", "id")
 
 
 def f_activity(activity: DataFrame) -> DataFrame:

@@ -132,6 +132,15 @@ D_CUSTOMER_PARTS = _schema(("customer_id", L), ("first_name", S), ("last_name",
                            ("city_id", I), ("date_time", TS), ("id", L))
 D_ITEM_PARTS = _schema(("item_id", I), ("item_name", S), ("date_time", TS), ("id", L))
 
+#: D2-D4 as stored, in hash buckets of the key: the declared columns and, not
+#: shown by a plain read, the winning row's date_time and id.
+_LATEST = [T.StructField("date_time", TS, True), T.StructField("id", L, True)]
+LATEST_ROWS = {
+    "d_city": T.StructType(D_CITY.fields + _LATEST),
+    "d_customer": T.StructType(D_CUSTOMER.fields + _LATEST),
+    "d_item": T.StructType(D_ITEM.fields + _LATEST),
+}
+
 #: Per-staging-partition distinct days feeding D1.
 CALENDAR_DAYS = _schema(("date_time", D))
 

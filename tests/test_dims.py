@@ -1,6 +1,12 @@
+import random
 from decimal import Decimal as D
 
+import pytest
+
 from martwright.operators import dims
+from martwright.plans import jobs
+from martwright.session import scratch_path
+from martwright.sources.store import Warehouse
 from helpers import day, orders_df, rows_of, ts
 
 
@@ -36,3 +42,40 @@ def test_f_activity_sums_quantity_per_action_and_day(spark):
          (2, 1, ts("2022-01-01 00:00:00"), 3, 1), (None, 1, ts("2022-01-01 00:00:00"), 4, 1)],
         "action_id long, customer_id long, date_time timestamp_ntz, id long, quantity long")
     assert rows_of(dims.f_activity(a)) == [(1, day("2022-01-01"), 7), (2, day("2022-01-01"), 1)]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_merged_dimensions_equal_a_full_build(spark, seed):
+    """Days are emptied, rewritten and added in any order (rows without a date
+    or key among them): every dimension equals one built from all rows."""
+    rng = random.Random(seed)
+    wh = Warehouse(spark, scratch_path(spark, "wh"), grain="day", buckets=4)
+    days = [f"2022-07-0{d}" for d in range(1, 7)]
+    ids = iter(range(1, 1000))
+
+    def rows_on(d):
+        return [dict(id=next(ids), date_time=d and ts(f"{d} 00:00:00"), customer_id=rng.choice([None, 1, 2, 3, 4, 5, 6]),
+                     first_name=rng.choice("abcd"), city_id=rng.choice([None, 1, 2, 3]), city_name=rng.choice("xyz"),
+                     item_id=rng.choice([None, 1, 2, 3, 4]), item_name=rng.choice("pq")) for _ in range(rng.randint(1, 4))]
+
+    held = {d: rows_on(d) for d in (*days[:4], None)}
+
+    def write(touched=None):
+        rows = orders_df(spark, [r for d, own in held.items() if touched is None or d in touched for r in own])
+        values = touched and [d and day(d) for d in touched]
+        if touched is None:
+            wh.overwrite("user_orders_log", rows)
+        else:
+            wh.replace_partitions("user_orders_log", rows, values)
+        for dim in dims.LATEST_DIMS:
+            jobs.refresh_latest_dim(wh, dim, values)
+
+    write()
+    for step in range(4):
+        touched = rng.sample([*days, None], 2)
+        for d in touched:
+            held[d] = [] if rng.random() < 0.5 else rows_on(d) if rng.random() < 0.5 else held.get(d, [])[:1]
+        write(touched)
+        orders = wh.read("user_orders_log")
+        for dim in dims.LATEST_DIMS:
+            assert rows_of(wh.read(dim)) == rows_of(getattr(dims, dim)(orders)), (step, dim)
