@@ -67,6 +67,15 @@ DQ_CHECKS_RESULTS = _schema(
 #: which refreshes every staging day on each run).
 OWED_DAYS = _schema(("table_name", S), ("day", D))
 
+#: Landed rows that could not be taken: where they stand and why.  ``place``
+#: grows along the block of the file.
+REJECTED_ROWS = _schema(("table_name", S), ("business_day", D), ("file", S), ("block", L), ("place", L),
+                        ("reason", S), ("text", S))
+
+#: Landed business days of the stream: the batch that brought the latest of
+#: their files, and whether the day has been run since.
+DAY_LEDGER = _schema(("business_day", D), ("batch_id", L), ("done", T.BooleanType()))
+
 D_CALENDAR = _schema(
     ("date_time", D),
     ("day_num", SH),
