@@ -23,8 +23,8 @@ from .plans import sales as C1
 from .schemas import DEDUP_KEYS, USER_ORDERS_LOG
 from .session import scratch_path
 from .sources import fixtures as fx
-from .sources.landing import (cleanse_increment, cleanse_initial, landing_path,
-                              read_landing, write_landing)
+from .sources.landing import (CSV, cleanse_increment, cleanse_initial, good_rows, landing_path,
+                              read_checked, read_landing, rejected_rows, write_landing)
 from .sources.store import Warehouse
 from .streaming import increments
 
@@ -75,9 +75,23 @@ NO_ID = [c for c in ORDER_COLUMNS if c != "id"]
 DELETE_DAY = "1996-03-15"
 ACTIVITY_DELETE_DAY = "2024-01-15"
 REPLACE_FROM = "2000-01-01"
-#: Items whose id this divides are left out of the dimension (J1's unmatched
-#: side).
-UNKNOWN_ITEMS = 7
+
+
+#: All orders, and the refunded ones once more as orders of items, customers and
+#: days that no dimension knows (the unmatched side of J1 and J5).
+WITH_UNKNOWNS = """with_unknowns as (
+  select * from user_orders_log
+  union all
+  select city_id, city_name, -customer_id as customer_id, date_time + interval 36500 day as date_time, first_name,
+    -id as id, -item_id as item_id, item_name, last_name, quantity, payment_amount, status
+  from user_orders_log where status = 'refunded')"""
+
+
+def _with_unknowns(spark, sf):
+    orders = _orders(spark, sf)
+    return orders.unionByName(orders.where("status = 'refunded'").withColumns({
+        "id": -F.col("id"), "item_id": -F.col("item_id"), "customer_id": -F.col("customer_id"),
+        "date_time": F.col("date_time") + F.expr("interval 36500 days")}))
 
 
 def _ts(s: str):
@@ -105,6 +119,30 @@ def q_landing_csv_roundtrip(spark, sf):
     return cleanse_increment(read_landing(spark, path, "user_orders_log"), "user_orders_log")
 
 
+@register("landing_rejects", O.with_ctes(*_ctes(), body="""
+select 'taken' as verdict, city_name, count(*) as n_rows, sum(quantity)::bigint as quantity
+from user_orders_log group by city_name
+union all
+select case when n_regionkey = 0 then 'date_time, quantity' else 'date_time' end, n_name, 1, null::bigint from nation"""))
+def q_landing_rejects(spark, sf):
+    """The orders extract with one bad row per nation among its files:
+    every good row is taken, every bad one set apart with its reason."""
+    path = landing_path(scratch_path(spark, "landing"), "user_orders_log", "2022-07-09", increment=True)
+    write_landing(_orders(spark, sf), path)
+    bad = {"city_name": F.col("n_name"), "date_time": F.lit("some day"),
+           "quantity": F.when(F.col("n_regionkey") == 0, "many").otherwise("1")}
+    planted = fx.table(spark, sf, "nation").select(
+        F.lit("0").alias(""), *[bad.get(c, F.lit(None).cast("string")).alias(c) for c in ORDER_COLUMNS])
+    planted.write.mode("append").options(header=True, **CSV).csv(path)
+    checked = read_checked(spark, path, "user_orders_log", multi_line=False)
+    taken = good_rows(checked).groupBy(F.lit("taken").alias("verdict"), "city_name").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("quantity").alias("quantity"))
+    rejects = rejected_rows(checked, "user_orders_log", "2022-07-09")
+    return taken.unionByName(rejects.groupBy(
+        F.col("reason").alias("verdict"), F.get_json_object("text", "$.city_name").alias("city_name")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.lit(None).cast("long").alias("quantity")))
+
+
 @register("cleanse_initial_orders", O.with_ctes(
     *_ctes(), body=f"select distinct {O.ORDER_COLS_NO_ID}, 'shipped' as status from user_orders_log"))
 def q_cleanse_initial_orders(spark, sf):
@@ -202,9 +240,9 @@ def q_assign_row_ids(spark, sf):
     names and the rows of each file."""
     base, land = 1_000, scratch_path(spark, "landing")
     orders = _orders(spark, sf)
-    # the earliest year makes up a small first file, the others larger ones
-    for k, years in enumerate((F.year("date_time") <= 1992, F.year("date_time").between(1993, 1998),
-                               F.year("date_time") >= 1999)):
+    # the earliest month makes up a small first file, the others larger ones
+    months = F.date_format("date_time", "yyyy-MM")
+    for k, years in enumerate((months <= "1995-01", (months > "1995-01") & (months < "1999"), months >= "1999")):
         write_landing(orders.where(years).repartition(k + 1).withColumn("city_name", F.lit(str(k))),
                       f"{land}/{k}.csv")
     rows = read_landing(spark, f"{land}/*", "user_orders_log", position=True)
@@ -377,21 +415,10 @@ _MART_CTES = _ctes(
 )
 
 
-def _earlier(cte: str) -> str:
-    """A dimension CTE over the orders before REPLACE_FROM (and, for the
-    calendar, no activity)."""
-    cte = cte.replace("""
-        union
-        select cast(date_time as date) from user_activity_log""", "")
-    return cte.replace("from user_orders_log", "from earlier_orders")
-
-
-_EARLIER_CTES = _ctes(
-    O.USER_ACTIVITY_LOG, O.ITEM_CATEGORIES, O.F_ACTIVITY, O.sales_cte("f_daily_sales", "user_orders_log"),
-    f"earlier_orders as (select * from user_orders_log where date_time < timestamp '{REPLACE_FROM}' and item_id % 7 <> 0)",
-    _earlier(O.D_ITEM), _earlier(O.D_CALENDAR),
-    _earlier(O.latest_cte("d_customer", "user_orders_log", "customer_id",
-                          ["first_name", "last_name", "city_id"], "integer")))
+_UNKNOWN_CTES = _ctes(
+    WITH_UNKNOWNS, O.USER_ACTIVITY_LOG, O.ITEM_CATEGORIES, O.F_ACTIVITY, O.sales_cte("f_daily_sales", "with_unknowns"),
+    O.D_ITEM, "d_calendar as (select distinct cast(date_time as date) as date_time from user_orders_log)",
+    O.latest_cte("d_customer", "user_orders_log", "customer_id", ["first_name", "last_name", "city_id"], "integer"))
 
 
 def _fk_orphans(m):
@@ -407,7 +434,7 @@ def _fk_orphans(m):
     return out
 
 
-@register("fk_orphans", O.with_ctes(*_EARLIER_CTES, body="""
+@register("fk_orphans", O.with_ctes(*_UNKNOWN_CTES, body="""
 select 'f_activity.date_time' as fk_name, count(*) as n_orphans from f_activity f
   where f.date_time is not null and not exists (select 1 from d_calendar c where c.date_time = f.date_time)
 union all
@@ -421,13 +448,11 @@ select 'f_daily_sales.customer_id', count(*) from f_daily_sales f
   where f.customer_id is not null and not exists (select 1 from d_customer c where c.customer_id = f.customer_id)
 """))
 def q_fk_orphans(spark, sf):
-    """Orphan fact rows per declared foreign key, against dimensions
-    that were built from earlier orders only."""
+    """Orphan fact rows per declared foreign key: sales of unknown
+    items, customers and days, and a calendar of the orders' days alone."""
     m = _mart_inputs(spark, sf)
-    earlier = m["orders"].where((F.col("date_time") < _ts(REPLACE_FROM)) & (F.col("item_id") % 7 != 0))
-    m |= {"d_calendar": dims.d_calendar(earlier, m["activity"].limit(0)), "d_customer": dims.d_customer(earlier),
-          "d_item": dims.d_item(earlier, fx.item_categories(spark, sf))}
-    return _fk_orphans(m)
+    return _fk_orphans(m | {"d_calendar": dims.d_calendar(m["orders"], m["orders"]),
+                            "f_daily_sales": C1.daily_sales(_with_unknowns(spark, sf))})
 
 
 @register("fk_orphans_whole", O.with_ctes(*_MART_CTES, body="""
@@ -602,16 +627,16 @@ def q_customer_cohort(spark, sf):
 
 
 @register("sales_enriched", O.with_ctes(
-    *O.SALES_CTES, O.ITEM_CATEGORIES, O.D_ITEM.replace("d_item as", "all_items as"),
-    f"d_item as (select * from all_items where item_id % {UNKNOWN_ITEMS} <> 0)", *O.retention_ctes("f_daily_sales"),
+    *_ctes(WITH_UNKNOWNS, O.sales_cte("f_daily_sales", "with_unknowns"), O.ITEM_CATEGORIES, O.D_ITEM),
+    *O.retention_ctes("f_daily_sales"),
     body="""
 select * exclude (is_new), case when is_new then 'new' else 'returning' end as customer_type from sold"""))
 def q_sales_enriched(spark, sf):
     """The DISTINCT retention base with category (left join
-    on items, some of which the dimension lacks), cohort (left join on
+    on items, some of which are unknown), cohort (left join on
     customers) and customer type."""
-    sales = _sales(spark, sf)
-    base = R.sales_enriched(sales, _d_item(spark, sf).where(F.col("item_id") % UNKNOWN_ITEMS != 0))
+    sales = C1.daily_sales(_with_unknowns(spark, sf))
+    base = R.sales_enriched(sales, _d_item(spark, sf))
     cohorts = R.customer_cohort(sales).select("customer_id", "cohort")
     out = base.join(cohorts, "customer_id", "left")
     new = F.coalesce(F.col("cohort") == F.col("period_id"), F.lit(False))
