@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from . import oracle as O
 from .functions import landing_file_name, period_id, to_day
 from .operators import dims, quality, staging
-from .plans import jobs
+from .plans import bitmaps, jobs
 from .plans import retention as R
 from .plans import sales as C1
 from .schemas import DEDUP_KEYS, USER_ORDERS_LOG
@@ -660,6 +660,26 @@ def q_weekly_retention(spark, sf):
     return R.weekly_retention(_sales(spark, sf), _d_item(spark, sf))
 
 
+@register("weekly_retention_bitmaps", ORACLE["weekly_retention"])
+def q_weekly_retention_bitmaps(spark, sf):
+    """A3: the same fact by merged bitmaps.  Days up to the middle of 2001
+    build numbers and bits, with one day's sales missing and another day's
+    all shipped; a refresh mends these two days and adds the later ones."""
+    wh = _warehouse(spark)
+    items = _d_item(spark, sf)
+    sales = jobs.stage(_sales(spark, sf), "sales")
+    until, missing, altered = (F.lit(d).cast("date") for d in ("2001-06-30", "1996-03-04", "1997-05-06"))
+    first = sales.where((F.col("date_time") <= until) & (F.col("date_time") != missing))
+    wh.overwrite("f_daily_sales", first.withColumn(
+        "status", F.when(F.col("date_time") == altered, "shipped").otherwise(F.col("status"))))
+    bitmaps.refresh(wh, items)
+    late = sales.where((F.col("date_time") > until) | F.col("date_time").isin(missing, altered))
+    days = [r["date_time"] for r in late.select("date_time").distinct().collect()]
+    wh.replace_by_key("f_daily_sales", late, "date_time")
+    bitmaps.refresh(wh, items, days)
+    return wh.read("f_customer_retention")
+
+
 _RET_REPLACE_CTES = (
     _REPLACE_CTES + (O.ITEM_CATEGORIES, O.D_ITEM)
     + O.retention_ctes("target", "t_") + O.retention_ctes("updates", "u_")

@@ -134,6 +134,21 @@ RETENTION_GROUPS = _schema(
 #: none) and the periods that hold the customer's groups ('' for the NULL one).
 CUSTOMER_COHORTS = _schema(("customer_id", I), ("first_buy", D), ("cohort", S), ("periods", T.ArrayType(T.StringType())))
 
+#: Retention by bitmaps (A3): every customer's number, founding day and cohort,
+#: and the days' customers as bits of 64-bit words.
+CUSTOMER_NUMBERS = _schema(("customer_id", I), ("number", L), ("first_buy", D), ("cohort", S))
+RETENTION_DAY_BITS = _schema(
+    ("date_time", D),
+    ("period_id", S),
+    ("category_name", S),
+    ("cohort", S),
+    ("status", S),
+    ("block", L),
+    ("word", L),
+    ("amount", T.DecimalType(20, 2)),
+    ("n_tx", L),
+)
+
 #: Per-staging-partition latest rows feeding D2-D4 (key, attributes, and the
 #: winning row's date_time and id).
 D_CITY_PARTS = _schema(("city_id", I), ("city_name", S), ("date_time", TS), ("id", L))
