@@ -2,8 +2,10 @@
 
 Tasks tokenize the documents and cut only those over the capacity; the pieces
 (a few dozen bytes each) go to a table in the shared folder.  Their total
-sets the number of groups, each about ``GROUP_BINS`` sequences, whatever the
-source or key of a piece; a group is packed in one task by best-two-fit: fill
+and number set the number of groups, each of about ``GROUP_BINS`` sequences or
+``GROUP_PIECES`` pieces, whichever is less; pieces are dealt out by their place
+in the table, whatever their source, key or length, so that rows of one key (or
+none) spread as well.  A group is packed in one task by best-two-fit: fill
 a sequence greedily with the largest pieces that fit, then replace its
 smallest piece by the two unpacked pieces that fill the enlarged gap most
 tightly.  At most one sequence per group stays half empty.
@@ -32,6 +34,7 @@ from .words import chunks, split_words
 CAPACITY = 4096
 END_ID = 1
 GROUP_BINS = 4000
+GROUP_PIECES = 500_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = PIECES + ", sequence_id long, offset long"
@@ -117,14 +120,14 @@ def pack_group(pieces: pa.Table, capacity: int = CAPACITY) -> pa.Table:
 
 
 def pack(docs: DataFrame, vocabulary_path: str | None = None, capacity: int = CAPACITY,
-         group_bins: int = GROUP_BINS) -> DataFrame:
+         group_bins: int = GROUP_BINS, group_pieces: int = GROUP_PIECES) -> DataFrame:
     """All pieces with their sequence and place in it."""
     spark = docs.sparkSession
     path = scratch_path(spark, "pieces")
     cut_pieces(docs, vocabulary_path, capacity).write.parquet(path)
     pieces = spark.read.parquet(path)
-    total = pieces.agg(F.sum("length")).first()[0] or 0
-    groups = max(1, total // (capacity * group_bins))
+    total, rows = pieces.agg(F.coalesce(F.sum("length"), F.lit(0)), F.count(F.lit(1))).first()
+    groups = max(1, total // (capacity * group_bins), -(-rows // group_pieces))
 
     def pack_one(key: tuple, rows: pa.Table) -> pa.Table:
         out = pack_group(rows.drop_columns(["grp"]), capacity)
@@ -132,7 +135,7 @@ def pack(docs: DataFrame, vocabulary_path: str | None = None, capacity: int = CA
         return out.set_column(out.schema.get_field_index("sequence_id"), "sequence_id",
                               pc.add(out.column("sequence_id"), first))
 
-    group = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups))
+    group = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups))
     return pieces.withColumn("grp", group).groupBy("grp").applyInArrow(pack_one, PACKED)
 
 

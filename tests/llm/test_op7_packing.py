@@ -1,5 +1,5 @@
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 from llm_helpers import CLASHING, crafted_words, documents, table
@@ -57,6 +57,48 @@ def test_best_two_fit():
     assert P.best_two_fit(np.array([5, 5, 5, 5]), 10) == [[5, 5], [5, 5]]
 
 
+def plain_best_two_fit(lengths, capacity):
+    """The rule over plain lists: the largest that fits, then the two that
+    fill the gap left by the smallest most tightly (of equal pairs the one
+    with the smallest piece)."""
+    left, bins = sorted(lengths), []
+    while left:
+        own, gap = [], capacity
+        while fitting := [x for x in left if x <= gap]:
+            own.append(fitting[-1])
+            left.remove(fitting[-1])
+            gap -= fitting[-1]
+        room = gap + own[-1]
+        pairs = [(a + b, -min(a, b), a, b) for i, a in enumerate(left) for b in left[i + 1:] if a + b <= room]
+        if gap and len(own) > 1 and pairs and max(pairs)[0] > own[-1]:
+            _, _, a, b = max(pairs)
+            left = sorted([*left, own.pop()])
+            left.remove(a)
+            left.remove(b)
+            own += [a, b]
+        bins.append(sorted(own))
+    return bins
+
+
+def test_best_two_fit_equals_the_rule_over_lists():
+    rng = np.random.default_rng(5)
+    for k in range(120):
+        top = (12, 40, 100)[k % 3]
+        lengths = rng.integers(1, top + 1, int(rng.integers(0, 50)))
+        got = [sorted(b) for b in P.best_two_fit(lengths, 100 if k % 2 else top)]
+        assert got == plain_best_two_fit(lengths.tolist(), 100 if k % 2 else top)
+
+
+def test_groups_of_many_tiny_pieces(spark):
+    """Repeated rows without key or text spread over the groups."""
+    df = spark.range(0, 20_000, 1, 4).selectExpr("cast(null as long) doc_id", "cast(null as string) text")
+    packed = P.pack(df, group_pieces=1000).collect()
+    assert len(packed) == 20_000 and all(r.length == 1 for r in packed)
+    groups = Counter(r.sequence_id >> 32 for r in packed)
+    assert len(groups) == 20 and max(groups.values()) < 1300
+    assert len({(r.sequence_id, r.offset) for r in packed}) == 20_000
+
+
 def test_edges(spark):
     rows = [(1, None), (2, ""), (3, "a b"), (3, "a b"), (None, "c"), (4, "word " * 9000)]
     df = documents(spark, rows, CLASHING)
