@@ -18,11 +18,18 @@ probability 4e-5 at most.
 A band value equals a template's only if the window holds that very shingle,
 so texts without any of these shingles are passed over after one look-up.
 
+A template of under five words ("MIT License", an SPDX tag) is one shingle of
+its own length: it is looked up at every place, and containment of 80 % of one
+shingle means all its words in a row, which are compared as text.  Names and
+tags count where no match that holds more overlaps them, and only in texts
+without a full text, header or sentence of the same licence: a notice that also
+names itself is one notice.
+
 Defined results: start_word and n_words count all words, those of marks too;
-null, empty and short texts (under five words) match nothing;
-a text shorter than a template is one window; repeated rows give repeated
-matches; a null doc_id stays; templates need five words; an empty table gives
-no rows; other columns are not read.
+null and empty texts match nothing, texts under five words only templates of
+under five; a text shorter than a template is one window; repeated rows give
+repeated matches; a null doc_id stays; templates need a word; an empty table
+gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -89,20 +96,34 @@ def license_words(texts: pa.Array) -> Words:
     return placed_words(texts)[0]
 
 
+def _lower_words(w: Words, first: int, stop: int) -> tuple[bytes, ...]:
+    return tuple(w.data[a:b].tobytes().lower() for a, b in zip(w.start[first:stop], w.end[first:stop]))
+
+
 class Templates:
     """Sorted shingles and sketch of every template; a licence may have many.
-    A sketch is kept as the shingles that give its values."""
+    A sketch is kept as the shingles that give its values.  ``mentions``, and
+    templates under five words, count where no other template of the licence
+    matches."""
 
-    def __init__(self, templates: dict[str, str] | Iterable[tuple[str, str]]):
+    def __init__(self, templates: dict[str, str] | Iterable[tuple[str, str]], mentions: Iterable[tuple[str, str]] = ()):
         self.names: list[str] = []
+        self.mention: list[bool] = []
         self.shingles: list[np.ndarray] = []
         #: sketch shingle -> (template, band)
         self.bands: dict[int, list[tuple[int, int]]] = {}
         known = set()
-        for name, text in templates.items() if isinstance(templates, dict) else templates:
-            own = np.unique(ngram_keys(license_words(pa.array([text])).key, SHINGLE))
-            if not len(own):
-                raise ValueError(f"template {name} has fewer than {SHINGLE} words")
+        #: words of a template under SHINGLE words -> licence, by their number
+        self.short: dict[int, dict[tuple[bytes, ...], str]] = {}
+        given = [(*x, False) for x in (templates.items() if isinstance(templates, dict) else templates)]
+        for name, text, mention in [*given, *((*x, True) for x in mentions)]:
+            w = license_words(pa.array([text]))
+            if not len(w.key):
+                raise ValueError(f"template {name} has no words")
+            if len(w.key) < SHINGLE:
+                self.short.setdefault(len(w.key), {}).setdefault(_lower_words(w, 0, len(w.key)), name)
+                continue
+            own = np.unique(ngram_keys(w.key, SHINGLE))
             if (name, own.tobytes()) in known:
                 continue
             known.add((name, own.tobytes()))
@@ -111,12 +132,30 @@ class Templates:
                     least = int(own[mix(own ^ seed).argmin()])
                     self.bands.setdefault(least, []).append((len(self.names), b))
             self.names.append(name)
+            self.mention.append(mention)
             self.shingles.append(own)
         self.sketch = np.array(sorted(self.bands), np.uint64)
-
-    def matches(self, keys: np.ndarray, percent: int) -> Iterator[tuple[str, int, int, float, int]]:
-        """(name, first word, words, containment, shingles held) in one text's
-        shingles."""
+        texts = {n: pa.array([b" ".join(x).decode() for x in own]) for n, own in self.short.items()}
+        self.short_keys = {n: np.unique(ngram_keys(license_words(t).key, n)[::n]) for n, t in texts.items()}
+
+    def short_matches(self, w: Words) -> dict[int, list[tuple[str, int, int, float, int, bool]]]:
+        """As ``matches``, by text, for the templates of under SHINGLE words;
+        fewer shingles held than by any longer match, and the fewer the shorter."""
+        out: dict[int, list[tuple[str, int, int, float, int, bool]]] = {}
+        for n, some in self.short_keys.items():
+            keys = ngram_keys(w.key, n)
+            at = np.searchsorted(some, keys)
+            at[at == len(some)] = 0
+            for i in np.flatnonzero(some[at] == keys).tolist():
+                t = int(w.text_of[i])
+                name = self.short[n].get(_lower_words(w, i, i + n))
+                if name is not None and i + n <= w.first[t + 1]:
+                    out.setdefault(t, []).append((name, i - int(w.first[t]), n, 1.0, n - SHINGLE, True))
+        return out
+
+    def matches(self, keys: np.ndarray, percent: int) -> Iterator[tuple[str, int, int, float, int, bool]]:
+        """(name, first word, words, containment, shingles held, whether it is
+        a mention) in one text's shingles."""
         shared: dict[int, list[tuple[int, int]]] = {}
         for key in np.unique(keys[np.isin(keys, self.sketch)]).tolist():
             for t, b in self.bands[key]:
@@ -138,7 +177,7 @@ class Templates:
                 for size in (width, -(-3 * (len(own) + SHINGLE - 1) // 2) - SHINGLE + 1):
                     found = found + verified(keys, own, anchors, size, percent, found)
                 for i, n, held in found:
-                    yield self.names[t], i, n + SHINGLE - 1, held / len(own), held
+                    yield self.names[t], i, n + SHINGLE - 1, held / len(own), held, self.mention[t]
 
     @staticmethod
     def _places(keys: np.ndarray, band: int, key: int, hashed: dict[int, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -216,7 +255,7 @@ def _reach(keys: np.ndarray) -> int:
     return int(np.unique(keys, return_index=True)[1].max()) + 1
 
 
-def disjoint(found: Iterable[tuple[str, int, int, float, int]]) -> list[tuple[str, int, int, float, int]]:
+def disjoint(found: Iterable[tuple]) -> list[tuple]:
     """Of overlapping matches the one that holds most shingles (ties: the
     larger containment, the first), in text order."""
     kept: list[tuple[int, int, tuple]] = []
@@ -232,7 +271,10 @@ def scan(docs: DataFrame, templates: dict[str, str] | Iterable[tuple[str, str]]
          percent: int = MIN_CONTAINMENT_PERCENT) -> DataFrame:
     """(doc_id, license, start_word, n_words, containment, matched) of every
     match of a template."""
-    table = Templates([*TEMPLATES.items(), *license_texts.templates()] if templates is None else templates)
+    if templates is None:
+        table = Templates([*TEMPLATES.items(), *license_texts.templates()], license_texts.mentions())
+    else:
+        table = Templates(templates)
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -240,10 +282,12 @@ def scan(docs: DataFrame, templates: dict[str, str] | Iterable[tuple[str, str]]
                 w, place = placed_words(part.column(1))
                 keys = ngram_keys(w.key, SHINGLE)
                 hit = np.flatnonzero(np.isin(keys, table.sketch))
-                rows = []
-                for t in np.unique(w.text_of[hit]).tolist():
+                rows, short = [], table.short_matches(w)
+                for t in sorted({*np.unique(w.text_of[hit]).tolist(), *short}):
                     a, b = w.first[t], w.first[t + 1]
-                    for name, i, n, c, _ in disjoint(table.matches(keys[a:max(a, b - SHINGLE + 1)], percent)):
+                    found = [*table.matches(keys[a:max(a, b - SHINGLE + 1)], percent), *short.get(t, ())]
+                    noticed = {m[0] for m in disjoint(m for m in found if not m[5])}
+                    for name, i, n, c, *_ in disjoint(m for m in found if not m[5] or m[0] not in noticed):
                         i, last = a + i, a + i + n - 1
                         body = w.data[w.start[i]:w.end[last]].tobytes().decode("utf-8")
                         rows.append((part.column(0)[t].as_py(), name, place[i], place[last] - place[i] + 1, c, body))

@@ -1,5 +1,5 @@
 """Template table of the license scan: full texts (``licenses/``), standard
-headers, and the usual sentences that name a licence.
+headers, the usual names of licences, and SPDX tags.
 
 A text that is not at hand word for word is taken from its sister text with the
 names changed (``ADAPTED``): the sections that differ are missing, the names
@@ -110,18 +110,16 @@ NAMES = {
        + [f"CC {code.upper()} {v}", f"CC-{code.upper()}-{v} license"]
        for code, name in _CC_NAMES.items() for v in ("3.0", "4.0")},
 }
-LEADS = ["licensed under", "released under", "distributed under", "available under", "published under", "provided under",
-         "under the terms of", "under the terms and conditions of", "subject to the terms of"]
-
-
-def sentences(license: str) -> list[str]:
-    """Sentences that name a licence, of five words and more."""
-    out = []
-    for name in NAMES.get(license, ()):
-        for lead in LEADS:
-            for article in ("", "the ", "an " if name[0] in "MIA" else "a "):
-                out.append(f"{lead} {article}{name}")
-    return [x for x in out if len(x.split()) >= 5]
+#: Identifiers of the SPDX licence list, by the name used here
+#: (the same where none is given).
+SPDX = {
+    **{name: [name] for name in (
+        "0bsd apache-2.0 artistic-1.0 bsd-2-clause bsd-3-clause cc0-1.0 epl-1.0 epl-2.0 isc mit mpl-1.1 mpl-2.0 ncsa ofl-1.1 "
+        "unicode-3.0 unlicense zlib").split()},
+    **{f"cc-{code}-{v}": [f"cc-{code}-{v}"] for code in _CC_NAMES for v in ("3.0", "4.0")},
+    **{name: [name, f"{name}-only", f"{name}-or-later", f"{name}+"] for name in (
+        "gpl-1.0 gpl-2.0 gpl-3.0 lgpl-2.0 lgpl-2.1 lgpl-3.0 agpl-3.0 gfdl-1.2 gfdl-1.3").split()},
+}
 
 
 def full_text(license: str) -> str:
@@ -133,7 +131,12 @@ def full_text(license: str) -> str:
 
 
 def templates() -> list[tuple[str, str]]:
-    """(license, text) of every wording."""
+    """(license, text) of every full text and header."""
     out = [(name, full_text(name)) for name in (*FULL, *ADAPTED)]
-    out += [(name, text) for name, texts in HEADERS.items() for text in texts]
-    return out + [(name, text) for name in NAMES for text in sentences(name)]
+    return out + [(name, text) for name, texts in HEADERS.items() for text in texts]
+
+
+def mentions() -> list[tuple[str, str]]:
+    """(license, text) of every name and SPDX tag."""
+    out = [(name, f"SPDX-License-Identifier: {i}") for name, ids in SPDX.items() for i in ids]
+    return out + [(name, text) for name, texts in NAMES.items() for text in texts]

@@ -103,3 +103,34 @@ def test_places_count_words_of_marks(spark):
     df = documents(spark, [(1, "a * b\n * Released under\n * the MIT License. Released under the MIT License")])
     got = sorted(map(tuple, L.scan(df).collect()))
     assert got == [(1, "mit", 4, 6, 1.0, "Released under\n * the MIT License"), (1, "mit", 10, 5, 1.0, "Released under the MIT License")]
+
+
+def test_names_and_tags_under_five_words(spark):
+    texts = ["# SPDX-License-Identifier: MIT", "// SPDX-License-Identifier: GPL-2.0-or-later\nint x;", "MIT License",
+             "The MIT\n * License (see there)", "Some MIT Licensed work", "Apache License, Version 2.0", "a BSD 3-Clause License b",
+             "spdx-license-identifier:", "MIT", "licensed under the Apache License, Version 2.0", "MIT. License to all",
+             "MIT Licence, or else CC-BY-SA-4.0 license"]
+    want = [["mit"], ["gpl-2.0"], ["mit"], ["mit"], [], ["apache-2.0"], ["bsd-3-clause"], [], [], ["apache-2.0"], ["mit"],
+            ["cc-by-sa-4.0", "mit"]]
+    assert licenses(spark, *texts) == want
+    # the end of one text and the start of the next are no name
+    assert licenses(spark, "the MIT", "License of all") == [[], []]
+
+
+def test_short_templates_against_brute_force(spark):
+    rng = random.Random(8)
+    templates = {f"t{k}": " ".join(rng.choice("abcd") for _ in range(n)) for k, n in enumerate((1, 2, 2, 3, 4, 4))}
+    templates = {name: text for name, text in templates.items() if list(templates.values()).count(text) == 1}
+    rows = [(i, " ".join(rng.choice("abcdefg") for _ in range(rng.randrange(0, 12)))) for i in range(300)]
+    want = []
+    for i, text in rows:
+        w = text.split()
+        found = [(len(t), at, name) for name, text_ in templates.items() for t in [text_.split()]
+                 for at in range(len(w)) if w[at:at + len(t)] == t]
+        taken = set()
+        for n, at, name in sorted(found, key=lambda x: (-x[0], x[1])):
+            if not taken & set(range(at, at + n)):
+                taken |= set(range(at, at + n))
+                want.append((i, name, at, n))
+    got = [tuple(r)[:4] for r in L.scan(documents(spark, rows), templates).collect()]
+    assert sorted(got) == sorted(want) and len(want) > 100
