@@ -35,5 +35,5 @@ def test_registered(spark):
     names = [n for n, _ in corpus_pipeline.STAGES]
     assert names == ["quality_classifier", "line_dedup", "minhash_dedup", "substring_dedup", "best_fit_packing"]
     ops = {q.split("_")[0] for q in __spark_entry__.queries() if q.startswith("op")}
-    assert ops == {f"op{n}" for n in range(1, 11)}
+    assert ops == {f"op{n}" for n in range(1, 14)}
     assert corpus_pipeline.run(spark, DIRECTORY).count() >= 1
