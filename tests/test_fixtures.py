@@ -55,3 +55,20 @@ def test_queries_run_in_small_tasks(spark):
     spark.conf.unset(key)
     registry.QUERIES["retention_groups"](spark, "/root/testdata/sf0.001")
     assert spark.conf.get(key) == "16m"
+
+
+def test_copies_and_unknowns_come_from_one_pass(spark, far_orders):
+    """The copies were a second join of all tables, the unknown sales two more."""
+    from martwright import registry
+    for df in (fx.user_orders_log(spark, far_orders), registry._with_unknowns(spark, far_orders)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert sum("Relation" in line and "l_returnflag" in line for line in plan.splitlines()) == 1
+    rows = registry._with_unknowns(spark, far_orders).collect()
+    known = fx.user_orders_log(spark, far_orders).collect()
+    refunded = [r for r in known if r["status"] == "refunded"]
+    unknown = [r for r in rows if r["item_id"] < 0]
+    assert len(rows) == len(known) + len(refunded) and len(unknown) == len(refunded)
+    shifted = sorted((-r["customer_id"], -r["item_id"], r["date_time"] + dt.timedelta(days=36500), r["quantity"]) for r in refunded)
+    assert sorted((r["customer_id"], r["item_id"], r["date_time"], r["quantity"]) for r in unknown) == shifted
+    assert all(r["id"] == -k for r, k in zip(sorted((r for r in unknown if r["id"] is not None), key=lambda r: -r["id"]),
+                                             sorted(r["id"] for r in refunded if r["id"] is not None)))
