@@ -38,6 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components, stored
+from .tokens import let_go
 from .words import Words, chunks, combine, mix, ngram_keys, split_words
 
 TABLES, BUCKETS, BAND = 8, 16, 4
@@ -103,6 +104,7 @@ def features(docs: DataFrame, n: int) -> DataFrame:
     """(doc_id, n_shingles, k1, k2, sig) of every row."""
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             for part in chunks(batch):
                 w = split_words(part.column(1), lower=True)
@@ -186,6 +188,7 @@ def full_sets(docs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
     """(node, n, sig, keys): the nodes' whole shingle sets, sorted."""
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             for part in chunks(batch):
                 who, key = shingle_sets(split_words(part.column(1), lower=True), n)

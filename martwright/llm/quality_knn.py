@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .tokens import let_go
 from .words import Words, chunks, combine, fresh, mix, split_words
 
 MAX_LABELLED = 2000
@@ -149,6 +150,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, target: str = "quality",
 
 def train(docs: DataFrame, labels: DataFrame, target: str = "quality", limit: int = MAX_LABELLED) -> Model:
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             for part in chunks(batch):
                 counts = term_counts(split_words(part.column(1)))
@@ -170,16 +172,19 @@ def scored(docs: DataFrame, labels: DataFrame, keep: list[str] | None = None, ta
     ``predicted``."""
     model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, target, limit))
     keep = [c for c in (docs.columns if keep is None else keep) if c not in ("score", "predicted")]
+    # a text that is kept goes to the workers once
+    text_at = keep.index("text") if "text" in keep else len(keep)
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
-            for part in chunks(batch, len(keep)):
-                score = model.value.score(term_counts(split_words(part.column(len(keep)))))
+            for part in chunks(batch, text_at):
+                score = model.value.score(term_counts(split_words(part.column(text_at))))
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:len(keep)], pa.array(score), pa.array((score >= THRESHOLD).astype(np.int32))],
                     [*keep, "score", "predicted"])
 
-    rows = docs.select(*keep, F.col("text").alias(fresh("_text", keep)))
+    rows = docs.select(*keep, *([] if text_at < len(keep) else [F.col("text").alias(fresh("_text", keep))]))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
     return rows.mapInArrow(compute, schema + ", score double, predicted int")
 

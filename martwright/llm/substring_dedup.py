@@ -44,6 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import stored, with_text
+from .tokens import let_go
 from .words import Words, _odd_constants, chunks, combine, fresh, mix, split_words
 
 WIDTH = 20
@@ -151,6 +152,7 @@ def anchor_rows(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """(name, span, doc_id, tid, at) of every anchor; tid: the text's hash."""
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             for part in chunks(batch):
                 a = anchors(split_words(part.column(1)), width)
@@ -200,6 +202,7 @@ def window_rows(docs: DataFrame, firsts: DataFrame, width: int = WIDTH) -> DataF
     id_at, text_at, tid_at = docs.columns.index("doc_id"), docs.columns.index("text"), len(docs.columns)
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             for part in chunks(batch, text_at):
                 row, a = _lists(part.column(len(part.columns) - 1))
@@ -259,6 +262,7 @@ def dedup_substrings(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     text_at = names.index("text")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             for part in chunks(batch, text_at):
                 w = split_words(part.column(text_at))

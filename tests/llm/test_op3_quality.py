@@ -51,3 +51,14 @@ def test_edges(spark):
     assert Q.scored(df.limit(0), labels).collect() == []
     assert {r.score for r in Q.scored(df, labels.limit(0)).collect()} == {0.5}
     assert Q.stage.__doc__
+
+
+def test_a_kept_text_goes_to_the_workers_once(spark):
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    df = documents(spark, [(1, "fine words here"), (2, "NO!! NO!!")])
+    whole, alone = Q.scored(df, labels), Q.scored(df, labels, ["doc_id"])
+    plan = lambda d: d._jdf.queryExecution().optimizedPlan().toString()
+    assert "_text" not in plan(whole) and "_text" in plan(alone)
+    assert [r.text for r in whole.orderBy("doc_id").collect()] == ["fine words here", "NO!! NO!!"]
+    score = lambda d: {r.doc_id: r.score for r in d.collect()}
+    assert score(whole) == score(alone)

@@ -102,3 +102,17 @@ def test_plain_words_take_the_same_parts_as_the_library():
     same()
     assert words_of.encode(["<|endoftext|>", "ñandú", "ΑΣ"]) == [
         tokenizer.encode(w, add_special_tokens=False).ids for w in ("<|endoftext|>", "ñandú", "ΑΣ")]
+
+
+def test_a_worker_lets_go_of_its_tokenizers():
+    import gc
+    import weakref
+
+    from martwright.llm.tokens import WordTokenizer, let_go
+    kept = [weakref.ref(Encoder.shared(vocabulary_json())), weakref.ref(WordTokenizer.shared(vocabulary_json()))]
+    assert all(r() is not None for r in kept)
+    let_go()
+    gc.collect()
+    assert [r() for r in kept] == [None, None]
+    assert Encoder.shared(vocabulary_json()) is Encoder.shared(vocabulary_json())
+    let_go()

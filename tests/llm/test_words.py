@@ -1,5 +1,6 @@
 import numpy as np
 import pyarrow as pa
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm_helpers import words
@@ -54,3 +55,20 @@ def test_chunks_keep_all_rows_and_never_cut_a_text():
 
 def test_fresh_names():
     assert fresh("_id", ["a", "_ID"]) == "_id_" and fresh("_id", []) == "_id"
+
+
+def test_chunks_give_unused_memory_back():
+    pool = pa.default_memory_pool()
+    released = []
+    batch = pa.record_batch({"id": [1, 2, 3], "text": ["a" * 8, "b" * 8, None]})
+
+    class Pool:
+        def release_unused(self):
+            released.append(True)
+            pool.release_unused()
+
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(pa, "default_memory_pool", Pool)
+        parts = chunks(batch, 1, 8)
+        assert [next(parts).num_rows for _ in range(2)] == [1, 2] and not released
+        assert list(parts) == [] and released == [True]
