@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from martwright.operators import staging
 from martwright.sources import fixtures as fx
@@ -72,3 +73,35 @@ def test_copies_and_unknowns_come_from_one_pass(spark, far_orders):
     assert sorted((r["customer_id"], r["item_id"], r["date_time"], r["quantity"]) for r in unknown) == shifted
     assert all(r["id"] == -k for r, k in zip(sorted((r for r in unknown if r["id"] is not None), key=lambda r: -r["id"]),
                                              sorted(r["id"] for r in refunded if r["id"] is not None)))
+
+
+def test_lines_of_unknown_parts_count_for_the_places(spark, far_orders, tmp_path):
+    """The parts are joined before the places are known, so that the lines are shuffled twice, not three times."""
+    root = str(tmp_path)
+    for name in ("orders", "customer", "nation"):
+        fx.table(spark, far_orders, name).write.parquet(f"{root}/{name}.parquet")
+    li = fx.table(spark, far_orders, "lineitem").where("l_orderkey = 60000000")
+    unknown = li.where("l_linenumber = 1 and l_partkey = 1").withColumn("l_partkey", F.lit(0).cast("long"))
+    li.unionByName(unknown).write.parquet(f"{root}/lineitem.parquet")
+    parts = fx.table(spark, far_orders, "part")
+    parts.unionByName(parts.where("p_partkey = 1")).write.parquet(f"{root}/part.parquet")     # a key that repeats
+    first = fx.LAST_FORMULA_ID + 60_000_000 * fx.LINES_PER_ORDER * 2
+    rows = fx.fx_orders(spark, root)
+    # line (1, 0) of the unknown part is the first place and has no row
+    assert sorted(r["id"] - first for r in rows.collect()) == [4, 4, 6, 8, 8]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = fx.fx_orders(spark, root)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # lines by part and by order; parts; orders by customer and by order; customers
+    assert plan.count("Exchange hashpartitioning") == 6
+
+
+def test_inputs_of_staged_lines_are_the_same(spark, far_orders):
+    lines = fx.staged_lines(spark, far_orders)
+    rows = lambda df: sorted(map(repr, df.collect()))
+    assert rows(fx.fx_orders(spark, far_orders, lines)) == rows(fx.fx_orders(spark, far_orders))
+    assert rows(fx.user_orders_log(spark, far_orders, lines=lines)) == rows(fx.user_orders_log(spark, far_orders))
+    assert rows(fx.customer_research(spark, far_orders, lines)) == rows(fx.customer_research(spark, far_orders))
