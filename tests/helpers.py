@@ -43,3 +43,9 @@ def items_df(spark, rows):
 
 def rows_of(df):
     return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def shuffles(df):
+    """How each shuffle of rows deals them out, in a DataFrame that has not run."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line.split("Exchange ")[1].split(",")[0] for line in plan.splitlines() if " Exchange " in line]

@@ -7,7 +7,7 @@ from martwright.operators import dims
 from martwright.plans import jobs
 from martwright.session import scratch_path
 from martwright.sources.store import Warehouse
-from helpers import day, orders_df, rows_of, ts
+from helpers import day, orders_df, rows_of, shuffles, ts
 
 
 def test_latest_attributes_win(spark):
@@ -79,3 +79,14 @@ def test_merged_dimensions_equal_a_full_build(spark, seed):
         orders = wh.read("user_orders_log")
         for dim in dims.LATEST_DIMS:
             assert rows_of(wh.read(dim)) == rows_of(getattr(dims, dim)(orders)), (step, dim)
+
+
+def test_spread_summaries_need_one_shuffle_and_are_the_same(spark):
+    """The items' summary and its write by date dealt nearly every order line out twice."""
+    o = orders_df(spark, [dict(id=i, item_id=None if i % 9 == 0 else i % 6, item_name=f"n{i % 5}", customer_id=i % 4, first_name=f"f{i}",
+                               date_time=None if i % 10 == 0 else ts(f"2022-0{1 + i % 5}-03 00:00:00")) for i in range(150)])
+    o = o.selectExpr("*", "trunc(date_time, 'month') as dt")
+    for dim in dims.LATEST_DIMS:
+        spread = dims.latest_per_partition(o, dim, spread=True)
+        assert [s.split("#")[0] for s in shuffles(spread)] == ["rangepartitioning(dt"]
+        assert rows_of(spread) == rows_of(dims.latest_per_partition(o, dim))

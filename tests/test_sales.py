@@ -1,7 +1,7 @@
 from decimal import Decimal as D
 
 from martwright.plans.sales import daily_sales
-from helpers import day, orders_df, rows_of, ts
+from helpers import day, orders_df, rows_of, shuffles, ts
 
 
 def test_daily_sales_rows(spark):
@@ -29,3 +29,12 @@ def test_sale_and_refund_same_key_both_kept(spark):
     got = rows_of(daily_sales(o))
     assert [r[-1] for r in got] == ["refunded", "shipped"]
     assert [r[5] for r in got] == [D("-10.00"), D("10.00")]
+
+
+def test_spread_sales_need_one_shuffle_and_are_the_same(spark):
+    """The DISTINCT and the write by date dealt every sale out twice."""
+    o = orders_df(spark, [dict(id=i, customer_id=i % 4, item_id=i % 3, date_time=None if i % 10 == 0 else ts(f"2022-07-{1 + i % 5:02d} 00:00:00"))
+                          for i in range(120)])
+    spread = daily_sales(o, spread=True)
+    assert [s.split("#")[0] for s in shuffles(spread)] == ["rangepartitioning(date_time"]
+    assert rows_of(spread) == rows_of(daily_sales(o)) and spread.count() < 120

@@ -9,7 +9,7 @@ from martwright.schemas import DEDUP_KEYS, USER_ORDERS_LOG
 from martwright.session import local_path
 from martwright.sources import fixtures as fx
 from martwright.sources.landing import read_landing
-from helpers import orders_df, rows_of, ts
+from helpers import orders_df, rows_of, shuffles, ts
 from helpers import SMOKE
 
 
@@ -131,3 +131,34 @@ def test_dedupe_include_status_keeps_sale_and_refund(spark):
     assert staging.dedupe_entity(o, "user_orders_log").count() == 1
     got = staging.dedupe_entity(o, "user_orders_log", include_status=True).collect()
     assert sorted((r["id"], r["status"]) for r in got) == [(1, "shipped"), (2, "refunded")]
+
+
+def test_spread_dedupe_needs_one_shuffle_and_gives_the_same_rows(spark):
+    """De-dup and the write by date dealt every row out twice."""
+    rows = [dict(id=i, customer_id=None if i % 7 == 0 else i % 5, date_time=None if i % 11 == 0 else ts(f"2022-07-{1 + i % 9:02d} 00:00:00"),
+                 status="refunded" if i % 2 else "shipped") for i in range(300, 0, -1)]
+    rows.append(dict(id=None, customer_id=1, date_time=ts("2022-07-01 00:00:00")))
+    o = orders_df(spark, rows).repartition(8)
+    for include_status in (False, True):
+        plain = staging.dedupe_entity(o, "user_orders_log", include_status=include_status)
+        spread = staging.dedupe_entity(o, "user_orders_log", include_status=include_status, spread=True)
+        assert [s.split("#")[0] for s in shuffles(spread)] == ["rangepartitioning(date_time"]
+        assert rows_of(spread) == rows_of(plain) and spread.columns == plain.columns
+    for entity in ("user_activity_log", "customer_research"):
+        df = (fx.activity_with_copies if entity == "user_activity_log" else fx.research_with_copies)(spark, SMOKE)
+        assert rows_of(staging.dedupe_entity(df, entity, spread=True)) == rows_of(staging.dedupe_entity(df, entity))
+
+
+def test_ids_do_not_shuffle_the_rows(spark, tmp_root):
+    """Every row of the extract went to the task of its block."""
+    from martwright.sources.landing import write_landing
+    write_landing(orders_df(spark, [dict(id=i) for i in range(50)]).repartition(5), f"{tmp_root}/x.csv")
+    rows = read_landing(spark, f"{tmp_root}/x.csv", "user_orders_log", position=True).drop("id")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100")
+    try:
+        ids = staging.assign_ids(rows, 7)
+        assert "SortMergeJoin" not in ids._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r["id"] for r in ids.collect()) == list(range(8, 58))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
